@@ -75,19 +75,30 @@ def _last_text(bodies: Column) -> Column:
     return F.try_element_at(F.filter(bodies, lambda b: b != ""), F.lit(-1))
 
 
-def _parse(df: DataFrame, payload_col: str, depth: int) -> DataFrame:
-    """Adds _doc, and _hdr: the picked headers with the subject default in place."""
-    ddl = payload_ddl(depth)
+def _parse(df: DataFrame, payload_col: str, depth: int, fields) -> DataFrame:
+    """Adds the columns of fields(document), a struct, for each payload.
+
+    They come out of a generator with one row per row: projections are neither merged
+    nor split across it, so the document is parsed exactly once.
+    """
     parsed = F.from_json(
         F.col(payload_col).cast("string"),
-        f"{ddl[:-1]}, _broken: string>",
+        f"{payload_ddl(depth)[:-1]}, _broken: string>",
         {"columnNameOfCorruptRecord": "_broken"},
     )
-    return (
-        df.withColumn("_doc", parsed)
-        .withColumn("_picked", headers.pick_headers(F.col("_doc.headers")))
-        .withColumn("_subject", text.default_subject(F.col("_picked.subject")))
-    )
+
+    def read(doc):
+        return text.bind(
+            headers.pick_headers(doc["headers"]),
+            lambda picked: F.struct(
+                text.default_subject(picked["subject"]).alias("_subject"),
+                picked["date"].alias("_date"),
+                doc["_broken"].isNotNull().alias("_broken"),
+                *fields(doc),
+            ),
+        )
+
+    return df.select("*", F.inline(F.transform(F.array(parsed), read)))
 
 
 def _with_html_bodies(df: DataFrame, leaves_col: str, exact_html: bool) -> DataFrame:
@@ -141,23 +152,19 @@ def _plain_or_raw(leaf: Column) -> Column:
     return F.when(leaf["mime"] == "text/plain", text.clean_text(decoded)).otherwise(decoded)
 
 
-def _finish(df: DataFrame, body: Column, too_deep: Column, keep: list[str]) -> DataFrame:
-    date_text = F.col("_picked.date")
-    note = F.array_compact(F.array(
-        F.when(F.col("_doc._broken").isNotNull(), F.lit("broken_document")),
-        F.when(too_deep, F.lit("too_deep")),
-        F.when(date_text.isNotNull() & F.col("received_at").isNull(), F.lit("bad_date")),
-    ))
+def _finish(df: DataFrame, body: Column, keep: list[str]) -> DataFrame:
     return (
-        df.withColumn("received_at", dates.parse_mail_date(date_text))
+        df.withColumn("received_at", dates.parse_mail_date(F.col("_date")))
         .withColumn("_body", body)
-        .withColumn("_notes", F.concat_ws(",", note))
         .select(
             *keep,
             "received_at",
             F.col("_subject").alias("subject"),
             text.default_body(F.col("_body"), F.col("_subject")).alias("body"),
-            F.nullif(F.col("_notes"), F.lit("")).alias("decode_note"),
+            F.when(F.coalesce("_broken", F.lit(False)), "broken_document")
+            .when(F.coalesce("_deep", F.lit(False)), "too_deep")
+            .when(F.col("_date").isNotNull() & F.col("received_at").isNull(), "bad_date")
+            .alias("decode_note"),
         )
     )
 
@@ -179,45 +186,47 @@ def decode_payload(
     """
     made = ("received_at", "subject", "body", "decode_note")
     keep = [c for c in df.columns if c not in made]
-    parsed = _parse(df.select(*keep), payload_col, max_depth)
-    if mode == "descend":
-        return _decode_descend(parsed, payload_col, exact_html, max_depth, keep)
-    if mode == "strict":
-        return _decode_strict(parsed, exact_html, max_depth, keep)
-    raise ValueError(f"mode is descend or strict, not {mode!r}")
+    decode = {"descend": _decode_descend, "strict": _decode_strict}.get(mode)
+    if decode is None:
+        raise ValueError(f"mode is descend or strict, not {mode!r}")
+    return decode(df.select(*keep), payload_col, exact_html, max_depth, keep)
+
+
+def _with_leaves(df: DataFrame, payload_col: str, depth: int, *fields) -> DataFrame:
+    """Adds _leaves of every document, whatever its depth."""
+    near = _parse(
+        df,
+        payload_col,
+        depth,
+        lambda doc: [_leaves(doc, depth).alias("_near"), *[f(doc) for f in fields]],
+    )
+    deep = F.coalesce(F.exists("_near", lambda x: x["deep"]), F.lit(False))
+    return near.withColumn("_far", _deep_leaves(F.when(deep, F.col(payload_col)))).withColumn(
+        "_leaves", F.coalesce("_far", "_near")
+    )
 
 
 def _decode_descend(df, payload_col, exact_html, depth, keep) -> DataFrame:
-    doc = F.col("_doc")
-    df = (
-        df.withColumn("_leaves", F.when(doc.isNotNull(), _leaves(doc, depth)))
-        .withColumn("_deep", F.coalesce(F.exists("_leaves", lambda x: x["deep"]), F.lit(False)))
-        .withColumn("_far", _deep_leaves(F.when(F.col("_deep"), F.col(payload_col))))
-        .withColumn("_leaves", F.coalesce("_far", "_leaves"))
-        .withColumn(
-            "_pages",
-            F.transform(
-                F.filter("_leaves", lambda x: _mentions(x["mime"], "html")), _as_page
-            ),
-        )
-    )
-    df = _with_html_bodies(df, "_pages", exact_html)
+    def lone_other(doc):
+        """The data of a document that is one node of another type."""
+        other = ~_mentions(doc["mimeType"], "html") & ~_mentions(doc["mimeType"], "plain")
+        alone = F.coalesce(F.size(doc["parts"]), F.lit(0)) <= 0
+        return F.when(other & alone, doc["body"]["data"]).alias("_other")
+
+    pages = F.transform(F.filter("_leaves", lambda x: _mentions(x["mime"], "html")), _as_page)
+    df = _with_leaves(df, payload_col, depth, lone_other).withColumn("_pages", pages)
+    df = _with_html_bodies(df, "_pages", exact_html).withColumn("_deep", F.lit(False))
     plain = F.filter(
         "_leaves", lambda x: _mentions(x["mime"], "plain") & ~_mentions(x["mime"], "html")
     )
-    other_alone = (
-        (F.coalesce(F.size(doc["parts"]), F.lit(0)) <= 0)
-        & ~_mentions(doc["mimeType"], "html")
-        & ~_mentions(doc["mimeType"], "plain")
-    )
     # coalesce stops at the first value, so plain parts are decoded only where no HTML
     # part has text
     body = F.coalesce(
         _last_text(F.col("_html")),
         _last_text(F.transform(plain, _plain_or_raw)),
-        F.when(other_alone, text.base64url_to_text(doc["body"]["data"])),
+        text.base64url_to_text(F.col("_other")),
     )
-    return _finish(df, body, F.lit(False), keep)
+    return _finish(df, body, keep)
 
 
 def _strict_pick(node: Column, depth: int) -> Column:
@@ -244,25 +253,35 @@ def _strict_pick(node: Column, depth: int) -> Column:
     return F.when(is_container, F.coalesce(chosen, blank)).otherwise(here)
 
 
-def _decode_strict(df, exact_html, depth, keep) -> DataFrame:
-    leaf = F.col("_leaf")
-    readable = F.coalesce(~leaf["blank"], F.lit(False)) & F.coalesce(
-        leaf["data"] != "", F.lit(False)
-    )
-    df = df.withColumn("_leaf", _strict_pick(F.col("_doc"), depth)).withColumn(
-        "_pages",
-        F.when(readable & (leaf["mime"] == "text/html"), F.array(_as_page(leaf))).otherwise(
-            F.lit(None)
-        ),
+def _decode_strict(df, payload_col, exact_html, depth, keep) -> DataFrame:
+    def chosen(doc):
+        return text.bind(_strict_pick(doc, depth), lambda n: F.struct(
+            F.when(~n["blank"] & (n["data"] != ""), n["data"]).alias("data"),
+            n["mime"].alias("mime"),
+            n["subject"].alias("subject"),
+            n["deep"].alias("deep"),
+        ))
+
+    def fields(doc):
+        # one leaf per document, as an array, so that it is handled like many
+        return [F.array(chosen(doc)).alias("_leaf")]
+
+    df = _parse(df, payload_col, depth, fields)
+    is_page = F.filter("_leaf", lambda n: n["mime"] == "text/html")
+    df = _with_html_bodies(df.withColumn("_pages", F.transform(is_page, _as_page)), "_pages",
+                           exact_html)
+    others = F.filter("_leaf", lambda n: F.coalesce(n["mime"] != "text/html", F.lit(True)))
+    own = F.coalesce(
+        F.get("_html", F.lit(0)), F.get(F.transform(others, _plain_or_raw), F.lit(0))
     )
-    df = _with_html_bodies(df, "_pages", exact_html)
-    own = F.coalesce(F.try_element_at("_html", F.lit(1)), F.when(readable, _plain_or_raw(leaf)))
     # the sentence carries the subject of the part it came from
-    df = df.withColumn("_own", own)
-    body = text.default_body(
-        F.col("_own"), F.coalesce(leaf["subject"], F.col("_subject"))
+    part_subject = F.coalesce(F.get("_leaf", F.lit(0))["subject"], F.col("_subject"))
+    df = (
+        df.withColumn("_deep", F.get("_leaf", F.lit(0))["deep"])
+        .withColumn("_own", own)
+        .withColumn("_part_subject", part_subject)
     )
-    return _finish(df, body, F.coalesce(leaf["deep"], F.lit(False)), keep)
+    return _finish(df, text.default_body(F.col("_own"), F.col("_part_subject")), keep)
 
 
 def rejects(decoded: DataFrame) -> DataFrame:
@@ -272,13 +291,8 @@ def rejects(decoded: DataFrame) -> DataFrame:
 
 def parts_table(df: DataFrame, id_col: str = "id", payload_col: str = "payload") -> DataFrame:
     """One row per leaf part: (id, part, mime, data)."""
-    parsed = _parse(df, payload_col, MAX_DEPTH)
-    doc = F.col("_doc")
-    leaves = (
-        parsed.withColumn("_near", F.when(doc.isNotNull(), _leaves(doc, MAX_DEPTH)))
-        .withColumn("_deep", F.coalesce(F.exists("_near", lambda x: x["deep"]), F.lit(False)))
-        .withColumn("_far", _deep_leaves(F.when(F.col("_deep"), F.col(payload_col))))
+    return (
+        _with_leaves(df.select(id_col, payload_col), payload_col, MAX_DEPTH)
+        .select(id_col, F.posexplode("_leaves").alias("part", "_x"))
+        .select(id_col, "part", F.col("_x.mime").alias("mime"), F.col("_x.data").alias("data"))
     )
-    return leaves.select(
-        id_col, F.posexplode(F.coalesce("_far", "_near")).alias("part", "_x")
-    ).select(id_col, "part", F.col("_x.mime").alias("mime"), F.col("_x.data").alias("data"))
