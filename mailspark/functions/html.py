@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from html.parser import HTMLParser
 from operator import or_
@@ -59,7 +60,7 @@ def drop_markup(c: Column) -> Column:
     def other_entities(x):
         for entity in ENTITIES:
             x = F.replace(x, F.lit(entity), F.lit(""))
-        return x.contains("&")
+        return x.contains("&") & x.rlike("&(?:#|[A-Za-z][A-Za-z0-9]*;)")
 
     def widen(s):
         strange = _has_any(s["text"], "<>") | (
@@ -116,7 +117,8 @@ def html_text(page: str | None) -> str | None:
     if page is None:
         return None
     reader = _MailText()
-    reader.feed(page)
+    # a named entity counts only with its semicolon; any other "&" is text
+    reader.feed(re.sub(r"&(?!#|[A-Za-z][A-Za-z0-9]*;)", "&amp;", page))
     reader.close()
     return "".join(reader.kept)
 

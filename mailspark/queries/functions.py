@@ -28,14 +28,14 @@ def utf8_ignore(spark, sf):
 @query("fn03_html_text",
        f"SELECT page_id, {page_text('html')} AS text FROM pages")
 def html_text(spark, sf):
-    pages = staging.table(spark, sf, "pages")
+    pages = staging.spread(staging.table(spark, sf, "pages"), "page_id")
     return html.with_html_text(pages, "html", "text").select("page_id", "text")
 
 
 @query("fn03_html_text_native",
        f"SELECT page_id, {page_text('html')} AS text FROM pages")
 def html_text_native(spark, sf):
-    pages = staging.table(spark, sf, "pages")
+    pages = staging.spread(staging.table(spark, sf, "pages"), "page_id")
     return pages.select("page_id", html.strip_html(C("html")).alias("text"))
 
 

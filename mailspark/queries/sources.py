@@ -131,7 +131,7 @@ def landed_count(spark, sf):
 def mailbox_source(spark, sf):
     path = scratch_dir(spark, "mailbox")
     messages = staging.messages(spark, sf)
-    snapshots.write_frame(messages.select(*mailbox.FIELDS), path)
+    mailbox.write_mailbox(messages, path)
     # the run's own dates, as a scheduler would hand them over
     first, last = messages.agg(
         F.to_date(F.min("received_at")), F.date_add(F.to_date(F.max("received_at")), 1)

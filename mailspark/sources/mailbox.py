@@ -1,7 +1,8 @@
 """A mailbox as a Spark data source: `spark.read.format("mailbox")`.
 
-One input partition per day and row group, so the days are read side by side and a
-day with far more mail than the others is split as well.
+The mailbox is a parquet folder with one day=yyyy-MM-dd folder per day. Every row group
+of a wanted day is an input partition, so the days are read side by side and a day with
+far more mail than the others is split as well.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 FIELDS = ("id", "received_at", "subject", "body")
@@ -17,14 +18,13 @@ FIELDS = ("id", "received_at", "subject", "body")
 
 @dataclass
 class DayPart(InputPartition):
-    start: dt.datetime
-    end: dt.datetime
-    path: str
+    day: str
+    file: str
     row_group: int
 
 
 class MailboxSource(DataSource):
-    """Options: path (a parquet folder of messages), from_date (yyyy-MM-dd), days."""
+    """Options: path, from_date (yyyy-MM-dd, not included), days."""
 
     @classmethod
     def name(cls):
@@ -39,61 +39,54 @@ class MailboxSource(DataSource):
 
 class MailboxReader(DataSourceReader):
     def __init__(self, options):
-        self.path = options["path"]
+        self.path = options["path"].rstrip("/")
         self.from_date = dt.date.fromisoformat(options["from_date"])
         self.days = int(options.get("days", "7"))
 
     def partitions(self):
-        midnight = dt.datetime.combine(self.from_date, dt.time(), dt.timezone.utc)
-        files = _dataset(self.path)
+        import pyarrow.dataset as ds
+        import pyarrow.fs as fs
+
+        system, root = _locate(self.path)
         found = []
-        for back in range(self.days):
-            start = midnight - dt.timedelta(days=back + 1)
-            end = midnight - dt.timedelta(days=back)
-            # footers tell which row groups can hold mail of that day
-            that_day = _within(start, end, files.schema)
-            for fragment in files.get_fragments(filter=that_day):
-                for piece in fragment.split_by_row_group(that_day, files.schema):
-                    for group in piece.row_groups:
-                        found.append(DayPart(start, end, piece.path, group.id))
+        for back in range(1, self.days + 1):
+            day = (self.from_date - dt.timedelta(days=back)).isoformat()
+            folder = f"{root}/day={day}"
+            if system.get_file_info(folder).type == fs.FileType.NotFound:
+                continue
+            for file in ds.dataset(folder, filesystem=system, format="parquet").get_fragments():
+                found += [DayPart(day, file.path, group.id) for group in file.row_groups]
         return found
 
     def read(self, partition):
         import pyarrow as pa
+        import pyarrow.dataset as ds
 
         if partition is None:  # no day had any file
             return
-        file = next(_dataset(self.path, partition.path).get_fragments())
-        one = file.subset(row_group_ids=[partition.row_group])
-        wanted = _within(partition.start, partition.end, one.physical_schema)
-        for batch in one.to_batches(columns=list(FIELDS), filter=wanted):
-            at = FIELDS.index("received_at")
-            batch = batch.set_column(
-                at, "received_at", batch.column(at).cast(pa.timestamp("us", "UTC"))
-            )
-            if batch.num_rows:
-                yield batch
-
-
-def _dataset(folder: str, file: str | None = None):
-    import pyarrow.dataset as ds
+        system, _ = _locate(self.path)
+        file = next(
+            ds.dataset(partition.file, filesystem=system, format="parquet").get_fragments()
+        )
+        at = FIELDS.index("received_at")
+        for batch in file.subset(row_group_ids=[partition.row_group]).to_batches(
+            columns=list(FIELDS)
+        ):
+            instants = batch.column(at).cast(pa.timestamp("us", "UTC"))
+            yield batch.set_column(at, "received_at", instants)
+
+
+def _locate(path: str):
     import pyarrow.fs as fs
 
-    system, root = fs.FileSystem.from_uri(folder) if "://" in folder else (None, folder)
-    return ds.dataset(file or root, filesystem=system, format="parquet")
-
+    return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
 
-def _within(start: dt.datetime, end: dt.datetime, schema):
-    """start <= received_at < end, in the type the file stores, so that footer
-    statistics can answer it."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
 
-    kind = schema.field("received_at").type
-    if kind.tz is None:
-        start, end = start.replace(tzinfo=None), end.replace(tzinfo=None)
-    at = pc.field("received_at")
-    return (at >= pa.scalar(start, kind)) & (at < pa.scalar(end, kind))
+def write_mailbox(messages: DataFrame, path: str) -> None:
+    """Messages in the layout the source reads. Rebalancing gathers small days into few
+    files and splits large ones."""
+    dated = messages.select(*FIELDS, F.to_date("received_at").alias("day"))
+    dated.hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(path)
 
 
 def register(spark: SparkSession) -> None:
