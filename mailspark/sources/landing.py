@@ -10,9 +10,15 @@ from mailspark.schemas import ID_LENGTH
 COLUMNS = ("id", "received_at", "subject", "payload")
 
 
-def create_landing(spark: SparkSession, name: str, path: str, buckets: int = 16) -> None:
+def create_landing(
+    spark: SparkSession, name: str, path: str, buckets: int | None = None
+) -> None:
     """Bucketed by id, so that the check against landed ids shuffles only the batch.
-    Choose `buckets` for the size the table will have: a bucket is one task's share."""
+
+    A bucket is one task's share, so choose `buckets` for the size the table will have,
+    and not below spark.sql.shuffle.partitions, or Spark shuffles the table after all.
+    """
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.sql(
         f"""CREATE TABLE IF NOT EXISTS {name} (
             id STRING NOT NULL, received_at TIMESTAMP, subject STRING, payload STRING,
