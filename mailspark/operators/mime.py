@@ -7,98 +7,140 @@ ones, and HTML a regex cannot judge, take an exact path of their own.
 
 from __future__ import annotations
 
+import base64
 import json
+import re
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from mailspark.functions import dates, headers, html, text
+from mailspark.functions.html import html_text  # by name: it travels to the workers
 from mailspark.schemas import payload_ddl
 
-MAX_DEPTH = 6
+MAX_DEPTH = 4
 _LEAF = T.StructType([
     T.StructField("mime", T.StringType()),
     T.StructField("data", T.StringType()),
     T.StructField("deep", T.BooleanType()),
 ])
 
+_TEXT = T.StructType([T.StructField("mime", T.StringType()), T.StructField("text", T.StringType())])
 
-def _has_data(node: Column) -> Column:
-    return F.coalesce(node["body"]["data"] != "", F.lit(False))
 
+def _mentions(mime: Column, kind: str) -> Column:
+    return F.coalesce(mime.contains(kind), F.lit(False))
 
-def _is_text(mime: Column) -> Column:
-    return F.coalesce(mime.isin("text/plain", "text/html"), F.lit(False))
 
+@dataclass(frozen=True)
+class _Node:
+    """SQL text of the fields of a document node. The walks are nested lambdas, one level
+    inside the other, and are written as text to be parsed in one go."""
 
-def _mentions(mime: Column, kind: str) -> Column:
-    return F.coalesce(mime.contains(kind), F.lit(False))
+    mime: str
+    data: str
+    headers: str
+    parts: str
 
+    @classmethod
+    def of(cls, name: str) -> _Node:
+        return cls(f"{name}.mimeType", f"{name}.body.data", f"{name}.headers", f"{name}.parts")
 
-def _leaf(node: Column, deep: Column) -> Column:
-    return F.struct(
-        node["mimeType"].alias("mime"), node["body"]["data"].alias("data"), deep.alias("deep")
-    )
+    @property
+    def has_data(self) -> str:
+        return f"coalesce({self.data} <> '', false)"
 
+    @property
+    def is_text(self) -> str:
+        return f"coalesce({self.mime} IN ('text/plain', 'text/html'), false)"
 
-def _leaves(node: Column, depth: int) -> Column:
+    def is_kind(self, kind: str) -> str:
+        return f"coalesce(contains({self.mime}, '{kind}'), false)"
+
+
+_ROOT = _Node("_mime", "_content.data", "_headers", "_parts")
+
+
+def _leaves(node: _Node, depth: int) -> str:
     """Nodes without parts, in document order, as array<struct(mime, data, deep)>."""
+
+    def leaf(deep):
+        return f"array(named_struct('mime', {node.mime}, 'data', {node.data}, 'deep', {deep}))"
+
     if depth == 0:
-        return F.array(_leaf(node, node["parts"].isNotNull()))
-    is_leaf = (F.coalesce(F.size(node["parts"]), F.lit(0)) <= 0) | (
-        _is_text(node["mimeType"]) & _has_data(node)
+        return leaf(f"{node.parts} IS NOT NULL")
+    part = f"p{depth}"
+    return (
+        f"CASE WHEN coalesce(size({node.parts}), 0) <= 0 OR ({node.is_text} AND {node.has_data}) "
+        f"THEN {leaf('false')} ELSE flatten(transform({node.parts}, "
+        f"{part} -> {_leaves(_Node.of(part), depth - 1)})) END"
     )
-    below = F.flatten(F.transform(node["parts"], lambda p: _leaves(p, depth - 1)))
-    return F.when(is_leaf, F.array(_leaf(node, F.lit(False)))).otherwise(below)
+
+
+def _walk(document: str) -> Iterator[tuple[str | None, str | None]]:
+    """(mime, data) of the nodes without parts, in document order, at any depth."""
+    todo = [json.loads(document)]
+    while todo:
+        node = todo.pop() or {}
+        mime, data = node.get("mimeType"), (node.get("body") or {}).get("data")
+        parts = node.get("parts") or []
+        if parts and not (data and mime in ("text/plain", "text/html")):
+            todo.extend(reversed(parts))
+        else:
+            yield mime, data
 
 
 @F.pandas_udf(T.ArrayType(_LEAF))
 def _deep_leaves(documents: pd.Series) -> pd.Series:
-    """The same walk for documents nested below the parsed depth."""
+    def leaves(document):
+        return [{"mime": mime, "data": data, "deep": False} for mime, data in _walk(document)]
+
+    return documents.map(leaves, na_action="ignore")
+
+
+def _bytes_of(data: str) -> bytes:
+    known = re.sub("[^A-Za-z0-9+/]", "", data.replace("-", "+").replace("_", "/"))
+    known = known[: len(known) - (len(known) % 4 == 1)]
+    return base64.b64decode(known + "=" * (-len(known) % 4))
 
-    def walk(document):
-        found, todo = [], [json.loads(document)]
-        while todo:
-            node = todo.pop() or {}
-            mime, data = node.get("mimeType"), (node.get("body") or {}).get("data")
-            parts = node.get("parts") or []
-            if parts and not (data and mime in ("text/plain", "text/html")):
-                todo.extend(reversed(parts))
-            else:
-                found.append({"mime": mime, "data": data, "deep": False})
-        return found
 
-    return documents.map(walk, na_action="ignore")
+@F.pandas_udf(T.ArrayType(_TEXT))
+def _exact_texts(documents: pd.Series) -> pd.Series:
+    """The text of every leaf of a document the native path must not judge."""
+
+    def text_of(mime, data):
+        if data is None:
+            return None
+        decoded = _bytes_of(data).decode("utf-8", "ignore").replace("\ufffd", "")
+        return html_text(decoded) if mime == "text/html" else decoded
+
+    def texts(document):
+        return [{"mime": mime, "text": text_of(mime, data)} for mime, data in _walk(document)]
+
+    return documents.map(texts, na_action="ignore")
 
 
 def _last_text(bodies: Column) -> Column:
     return F.try_element_at(F.filter(bodies, lambda b: b != ""), F.lit(-1))
 
 
-def _parse(df: DataFrame, payload_col: str, depth: int, fields) -> DataFrame:
-    """Adds the columns of fields(document), a struct, for each payload.
+def _parse(df: DataFrame, payload_col: str, depth: int) -> DataFrame:
+    """Adds the fields of the document, and _subject and _date.
 
-    They come out of a generator with one row per row: projections are neither merged
-    nor split across it, so the document is parsed exactly once.
+    The fields come out of a generator with one row per row: projections are neither
+    merged nor split across it, so the document is parsed exactly once.
     """
     parsed = F.from_json(
         F.col(payload_col).cast("string"),
         f"{payload_ddl(depth)[:-1]}, _broken: string>",
         {"columnNameOfCorruptRecord": "_broken"},
     )
-
-    def read(doc):
-        return text.bind(
-            headers.pick_headers(doc["headers"]),
-            lambda picked: F.struct(
-                text.default_subject(picked["subject"]).alias("_subject"),
-                picked["date"].alias("_date"),
-                doc["_broken"].isNotNull().alias("_broken"),
-                *fields(doc),
-            ),
-        )
-
-    return df.select("*", F.inline(F.transform(F.array(parsed), read)))
+    opened = F.inline(F.array(parsed)).alias("_mime", "_content", "_headers", "_parts", "_broken")
+    return df.select("*", opened).withColumn(
+        "_picked", headers.pick_headers(F.col("_headers"))
+    )
 
 
 def _with_html_bodies(df: DataFrame, leaves_col: str, exact_html: bool) -> DataFrame:
@@ -153,17 +195,21 @@ def _plain_or_raw(leaf: Column) -> Column:
 
 
 def _finish(df: DataFrame, body: Column, keep: list[str]) -> DataFrame:
+    date = F.col("_picked.date")
     return (
-        df.withColumn("received_at", dates.parse_mail_date(F.col("_date")))
-        .withColumn("_body", body)
+        df.withColumns({
+            "received_at": dates.parse_mail_date(date),
+            "_subject": text.default_subject(F.col("_picked.subject")),
+            "_body": body,
+        })
         .select(
             *keep,
             "received_at",
             F.col("_subject").alias("subject"),
             text.default_body(F.col("_body"), F.col("_subject")).alias("body"),
-            F.when(F.coalesce("_broken", F.lit(False)), "broken_document")
+            F.when(F.col("_broken").isNotNull(), "broken_document")
             .when(F.coalesce("_deep", F.lit(False)), "too_deep")
-            .when(F.col("_date").isNotNull() & F.col("received_at").isNull(), "bad_date")
+            .when(date.isNotNull() & F.col("received_at").isNull(), "bad_date")
             .alias("decode_note"),
         )
     )
@@ -192,95 +238,127 @@ def decode_payload(
     return decode(df.select(*keep), payload_col, exact_html, max_depth, keep)
 
 
-def _with_leaves(df: DataFrame, payload_col: str, depth: int, *fields) -> DataFrame:
+def _with_leaves(df: DataFrame, payload_col: str, depth: int) -> DataFrame:
     """Adds _leaves of every document, whatever its depth."""
-    near = _parse(
-        df,
-        payload_col,
-        depth,
-        lambda doc: [_leaves(doc, depth).alias("_near"), *[f(doc) for f in fields]],
-    )
-    deep = F.coalesce(F.exists("_near", lambda x: x["deep"]), F.lit(False))
+    near = _parse(df, payload_col, depth).withColumn("_near", F.expr(_leaves(_ROOT, depth)))
+    deep = F.expr("coalesce(exists(_near, x -> x.deep), false)")
     return near.withColumn("_far", _deep_leaves(F.when(deep, F.col(payload_col)))).withColumn(
         "_leaves", F.coalesce("_far", "_near")
     )
 
 
+def _is_plain(leaf: Column) -> Column:
+    return _mentions(leaf["mime"], "plain") & ~_mentions(leaf["mime"], "html")
+
+
 def _decode_descend(df, payload_col, exact_html, depth, keep) -> DataFrame:
-    def lone_other(doc):
-        """The data of a document that is one node of another type."""
-        other = ~_mentions(doc["mimeType"], "html") & ~_mentions(doc["mimeType"], "plain")
-        alone = F.coalesce(F.size(doc["parts"]), F.lit(0)) <= 0
-        return F.when(other & alone, doc["body"]["data"]).alias("_other")
-
-    pages = F.transform(F.filter("_leaves", lambda x: _mentions(x["mime"], "html")), _as_page)
-    df = _with_leaves(df, payload_col, depth, lone_other).withColumn("_pages", pages)
-    df = _with_html_bodies(df, "_pages", exact_html).withColumn("_deep", F.lit(False))
-    plain = F.filter(
-        "_leaves", lambda x: _mentions(x["mime"], "plain") & ~_mentions(x["mime"], "html")
+    def pages_of(leaves):
+        return F.filter(leaves, lambda x: _mentions(x["mime"], "html"))
+
+    df = _parse(df, payload_col, depth).withColumn("_near", F.expr(_leaves(_ROOT, depth)))
+    df = df.withColumn("_pages", F.transform(pages_of("_near"), _as_page))
+    if exact_html:
+        bare = F.transform(
+            "_pages", lambda x: F.when(x["strip"], html.drop_markup(x["text"]))
+        )
+        df = df.withColumn("_bare", bare)
+        doubt = F.expr(
+            "coalesce(exists(_near, x -> x.deep), false) OR "
+            "coalesce(exists(_bare, x -> x.doubt), false)"
+        )
+        native = F.zip_with(
+            "_pages",
+            "_bare",
+            lambda x, r: F.when(
+                x["strip"], text.clean_text(html.resolve_entities(r["text"]))
+            ).otherwise(x["text"]),
+        )
+    else:
+        doubt = F.expr("coalesce(exists(_near, x -> x.deep), false)")
+        native = F.transform(
+            "_pages",
+            lambda x: F.when(
+                x["strip"], text.clean_text(html.strip_html(x["text"]))
+            ).otherwise(x["text"]),
+        )
+    df = df.withColumn("_exact", _exact_texts(F.when(doubt, F.col(payload_col))))
+
+    def cleaned(leaf):
+        known = leaf["mime"].isin("text/plain", "text/html")
+        return F.when(known, text.clean_text(leaf["text"])).otherwise(leaf["text"])
+
+    is_exact = F.col("_exact").isNotNull()
+    page_bodies = F.when(is_exact, F.transform(pages_of("_exact"), cleaned)).otherwise(native)
+    plain_bodies = F.when(
+        is_exact, F.transform(F.filter("_exact", _is_plain), cleaned)
+    ).otherwise(F.transform(F.filter("_near", _is_plain), _plain_or_raw))
+    # a document that is one node of another type
+    alone = F.expr(
+        f"CASE WHEN coalesce(size(_parts), 0) <= 0 AND NOT {_ROOT.is_kind('html')} "
+        f"AND NOT {_ROOT.is_kind('plain')} THEN {_ROOT.data} END"
     )
     # coalesce stops at the first value, so plain parts are decoded only where no HTML
     # part has text
     body = F.coalesce(
-        _last_text(F.col("_html")),
-        _last_text(F.transform(plain, _plain_or_raw)),
-        text.base64url_to_text(F.col("_other")),
+        _last_text(page_bodies), _last_text(plain_bodies), text.base64url_to_text(alone)
     )
-    return _finish(df, body, keep)
+    return _finish(df.withColumn("_deep", F.lit(False)), body, keep)
 
 
-def _strict_pick(node: Column, depth: int) -> Column:
+def _strict_pick(node: _Node, depth: int) -> str:
     """The node whose own text becomes the body: follow the last HTML part, else the
     last plain part, down from each container that has data and parts."""
-    here = F.struct(
-        node["mimeType"].alias("mime"),
-        node["body"]["data"].alias("data"),
-        text.default_subject(headers.pick_headers(node["headers"])["subject"]).alias("subject"),
-        F.lit(False).alias("blank"),
-        F.lit(False).alias("deep"),
-    )
-    is_container = _has_data(node) & ~_is_text(node["mimeType"]) & node["parts"].isNotNull()
-    blank = here.withField("blank", F.lit(True))
+
+    def here(blank, deep):
+        return (
+            f"named_struct('mime', {node.mime}, 'data', {node.data}, 'headers', {node.headers}, "
+            f"'blank', {blank}, 'deep', {deep})"
+        )
+
+    container = f"{node.has_data} AND NOT {node.is_text} AND {node.parts} IS NOT NULL"
     if depth == 0:
-        return F.when(is_container, blank.withField("deep", F.lit(True))).otherwise(here)
-    pages = F.filter(node["parts"], lambda p: _mentions(p["mimeType"], "html"))
-    plains = F.filter(
-        node["parts"],
-        lambda p: _mentions(p["mimeType"], "plain") & ~_mentions(p["mimeType"], "html"),
+        return f"CASE WHEN {container} THEN {here('true', 'true')} ELSE {here('false', 'false')} END"
+    part = f"p{depth}"
+    below = _Node.of(part)
+    pages = f"filter({node.parts}, {part} -> {below.is_kind('html')})"
+    plains = (
+        f"filter({node.parts}, {part} -> {below.is_kind('plain')} AND NOT {below.is_kind('html')})"
+    )
+    chosen = (
+        f"get(transform(slice(concat({plains}, {pages}), -1, 1), "
+        f"{part} -> {_strict_pick(below, depth - 1)}), 0)"
+    )
+    return (
+        f"CASE WHEN {container} THEN coalesce({chosen}, {here('true', 'false')}) "
+        f"ELSE {here('false', 'false')} END"
     )
-    last = F.slice(F.concat(plains, pages), -1, 1)
-    chosen = F.try_element_at(F.transform(last, lambda p: _strict_pick(p, depth - 1)), F.lit(1))
-    return F.when(is_container, F.coalesce(chosen, blank)).otherwise(here)
 
 
 def _decode_strict(df, payload_col, exact_html, depth, keep) -> DataFrame:
-    def chosen(doc):
-        return text.bind(_strict_pick(doc, depth), lambda n: F.struct(
-            F.when(~n["blank"] & (n["data"] != ""), n["data"]).alias("data"),
-            n["mime"].alias("mime"),
-            n["subject"].alias("subject"),
-            n["deep"].alias("deep"),
-        ))
-
-    def fields(doc):
-        # one leaf per document, as an array, so that it is handled like many
-        return [F.array(chosen(doc)).alias("_leaf")]
-
-    df = _parse(df, payload_col, depth, fields)
+    # one node per document, as an array, so that it is handled like many
+    df = _parse(df, payload_col, depth).withColumn(
+        "_leaf",
+        F.expr(
+            f"transform(array({_strict_pick(_ROOT, depth)}), n -> named_struct('mime', n.mime, "
+            "'data', CASE WHEN NOT n.blank AND n.data <> '' THEN n.data END, "
+            "'headers', n.headers, 'deep', n.deep))"
+        ),
+    )
     is_page = F.filter("_leaf", lambda n: n["mime"] == "text/html")
-    df = _with_html_bodies(df.withColumn("_pages", F.transform(is_page, _as_page)), "_pages",
-                           exact_html)
+    df = _with_html_bodies(
+        df.withColumn("_pages", F.transform(is_page, _as_page)), "_pages", exact_html
+    )
     others = F.filter("_leaf", lambda n: F.coalesce(n["mime"] != "text/html", F.lit(True)))
     own = F.coalesce(
         F.get("_html", F.lit(0)), F.get(F.transform(others, _plain_or_raw), F.lit(0))
     )
-    # the sentence carries the subject of the part it came from
-    part_subject = F.coalesce(F.get("_leaf", F.lit(0))["subject"], F.col("_subject"))
-    df = (
-        df.withColumn("_deep", F.get("_leaf", F.lit(0))["deep"])
-        .withColumn("_own", own)
-        .withColumn("_part_subject", part_subject)
-    )
+    node = F.get("_leaf", F.lit(0))
+    df = df.withColumns({
+        "_own": own,
+        "_deep": node["deep"],
+        # the sentence carries the subject of the part it came from
+        "_part_subject": text.default_subject(headers.pick_headers(node["headers"])["subject"]),
+    })
     return _finish(df, text.default_body(F.col("_own"), F.col("_part_subject")), keep)
 
 

@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # call sites recorded for each column operation cost more than building small plans
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Arrow batches are cut by bytes, because one mail can be far longer than another.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }

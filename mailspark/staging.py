@@ -104,13 +104,6 @@ def fetch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _part(mime: str, content: Column) -> Column:
-    return F.struct(
-        F.lit(mime).alias("mimeType"),
-        F.struct(text.text_to_base64url(content).alias("data")).alias("body"),
-    )
-
-
 def _headers(subject: Column, received: Column) -> Column:
     def header(name, value):
         return F.struct(F.lit(name).alias("name"), value.alias("value"))
@@ -138,33 +131,43 @@ def _escaped_html(content: Column) -> Column:
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages as payload documents in four shapes, by language: plain, HTML, a
     plain/HTML alternative, and an alternative nested in a mixed container."""
-    src = messages(spark, sf_dir)
-    plain, page = F.col("body"), _escaped_html(F.col("body"))
-    hdr = _headers(F.col("subject"), F.col("received_at")).alias("headers")
-    alternative = F.struct(
-        F.lit("multipart/alternative").alias("mimeType"),
-        F.array(_part("text/plain", F.lit("see the html part")), _part("text/html", page)).alias(
-            "parts"
-        ),
+    lang = F.col("lang")
+    content = F.when(lang == "en", F.col("body")).otherwise(_escaped_html(F.col("body")))
+    alternative = F.lit("multipart/alternative")
+
+    def node(mime, data=None, parts=None, kind="string"):
+        body = F.struct(data.alias("data")) if data is not None else F.lit(None)
+        below = parts if parts is not None else F.lit(None)
+        return F.struct(
+            mime.alias("mimeType"),
+            body.cast("struct<data: string>").alias("body"),
+            below.cast(kind).alias("parts"),
+        )
+
+    leaf_parts = "array<struct<mimeType: string, body: struct<data: string>, parts: string>>"
+    leaves = F.array(
+        node(F.lit("text/plain"), text.text_to_base64url(F.lit("see the html part"))),
+        node(F.lit("text/html"), F.col("_data")),
     )
-    shape_plain = F.to_json(F.struct(_part("text/plain", plain)["mimeType"].alias("mimeType"),
-                                     _part("text/plain", plain)["body"].alias("body"), hdr))
-    shape_html = F.to_json(F.struct(F.lit("text/html").alias("mimeType"),
-                                    _part("text/html", page)["body"].alias("body"), hdr))
-    shape_alt = F.to_json(F.struct(F.lit("multipart/alternative").alias("mimeType"), hdr,
-                                   alternative["parts"].alias("parts")))
-    shape_mixed = F.to_json(F.struct(F.lit("multipart/mixed").alias("mimeType"), hdr,
-                                     F.array(alternative).alias("parts")))
-    ranked = F.col("lang")
-    return src.select(
-        "id",
-        F.when(ranked == "en", shape_plain)
-        .when(ranked == "de", shape_html)
-        .when(ranked == "fr", shape_alt)
-        .otherwise(shape_mixed)
-        .alias("payload"),
-        "received_at",
-        "subject",
+    nodes = f"array<struct<mimeType: string, body: struct<data: string>, parts: {leaf_parts}>>"
+    flat = F.transform(leaves, lambda x: node(x["mimeType"], x["body"]["data"], kind=leaf_parts))
+    nested = F.array(node(alternative, parts=leaves, kind=leaf_parts))
+    document = F.struct(
+        F.when(lang == "en", "text/plain")
+        .when(lang == "de", "text/html")
+        .when(lang == "fr", alternative)
+        .otherwise("multipart/mixed")
+        .alias("mimeType"),
+        F.when(lang.isin("en", "de"), F.struct(F.col("_data").alias("data"))).alias("body"),
+        _headers(F.col("subject"), F.col("received_at")).alias("headers"),
+        F.when(lang == "fr", flat.cast(nodes))
+        .when(~lang.isin("en", "de"), nested.cast(nodes))
+        .alias("parts"),
+    )
+    return (
+        messages(spark, sf_dir)
+        .withColumn("_data", text.text_to_base64url(content))
+        .select("id", F.to_json(document).alias("payload"), "received_at", "subject")
     )
 
 

@@ -112,9 +112,11 @@ def test_broken_documents_keep_their_row(spark):
     assert decoded(spark, {"x": (bad,)})["x"]["decode_note"] == "bad_date"
 
 
-def test_decode_does_not_shuffle(spark, tiny):
-    from mailspark import staging
-
-    plan = mime.decode_payload(staging.payloads(spark, tiny))
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in text
+@pytest.mark.parametrize("mode", ["strict", "descend"])
+def test_decode_parses_once_and_does_not_shuffle(spark, tmp_path, mode):
+    path = str(tmp_path / "fetched")
+    spark.sql("SELECT '1' AS id, '{}' AS payload").write.parquet(path)
+    decoded = mime.decode_payload(spark.read.parquet(path), mode=mode).select("id", "body")
+    plan = decoded._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert plan.count("from_json") == 1
