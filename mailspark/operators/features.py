@@ -65,16 +65,21 @@ class HashingEncoder:
     def name(self) -> str:
         return f"hashing-{self.hash_name}"
 
-    def _code(self, token: Column) -> Column:
+    def codes(self, c: Column, limit: int) -> Column:
+        """Each token as bucket, or bucket + dim where its sign is negative."""
+        tokens = text.tokens(c, limit)
         if self.hash_name == "xxhash64":
-            return F.pmod(F.xxhash64(token), F.lit(2 * self.dim)).cast("int")
-        digest = F.md5(token)
-        bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % self.dim
-        odd = F.conv(F.substring(digest, 16, 1), 16, 10).cast("bigint") % 2
-        return (bucket + odd * self.dim).cast("int")
+            return F.transform(
+                tokens, lambda t: F.pmod(F.xxhash64(t), F.lit(2 * self.dim)).cast("int")
+            )
 
-    def codes(self, c: Column, limit: int) -> Column:
-        return F.transform(text.tokens(c, limit), self._code)
+        def code(digest):
+            bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % self.dim
+            odd = F.substring(digest, 16, 1).isin(*"13579bdf")
+            return (bucket + F.when(odd, self.dim).otherwise(0)).cast("int")
+
+        # two passes, so that each token is hashed once
+        return F.transform(F.transform(tokens, F.md5), code)
 
     def __call__(self, c: Column, limit: int) -> Column:
         return _pooler(self.dim)(self.codes(c, limit))
