@@ -49,11 +49,14 @@ def land(batch: DataFrame, name: str, run_id: str) -> None:
     others = spark.table(name).where(F.col("run_id") != run_id)
     fits = F.col("id").isNotNull() & (F.length("id") <= ID_LENGTH)
     said = F.lit(f"id must hold 1 to {ID_LENGTH} characters")
-    rows = (
-        new_rows(batch, others)
-        .withColumn("id", F.when(fits, F.col("id")).otherwise(F.raise_error(said).cast("string")))
-        .repartition(_bucket_count(spark, name), "id")
+    checked = batch.withColumn(
+        "id", F.when(fits, F.col("id")).otherwise(F.raise_error(said).cast("string"))
     )
+    rows = new_rows(checked, others)
+    buckets = _bucket_count(spark, name)
+    if buckets != int(spark.conf.get("spark.sql.shuffle.partitions")):
+        # else the rows lie by id as the buckets do, and each task writes its own bucket
+        rows = rows.repartition(buckets, "id")
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")  # replaces this run's partition only

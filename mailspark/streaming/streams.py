@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mailspark.operators import learn, mime, triage
+from mailspark.operators.chunks import one_per_id
 from mailspark.operators.features import HashingEncoder
 from mailspark.sources import landing
 
@@ -80,10 +81,12 @@ def arrivals_per_day(messages: DataFrame, at: str = "received_at", late: str = "
 
 
 def unique_on_arrival(messages: DataFrame, at: str = "received_at", late: str = "1 day"):
-    """Each id once. What comes again after the watermark is caught by the landing table."""
+    """Each id once. What comes again after the watermark is caught by the landing table,
+    which also shrinks the copies of an id before it shuffles them; so pass only narrow
+    columns through here."""
     if messages.isStreaming:
         return messages.withWatermark(at, late).dropDuplicatesWithinWatermark(["id"])
-    return messages.dropDuplicates(["id"])
+    return one_per_id(messages, order_cols=(at,))
 
 
 def land_and_score(table: str, model, plans_path: str, encoder=HashingEncoder()):
