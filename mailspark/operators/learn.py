@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict, dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -246,7 +246,3 @@ def score_one(
         [("0" * 16, subject, body)], "id string, subject string, body string"
     )
     return score_messages(row, model, encoder)
-
-
-def quick(params: BoostParams = BoostParams(), rounds: int = 5, depth: int = 3) -> BoostParams:
-    return replace(params, rounds=rounds, max_depth=depth)

@@ -6,8 +6,7 @@ from mailspark import staging
 from mailspark.functions import dates, headers, html, scoring, text, vectors
 from mailspark.operators import mime, rawmail
 from mailspark.queries.base import (
-    received_us,
-    allowed, cleaned, no_urls, page_text, query, squeezed, using, with_defaults,
+    allowed, cleaned, no_urls, page_text, query, received_us, squeezed, using, with_defaults,
 )
 
 C = F.col

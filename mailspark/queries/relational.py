@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from mailspark import staging
 from mailspark.functions import scoring
 from mailspark.operators import chunks, fetch, learn, mime, quality, triage
-from mailspark.queries.base import received_us, bucket, cleaned, query, using, with_defaults
+from mailspark.queries.base import bucket, cleaned, query, received_us, using, with_defaults
 
 _SUBJECT, _BODY = with_defaults("subject", cleaned("body"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mailspark import staging
 from mailspark.operators import fetch, mime, rawmail, triage
-from mailspark.queries.base import received_us, cleaned, query, using, with_defaults
+from mailspark.queries.base import cleaned, query, received_us, using, with_defaults
 from mailspark.session import scratch_dir
 from mailspark.sources import landing, snapshots
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from mailspark import staging
 from mailspark.functions import dates
 from mailspark.operators import chunks, fetch
-from mailspark.queries.base import received_us, query, using
+from mailspark.queries.base import query, received_us, using
 from mailspark.session import scratch_dir
 from mailspark.sources import landing, mailbox, snapshots
 

@@ -86,6 +86,16 @@ def test_any_depth_is_read(spark):
     assert decoded(spark, {"d": (deep,)}, max_depth=3)["d"]["body"] == "bottom"
 
 
+def test_parts_table(spark):
+    deep = node("text/html", "z")
+    for _ in range(8):
+        deep = node("multipart/mixed", None, [deep])
+    rows = [("a", json.dumps(mail(ALT, None, [PLAIN, HTML]))), ("b", json.dumps(deep))]
+    df = spark.createDataFrame(rows, "id string, payload string")
+    got = sorted((r["id"], r["part"], r["mime"]) for r in mime.parts_table(df).collect())
+    assert got == [("a", 0, "text/plain"), ("a", 1, "text/html"), ("b", 0, "text/html")]
+
+
 def test_doubtful_html_takes_the_exact_path(spark):
     pages = {
         "nested": ("<nav>a<nav>b</nav>c</nav>d", "d"),
