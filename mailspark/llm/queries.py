@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from mailspark.llm.common import table
+from mailspark.llm.language_id import identify, learn
 from mailspark.llm.pii import find_personal_data
 from mailspark.llm.secret_scan import scan_secrets
 from mailspark.llm.token_counts import count_tokens
@@ -34,6 +35,12 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, learn(docs))
+
+
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
