@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from mailspark.llm.common import table
+from mailspark.llm.decontamination import contamination_report
 from mailspark.llm.language_id import identify, learn
 from mailspark.llm.pii import find_personal_data
 from mailspark.llm.secret_scan import scan_secrets
@@ -35,6 +36,13 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
