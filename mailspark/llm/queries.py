@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mailspark.llm.common import table
 from mailspark.llm.decontamination import contamination_report
+from mailspark.llm.fingerprints import fingerprint_report
 from mailspark.llm.language_id import identify, learn
 from mailspark.llm.pii import find_personal_data
 from mailspark.llm.secret_scan import scan_secrets
@@ -31,6 +32,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
