@@ -14,6 +14,7 @@ from mailspark.llm.common import table
 from mailspark.llm.decontamination import contamination_report
 from mailspark.llm.fingerprints import fingerprint_report
 from mailspark.llm.language_id import identify, learn
+from mailspark.llm.license_scan import scan_licenses
 from mailspark.llm.pii import find_personal_data
 from mailspark.llm.secret_scan import scan_secrets
 from mailspark.llm.token_counts import count_tokens
@@ -42,6 +43,11 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(
