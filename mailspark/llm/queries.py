@@ -18,6 +18,7 @@ from mailspark.llm.license_scan import scan_licenses
 from mailspark.llm.pii import find_personal_data
 from mailspark.llm.secret_scan import scan_secrets
 from mailspark.llm.token_counts import count_tokens
+from mailspark.llm.token_files import through_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +39,11 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return through_token_files(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
