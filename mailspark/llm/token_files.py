@@ -13,6 +13,7 @@ the end id only. Ids must be below 2 ** 16.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -35,6 +36,8 @@ CACHED_WORDS = 600_000
 WORDS_A_CALL = 4000
 MAGIC = b"MSID"
 HEADER = "<4sIIIQ"  # magic, version, documents, blocks, ids before in the shard
+# Lower-case letters whose upper case is one letter, in Python as in the library
+PLAIN = re.compile("[a-zà-öø-ÿ]+")
 # Python's split() takes these for white space, the tokenizer does not
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
@@ -52,10 +55,10 @@ class WordIds:
         new = [w for w in dict.fromkeys(words) if w not in kept]
         # letters are lowered, and a mark after letters is a piece of its own
         plain = [w[:-1].lower() if w[-1] in ".," else w.lower() for w in new]
-        plain = [p if p.isalpha() else w for p, w in zip(plain, new)]
+        plain = [p if PLAIN.fullmatch(p) else w for p, w in zip(plain, new)]
         self.ask([w for w in dict.fromkeys([*plain, ".", ","]) if w not in kept])
         for word, known in zip(new, plain):
-            if word not in kept:
+            if word not in kept:  # then it was made plain
                 kept[word] = kept[known] + kept[word[-1]] if word[-1] in ".," else kept[known]
 
     def ask(self, words: list[str]) -> None:
