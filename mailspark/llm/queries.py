@@ -15,6 +15,7 @@ from mailspark.llm.decontamination import contamination_report
 from mailspark.llm.fingerprints import fingerprint_report
 from mailspark.llm.language_id import identify, learn
 from mailspark.llm.license_scan import scan_licenses
+from mailspark.llm.near_dedup import near_duplicates
 from mailspark.llm.pii import find_personal_data
 from mailspark.llm.secret_scan import scan_secrets
 from mailspark.llm.token_counts import count_tokens
@@ -39,6 +40,11 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return through_token_files(table(spark, sf_dir, "documents"))
