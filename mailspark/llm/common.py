@@ -96,3 +96,8 @@ def with_id(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Da
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def own_columns(df: DataFrame) -> list:
+    """The columns of a table as they are, whatever is in their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from mailspark.llm.common import with_id, worker_state
+from mailspark.llm.common import own_columns, with_id, worker_state
 
 WINDOW = 13
 # contaminated: at least one word in SHARE is hit
@@ -391,4 +391,4 @@ def contamination_report(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents, with their own columns, that are not contaminated."""
     found = find_contamination(docs, benchmark, text_col)
-    return found.where(~is_contaminated()).select(*docs.columns)
+    return found.where(~is_contaminated()).select(*own_columns(docs))

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mailspark.llm.common import map_batches, strings
+from mailspark.llm.common import map_batches, own_columns, strings, with_id
 from mailspark.llm.decontamination import words_of
 from mailspark.llm.dart_minhash import distances, shingle_hashes, sketch
 from mailspark.session import cut_lineage, scratch_dir
@@ -58,10 +58,9 @@ def sketch_rows(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
             "node": parts[0], "cells": parts[1], "distinct": parts[2], "bands": parts[3],
         }
 
-    keyed = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     key1, key2 = row_key("doc_id", "text")
     return map_batches(
-        keyed.select("doc_id", key1.alias("key1"), key2.alias("key2"), "text"),
+        with_id(docs, text_col, id_col).select("doc_id", key1.alias("key1"), key2.alias("key2"), "text"),
         run,
         "doc_id bigint, key1 bigint, key2 bigint, node bigint, cells bigint, distinct bigint, "
         "bands array<bigint>",
@@ -211,7 +210,7 @@ def find_classes(
         "node",
     )
     texts = _written(
-        docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+        with_id(docs, text_col, id_col)
         .select("text", key1.alias("key1"), key2.alias("key2"))
         .join(wanted, ["key1", "key2"])
         .select("node", "text")
@@ -270,20 +269,20 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
 def keep_first(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The documents, with their own columns, without near-duplicates: the first row of each
     class stays, once."""
-    kept = find_classes(docs, text_col, id_col).where("first").select("key1", "key2").distinct()
-    key1, key2 = F.xxhash64(F.col("__id"), F.col("__text")), F.xxhash64(
-        F.lit(1), F.col("__text"), F.col("__id")
+    kept = (
+        find_classes(docs, text_col, id_col)
+        .where("first")
+        .select(F.col("key1").alias("__kept1"), F.col("key2").alias("__kept2"))
+        .distinct()
     )
-    keyed = (
-        docs.withColumns(
-            {"__id": F.col(id_col).cast("bigint"), "__text": F.col(text_col).cast("string")}
-        )
-        .withColumns({"__key1": key1, "__key2": key2})
-        .drop("__id", "__text")
+    keyed = docs.withColumns(
+        {"__id": F.col(id_col).cast("bigint"), "__text": F.col(text_col).cast("string")}
     )
-    same = (F.col("__key1") == F.col("key1")) & (F.col("__key2") == F.col("key2"))
+    key1, key2 = row_key("__id", "__text")
+    keyed = keyed.withColumns({"__key1": key1, "__key2": key2})
+    same = (F.col("__key1") == F.col("__kept1")) & (F.col("__key2") == F.col("__kept2"))
     return (
         keyed.join(kept, same, "left_semi")
         .dropDuplicates(["__key1", "__key2"])
-        .select(*docs.columns)
+        .select(*own_columns(docs))
     )
