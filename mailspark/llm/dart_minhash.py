@@ -135,7 +135,7 @@ def throw(cells, owner, since, until, best, k: int) -> None:
 
 def band_hashes(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """sets x bands: one number for the coordinates of each band, and the band."""
-    parts = signature.reshape(len(signature), bands, -1)
+    parts = signature.reshape(len(signature), bands, signature.shape[1] // bands)
     out = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=np.uint64)), parts.shape[:2]).copy()
     for r in range(parts.shape[2]):
         out = mix(out * GOLDEN + parts[:, :, r])
