@@ -101,3 +101,8 @@ def shuffle_width(spark: SparkSession) -> int:
 def own_columns(df: DataFrame) -> list:
     """The columns of a table as they are, whatever is in their names."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def as_rows(df: DataFrame) -> DataFrame:
+    """One struct column `__row`, so that no name of the table can clash with others."""
+    return df.select(F.struct(*own_columns(df)).alias("__row"))

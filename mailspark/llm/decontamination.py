@@ -23,9 +23,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
-from mailspark.llm.common import own_columns, with_id, worker_state
+from mailspark.llm.common import as_rows, own_columns, with_id, worker_state
 
 WINDOW = 13
 # contaminated: at least one word in SHARE is hit
@@ -33,6 +33,10 @@ SHARE = 20
 SHARD_BYTES = 24 * 1024 * 1024
 SLICE_BYTES = 16 * 1024 * 1024
 SAMPLED = 8
+FOUND = (
+    "struct<n_words: bigint, spans: array<struct<start: bigint, end: bigint>>, "
+    "items: array<string>>"
+)
 
 # bytes.split() on this gives the words: A-Z lowered, all ASCII but letters and digits blank
 _KEPT = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
@@ -285,33 +289,29 @@ def find_contamination(
     """All columns of the documents, and `__found`: n_words, spans (array of start and end, in
     words, merged) and items (array of ids). Narrow."""
     sc = docs.sparkSession.sparkContext
-    found_type = StructType.fromDDL(
-        "__found struct<n_words: bigint, spans: array<struct<start: bigint, end: bigint>>, "
-        "items: array<string>>"
-    )
     slices = list(_slices(benchmark, item_text_col, item_col, slice_bytes)) or [[]]
-    out = docs
+    out = as_rows(docs)
     for number, items in enumerate(slices):
         shared, key = sc.broadcast(items), uuid.uuid4().hex
-        place = out.columns.index(text_col)
-        left = [
-            c
-            for c in out.columns
-            if c != "__found" and (keep_text or c != text_col or number < len(slices) - 1)
-        ]
-        schema = StructType([out.schema[c] for c in left] + found_type.fields)
+        dropped = "" if keep_text or number < len(slices) - 1 else text_col
+        kept = [f for f in out.schema["__row"].dataType if f.name != dropped]
+        row = StructField("__row", StructType(kept), False)
+        schema = StructType([row, *StructType.fromDDL(f"__found {FOUND}")])
         out = out.mapInArrow(
-            _searcher(shared, key, place, left, window, "__found" in out.columns), schema
+            _searcher(shared, key, text_col, [f.name for f in kept], window, number > 0), schema
         )
-    return out
+    return out.select("__row.*", "__found")
 
 
-def _searcher(shared, key, place, left, window, merge):
+def _searcher(shared, key, text_col, kept, window, merge):
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    kind = pa.struct([("n_words", pa.int64()), ("spans", span), ("items", pa.list_(pa.string()))])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             held.append(batch)
-            size += batch.column(place).nbytes
+            size += batch.column(0).field(text_col).nbytes
             if size >= SHARD_BYTES:
                 yield from search(held)
                 held, size = [], 0
@@ -322,26 +322,20 @@ def _searcher(shared, key, place, left, window, merge):
             return
         phrases = worker_state(("phrases", key), lambda: Phrases(shared.value, window))
         found = iter(
-            search_shard([t for b in held for t in b.column(place).to_pylist()], phrases)
+            search_shard([t for b in held for t in b.column(0).field(text_col).to_pylist()], phrases)
         )
         for batch in held:
             rows = [next(found) for _ in range(batch.num_rows)]
             if merge:
-                rows = [
-                    merged(old, new) for old, new in zip(batch.column("__found").to_pylist(), rows)
-                ]
+                rows = [merged(old, new) for old, new in zip(batch.column(1).to_pylist(), rows)]
             values = [
                 {"n_words": n, "spans": [{"start": a, "end": b} for a, b in s], "items": i}
                 for n, s, i in rows
             ]
-            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            kind = pa.struct(
-                [("n_words", pa.int64()), ("spans", span), ("items", pa.list_(pa.string()))]
-            )
+            whole = batch.column(0)
+            row = pa.StructArray.from_arrays([whole.field(c) for c in kept], names=kept)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.names.index(c)) for c in left]
-                + [pa.array(values, type=kind)],
-                names=[*left, "__found"],
+                [row, pa.array(values, type=kind)], names=["__row", "__found"]
             )
 
     return run

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mailspark.llm.common import map_batches, strings, with_id, worker_state
+from mailspark.llm.common import as_rows, map_batches, strings, with_id, worker_state
 
 UNDETERMINED = "und"
 TRAIN_DOCS = 2000
@@ -268,14 +268,14 @@ def keep_identified(
     """The rows, with all their columns, whose text has a language; `und` goes, and so does
     what scores below `least_score`."""
     shared, key = docs.sparkSession.sparkContext.broadcast(model.parts()), uuid.uuid4().hex
-    place = docs.columns.index(text_col)
+    rows = as_rows(docs)
 
     def run(batches):
         for batch in batches:
             own = worker_state(("language", key), lambda: Model(*shared.value))
-            found = own.label(strings(batch.column(place)))
+            found = own.label(strings(batch.column(0).field(text_col)))
             yield batch.filter(
                 pa.array([x != UNDETERMINED and s >= least_score for x, s, _ in found], pa.bool_())
             )
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, rows.schema).select("__row.*")
