@@ -34,7 +34,11 @@ def parse_mail_date(c: Column) -> Column:
     """RFC 5322 date to an instant. A date without zone, or with -0000, is read as UTC;
     an unreadable one is NULL."""
     text = F.trim(F.regexp_replace(F.regexp_replace(c, r"\s*\([^)]*\)", " "), r"\s+", " "))
-    text = F.regexp_replace(text, r"^[A-Za-z]+,? ", "")
+    text = F.regexp_replace(text, r"^[A-Za-z]+(?:, ?| )", "")
+    # 22-Aug-2025 and full month names
+    text = F.regexp_replace(
+        text, r"^(\d{1,2})[ -]([A-Za-z]{3})[A-Za-z]*\.?[ -](\d{2,4}) ", "$1 $2 $3 "
+    )
     zones = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
     name = F.upper(F.regexp_extract(text, r" ([A-Za-z]+)$", 1))
     offset = F.coalesce(

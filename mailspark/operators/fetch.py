@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from mailspark.functions.dates import DAY_FORMAT
 from mailspark.operators.chunks import first_n, first_n_per_group
 
 # Days a run looks back, page caps, request and retry sizes.
@@ -41,13 +42,12 @@ def list_ids(messages: DataFrame, from_date: dt.date | Column, days: int = DAYS_
 
 def list_ids_by_range(messages: DataFrame, ranges: DataFrame) -> DataFrame:
     """Ids with the day range they fall into. `ranges` holds a row per day asked for."""
-    dated = messages.select(
-        "id", F.date_format("received_at", "yyyy/MM/dd").alias("after_date")
-    )
-    return dated.join(ranges, "after_date").select("id", "after_date", "before_date")
+    dated = messages.select("id", F.to_date("received_at").alias("_day"))
+    days = ranges.withColumn("_day", F.to_date("after_date", DAY_FORMAT))
+    return dated.join(days, "_day").select("id", "after_date", "before_date")
 
 
-def page_cap_per_day(messages: DataFrame, n: int = PAGE_SIZE) -> DataFrame:
+def page_cap_per_day(messages: DataFrame, n: int) -> DataFrame:
     """Only the newest n messages of each day: what one result page shows."""
     dated = messages.withColumn("day", F.to_date("received_at"))
     return first_n_per_group(dated, n, ("day",), (F.col("received_at").desc(), F.col("id")))
@@ -60,14 +60,18 @@ def list_since(messages: DataFrame, since: dt.date, folder: str = "INBOX") -> Da
     )
 
 
-def list_by_label(messages: DataFrame, label_col: str, values, n: int = RESULT_CAP) -> DataFrame:
-    """The first n messages of each label value, all values in one job."""
+def list_by_label(
+    messages: DataFrame, label_col: str, values, n: int | None = None
+) -> DataFrame:
+    """The messages of each label value, or the first n of each, all values in one job."""
     wanted = messages.where(F.col(label_col).isin(*values))
+    if n is None:
+        return wanted
     return first_n_per_group(wanted, n, (label_col,), (F.col("id"),))
 
 
-def list_trash(state: DataFrame, n: int | None = RESULT_CAP) -> DataFrame:
-    """Ids in the trash. n=None lists all of them, which is what a purge needs."""
+def list_trash(state: DataFrame, n: int | None = None) -> DataFrame:
+    """Ids in the trash, or the first n of them."""
     ids = state.where(F.array_contains("labels", "TRASH")).select("id")
     return ids if n is None else first_n(ids, n)
 
@@ -87,6 +91,40 @@ def missing(requested: DataFrame, got: DataFrame, id_col: str = "id") -> DataFra
     return requested.join(got.select(id_col).distinct(), id_col, "left_anti")
 
 
+def tagged_attempts(requested: DataFrame, *attempts: DataFrame) -> DataFrame:
+    """One row for each request (turn 0) and each try (turn 1, 2, ...): id, turn, ok, payload."""
+    none = F.lit(None).cast("string")
+    rows = requested.select("id", F.lit(0).alias("turn"), F.lit(False).alias("ok"), none.alias("payload"))
+    for turn, tried in enumerate(attempts, start=1):
+        payload = F.col("payload").cast("string") if "payload" in tried.columns else none
+        ok = F.coalesce(F.col("status") == "ok", F.lit(False))
+        rows = rows.unionByName(
+            tried.select("id", F.lit(turn).alias("turn"), ok.alias("ok"), payload.alias("payload"))
+        )
+    return rows
+
+
+def first_success(requested: DataFrame, *attempts: DataFrame) -> DataFrame:
+    """(id, attempt, payload, status), each requested id once, in one shuffle.
+
+    The first try that worked counts; of several rows of one try, the least payload. An id that
+    never worked has the number of tries and status failed.
+    """
+    won = F.min(F.when(F.col("ok"), F.struct("turn", "payload"))).alias("won")
+    return (
+        tagged_attempts(requested, *attempts)
+        .groupBy("id")
+        .agg(F.min("turn").alias("asked"), won)
+        .where("asked = 0")
+        .select(
+            "id",
+            F.coalesce("won.turn", F.lit(len(attempts))).alias("attempt"),
+            "won.payload",
+            F.when(F.col("won").isNull(), "failed").otherwise("ok").alias("status"),
+        )
+    )
+
+
 def fetch_with_retry(requested: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:
     """Outcome of a fetch with one retry of what failed.
 
@@ -94,17 +132,4 @@ def fetch_with_retry(requested: DataFrame, first: DataFrame, second: DataFrame)
     requested id once, as (id, payload, attempt, status): an id that failed twice is
     kept with status failed.
     """
-    asked = requested.select("id").distinct()
-    ok = F.col("status") == "ok"
-    got1 = restrict(first.where(ok).select("id", "payload"), asked).withColumn(
-        "attempt", F.lit(1)
-    )
-    failed = missing(asked, got1)
-    retry = second.where(ok).select("id", "payload", F.lit(2).alias("attempt"))
-    got2 = failed.join(retry, "id", "left")
-    return got1.unionByName(got2).select(
-        "id",
-        "payload",
-        F.coalesce("attempt", F.lit(2)).alias("attempt"),
-        F.when(F.col("attempt").isNull(), "failed").otherwise("ok").alias("status"),
-    )
+    return first_success(requested, first, second).select("id", "payload", "attempt", "status")

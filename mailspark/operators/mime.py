@@ -100,6 +100,45 @@ def _deep_leaves(documents: pd.Series) -> pd.Series:
     return documents.map(leaves, na_action="ignore")
 
 
+_PICKED = T.StructType([
+    T.StructField("mime", T.StringType()),
+    T.StructField("data", T.StringType()),
+    T.StructField("headers", T.ArrayType(T.StructType([
+        T.StructField("name", T.StringType()), T.StructField("value", T.StringType()),
+    ]))),
+    T.StructField("deep", T.BooleanType()),
+])
+
+
+def _pick(document: str) -> dict:
+    """What _strict_pick finds, at any depth."""
+    node, blank = json.loads(document) or {}, False
+    while True:
+        mime, data = node.get("mimeType") or "", (node.get("body") or {}).get("data")
+        parts = node.get("parts")
+        if not data or mime in ("text/plain", "text/html") or parts is None:
+            break
+        kinds = [(p or {}).get("mimeType") or "" for p in parts]
+        pages = [p for p, k in zip(parts, kinds) if "html" in k]
+        plains = [p for p, k in zip(parts, kinds) if "plain" in k and "html" not in k]
+        if not pages and not plains:
+            blank = True
+            break
+        node = (pages or plains)[-1]
+    headers_of = [
+        {"name": h.get("name"), "value": h.get("value")} for h in node.get("headers") or []
+    ]
+    text_of = None if blank or not data else data
+    return {
+        "mime": node.get("mimeType"), "data": text_of, "headers": headers_of, "deep": False
+    }
+
+
+@F.pandas_udf(T.ArrayType(_PICKED))
+def _deep_pick(documents: pd.Series) -> pd.Series:
+    return documents.map(lambda document: [_pick(document)], na_action="ignore")
+
+
 def _bytes_of(data: str) -> bytes:
     known = re.sub("[^A-Za-z0-9+/]", "", data.replace("-", "+").replace("_", "/"))
     known = known[: len(known) - (len(known) % 4 == 1)]
@@ -208,7 +247,6 @@ def _finish(df: DataFrame, body: Column, keep: list[str]) -> DataFrame:
             F.col("_subject").alias("subject"),
             text.default_body(F.col("_body"), F.col("_subject")).alias("body"),
             F.when(F.col("_broken").isNotNull(), "broken_document")
-            .when(F.coalesce("_deep", F.lit(False)), "too_deep")
             .when(date.isNotNull() & F.col("received_at").isNull(), "bad_date")
             .alias("decode_note"),
         )
@@ -302,7 +340,7 @@ def _decode_descend(df, payload_col, exact_html, depth, keep) -> DataFrame:
     body = F.coalesce(
         _last_text(page_bodies), _last_text(plain_bodies), text.base64url_to_text(alone)
     )
-    return _finish(df.withColumn("_deep", F.lit(False)), body, keep)
+    return _finish(df, body, keep)
 
 
 def _strict_pick(node: _Node, depth: int) -> str:
@@ -344,6 +382,11 @@ def _decode_strict(df, payload_col, exact_html, depth, keep) -> DataFrame:
             "'headers', n.headers, 'deep', n.deep))"
         ),
     )
+    # documents deeper than the schema are few; they are walked in Python
+    deep = F.col("_leaf")[0]["deep"]
+    df = df.withColumn("_far", _deep_pick(F.when(deep, F.col(payload_col)))).withColumn(
+        "_leaf", F.coalesce("_far", "_leaf")
+    )
     is_page = F.filter("_leaf", lambda n: n["mime"] == "text/html")
     df = _with_html_bodies(
         df.withColumn("_pages", F.transform(is_page, _as_page)), "_pages", exact_html
@@ -355,7 +398,6 @@ def _decode_strict(df, payload_col, exact_html, depth, keep) -> DataFrame:
     node = F.get("_leaf", F.lit(0))
     df = df.withColumns({
         "_own": own,
-        "_deep": node["deep"],
         # the sentence carries the subject of the part it came from
         "_part_subject": text.default_subject(headers.pick_headers(node["headers"])["subject"]),
     })

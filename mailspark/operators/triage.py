@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from mailspark.functions import scoring
 from mailspark.operators.chunks import chunk_arrays
+from mailspark.operators.fetch import first_success
 
 # Ids per request, and tries after the batch attempt.
 TRASH_CHUNK = 50
@@ -34,9 +35,15 @@ def not_confident(scored: DataFrame, p: str = "p", cut: float = scoring.CONFIDEN
     return scored.where(~scoring.is_confident(F.col(p), cut))
 
 
+def _by_mailbox(df: DataFrame) -> tuple[str, ...]:
+    return ("mailbox",) if "mailbox" in df.columns else ()
+
+
 def trash_plan(predicted: DataFrame, size: int = TRASH_CHUNK) -> DataFrame:
-    """(chunk_id, ids) of the messages to move to the trash."""
-    return chunk_arrays(unimportant(predicted), size)
+    """(mailbox, chunk_id, ids) of the messages to move to the trash. A request belongs to one
+    mailbox; without that column all rows are one mailbox's. Numbering reads its input twice, so
+    pass scores that are written, not computed."""
+    return chunk_arrays(unimportant(predicted), size, group_cols=_by_mailbox(predicted))
 
 
 def apply_labels(
@@ -77,24 +84,8 @@ def attempt_outcomes(plan: DataFrame, *attempts: DataFrame) -> DataFrame:
     result is (id, attempts, status), each planned id once; one that fails every time
     stays with status failed.
     """
-    out = plan.select("id").distinct().select("id", F.lit(0).alias("_won"))
-    for turn, tried in enumerate(attempts, start=1):
-        ok = tried.where(F.col("status") == "ok").select("id").distinct()
-        out = (
-            out.join(ok.withColumn("_ok", F.lit(turn)), "id", "left")
-            .withColumn(
-                "_won", F.when(F.col("_won") > 0, F.col("_won")).otherwise(
-                    F.coalesce("_ok", F.lit(0))
-                )
-            )
-            .drop("_ok")
-        )
-    won = F.col("_won") > 0
-    return out.select(
-        "id",
-        F.when(won, F.col("_won")).otherwise(len(attempts)).alias("attempts"),
-        F.when(won, "ok").otherwise("failed").alias("status"),
-    )
+    done = first_success(plan, *[a.select("id", "status") for a in attempts])
+    return done.select("id", F.col("attempt").alias("attempts"), "status")
 
 
 def purge_candidates(
@@ -106,19 +97,16 @@ def purge_candidates(
     kind = run_type if isinstance(run_type, Column) else F.lit(run_type)
     return state.where(
         F.array_contains("labels", "TRASH") & (F.col("trashed_at") < start) & (kind != MANUAL)
-    ).select("id")
+    ).select(*_by_mailbox(state), "id")
 
 
 def purge_plan(candidates: DataFrame, size: int = PURGE_CHUNK) -> DataFrame:
-    return chunk_arrays(candidates, size)
-
-
-def purge(state: DataFrame, plan: DataFrame, at: Column) -> tuple[DataFrame, DataFrame]:
-    """The state without the purged ids, and the audit rows (id, purged_at)."""
-    ids = plan.select(F.explode("ids").alias("id")).distinct()
-    audit = restrict_ids(state, ids).select("id", at.alias("purged_at"))
-    return state.join(ids, "id", "left_anti"), audit
+    """(mailbox, chunk_id, ids): the requests. What changes in tables goes by the candidates."""
+    return chunk_arrays(candidates, size, group_cols=_by_mailbox(candidates))
 
 
-def restrict_ids(state: DataFrame, ids: DataFrame) -> DataFrame:
-    return state.join(ids, "id", "left_semi")
+def purge(state: DataFrame, candidates: DataFrame, at: Column) -> tuple[DataFrame, DataFrame]:
+    """The state without the candidates, and the audit rows (id, purged_at)."""
+    ids = candidates.select("id").distinct()
+    audit = ids.join(state.select("id").distinct(), "id", "left_semi")
+    return state.join(ids, "id", "left_anti"), audit.select("id", at.alias("purged_at"))

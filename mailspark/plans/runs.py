@@ -9,8 +9,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mailspark.functions import text
-from mailspark.operators import fetch, learn, mime, rawmail, triage
+from mailspark.operators import fetch, learn, mime, quality, rawmail, triage
 from mailspark.operators.features import HashingEncoder, embed
+from mailspark.session import cut_lineage, scratch_dir
 from mailspark.sources import landing, snapshots
 
 
@@ -20,6 +21,8 @@ class TriageResult:
     plan: DataFrame
     state: DataFrame
     purged: DataFrame
+    purge_plan: DataFrame
+    counts: DataFrame
 
 
 def triage_run(
@@ -31,32 +34,56 @@ def triage_run(
     run_type: str = triage.SCHEDULED,
     days: int = fetch.DAYS_BACK,
     encoder=HashingEncoder(),
+    run_id: str | None = None,
+    scores_path: str | None = None,
 ) -> TriageResult:
     """List, fetch, decode, land, score, trash and purge.
 
-    `fetched` is (id, payload, received_at), `state` the mailbox state. A manual run
-    neither lands nor purges. What this run moves to the trash is not purged by it.
+    `fetched` is (id, payload, received_at), and mailbox if there are several; `state` the
+    mailbox state. A manual run neither lands nor purges. What this run moves to the trash is
+    not purged by it. Scores are computed once: they are written, and plan and state are made
+    from what was written. An empty input gives empty frames. `run_id` is the run's own, by
+    default its start to the microsecond; a retry gives the same one.
     """
+    spark = fetched.sparkSession
+    by = [c for c in ("mailbox",) if c in fetched.columns]
     wanted = fetch.in_days(fetched, run_start.date(), days)
     decoded = mime.decode_payload(
-        wanted.select("id", F.coalesce("payload", F.lit(fetch.EMPTY_PAYLOAD)).alias("payload"))
+        wanted.select(
+            "id", *by, F.coalesce("payload", F.lit(fetch.EMPTY_PAYLOAD)).alias("payload")
+        )
     ).persist(StorageLevel.MEMORY_AND_DISK)
-    if run_type != triage.MANUAL:
-        landing.land(decoded, landing_table, run_start.strftime("%Y%m%dT%H%M%S"))
-    scored = learn.score_messages(decoded, model, encoder)
+    scores_path = scores_path or scratch_dir(spark, "scores")
+    try:
+        if run_type != triage.MANUAL:
+            landing.land(decoded, landing_table, run_id or f"{run_start:%Y%m%dT%H%M%S.%f}")
+        scored = learn.score_messages(decoded, model, encoder, keep=by)
+        scored.write.mode("overwrite").parquet(scores_path)
+    finally:
+        decoded.unpersist()
+    scored = spark.read.parquet(scores_path)
     plan = triage.trash_plan(scored)
     at = F.lit(run_start).cast("timestamp")
-    old_trash = triage.purge_plan(triage.purge_candidates(state, run_start, run_type))
-    moved = triage.move_to_trash(state, plan, at)
+    old_trash = triage.purge_candidates(state, run_start, run_type)
+    moved = triage.apply_labels(state, triage.unimportant(scored), at)
     kept, purged = triage.purge(moved, old_trash, at)
-    return TriageResult(scored, plan, kept, purged)
+    counts = quality.run_counts(
+        scored, important=F.col("important") == 1, to_trash=F.col("important") == 0
+    )
+    return TriageResult(scored, plan, kept, purged, triage.purge_plan(old_trash), counts)
 
 
 def training_snapshot(
-    messages: DataFrame, base: str, run_ts, label_col: str = "label", values=(1, 0)
+    messages: DataFrame,
+    base: str,
+    run_ts: dt.datetime,
+    label_col: str = "label",
+    values=(1, 0),
+    per_label: int | None = None,
 ) -> None:
-    """The first messages of each label, as one snapshot with a folder per label."""
-    picked = fetch.list_by_label(messages, label_col, values)
+    """The messages of each label, as one snapshot with a folder per label. `per_label` bounds
+    the fitting sample; by default all are taken."""
+    picked = fetch.list_by_label(messages, label_col, values, per_label)
     snapshots.write_snapshot(picked, base, run_ts, label_col)
 
 
@@ -85,19 +112,47 @@ def train(
     candidates: list[learn.BoostParams],
     max_rounds: int = learn.SELF_TRAINING_ROUNDS,
     encoder=HashingEncoder(),
+    model_path: str | None = None,
 ) -> TrainingResult:
-    """Label, fill, embed, split, tune, self-train, evaluate. Frames are (id, subject,
-    body)."""
+    """Label, fill, embed, split, tune, self-train, evaluate, and save if a path is given.
+    Frames are (id, subject, body)."""
     labelled = important.withColumn("label", F.lit(1)).unionByName(
         unimportant.withColumn("label", F.lit(0))
     )
     filled = labelled.withColumn("body", text.body_or_subject(F.col("body"), F.col("subject")))
-    features = embed(filled, encoder=encoder).select("id", "features", "label")
-    learn_on, held_out = learn.split(features.persist(StorageLevel.MEMORY_AND_DISK))
+    features = cut_lineage(embed(filled, encoder=encoder).select("id", "features", "label"))
+    learn_on, held_out = learn.split(features)
     params = candidates[0]
     if len(candidates) > 1:
         params, _ = learn.tune(learn_on, candidates)
     others = embed(unlabelled, encoder=encoder).select("id", "features")
     result = learn.self_train(learn_on, others, params, max_rounds)
+    if model_path:
+        learn.save_model(result.model, model_path, encoder)
     confusion, recall = learn.evaluate(result.model, held_out)
     return TrainingResult(result.model, confusion, recall, result.rounds)
+
+
+def train_from_snapshots(
+    spark: SparkSession,
+    labelled_base: str,
+    unlabelled_base: str,
+    model_path: str,
+    candidates: list[learn.BoostParams],
+    run_ts: str | None = None,
+    **options,
+) -> TrainingResult:
+    """Reads the snapshots of payloads (labels as folders, see training_snapshot), decodes them,
+    trains, and saves the classifier."""
+    known = snapshots.read_snapshot(
+        spark, labelled_base, "id string, payload string, run_ts string, label int", run_ts
+    )
+    others = snapshots.read_snapshot(
+        spark, unlabelled_base, "id string, payload string, run_ts string", run_ts
+    )
+    decoded = mime.decode_payload(known.select("id", "payload", "label"))
+    important, unimportant = (
+        decoded.where(F.col("label") == v).select("id", "subject", "body") for v in (1, 0)
+    )
+    rest = mime.decode_payload(others.select("id", "payload")).select("id", "subject", "body")
+    return train(important, unimportant, rest, candidates, model_path=model_path, **options)

@@ -27,6 +27,7 @@ def received_us():
 WS = r"\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}"
 
 
+# What counts as an address, and the characters that stay.
 def no_urls(x: str) -> str:
     return rf"regexp_replace({x}, 'https?://[^{WS}]+|http?://[^{WS}]+|www\.[^{WS}]+', '', 'g')"
 
@@ -67,7 +68,7 @@ CTES = {
     "messages": """messages AS (
         SELECT lpad(cast(doc_id AS varchar), 16, '0') AS id,
                timestamp '2024-01-01' + doc_id * interval 37 minute AS received_at,
-               substr(split_part(text, '.', 1), 1, 80) AS subject,
+               split_part(text, '.', 1) AS subject,
                text AS body, lang, source
         FROM documents)""",
     "labelset": """labelset AS (

@@ -27,14 +27,14 @@ def utf8_ignore(spark, sf):
 @query("fn03_html_text",
        f"SELECT page_id, {page_text('html')} AS text FROM pages")
 def html_text(spark, sf):
-    pages = staging.spread(staging.table(spark, sf, "pages"), "page_id")
+    pages = staging.table(spark, sf, "pages")
     return html.with_html_text(pages, "html", "text").select("page_id", "text")
 
 
 @query("fn03_html_text_native",
        f"SELECT page_id, {page_text('html')} AS text FROM pages")
 def html_text_native(spark, sf):
-    pages = staging.spread(staging.table(spark, sf, "pages"), "page_id")
+    pages = staging.table(spark, sf, "pages")
     return pages.select("page_id", html.strip_html(C("html")).alias("text"))
 
 
@@ -106,8 +106,10 @@ def header_pick(spark, sf):
 def mail_date(spark, sf):
     at = C("received_at")
     written = (
-        F.when(C("lang") == "en", F.date_format(at, "EEE, d MMM yyyy HH:mm:ss '-0530'"))
+        F.when(C("lang") == "en", F.date_format(at, "EEE,d MMM yyyy HH:mm:ss '-0530'"))
         .when(C("lang") == "de", F.date_format(at, "d MMM yyyy HH:mm 'EST'"))
+        .when(C("lang") == "fr", F.date_format(at, "EEEE, dd-MMM-yy HH:mm:ss 'GMT'"))
+        .when(C("source") == "src1", F.date_format(at, "dd-MMM-yyyy HH:mm:ss '+0000'"))
         .otherwise(F.date_format(at, "EEE, dd MMM yyyy HH:mm:ss '+0000 (UTC)'"))
     )
     parsed = dates.parse_mail_date(written)
@@ -195,6 +197,25 @@ def part_choice(spark, sf):
     ), mode="strict").select("id", "body")
 
 
+@query("fn13_deep_part_choice", using(
+    "messages",
+    f"SELECT id, {with_defaults('NULL', cleaned('body'))[1]} AS body FROM messages"))
+def deep_part_choice(spark, sf):
+    """Six levels of parts, all followed by the strict rule."""
+    below = F.struct(
+        F.lit("text/plain").alias("mimeType"),
+        F.struct(text.text_to_base64url(C("body")).alias("data")).alias("body"),
+    )
+    for level in range(6):
+        below = F.struct(
+            F.lit(f"multipart/plain-{level}").alias("mimeType"),
+            F.struct(F.lit("eA").alias("data")).alias("body"),
+            F.array(below).alias("parts"),
+        )
+    sent = staging.messages(spark, sf).select("id", F.to_json(below).alias("payload"))
+    return mime.decode_payload(sent, mode="strict").select("id", "body")
+
+
 @query("fn14_decode_payload", using(
     "messages",
     f"""SELECT id, epoch_us(received_at) AS received_us, {_S} AS subject, {_PLAIN} AS body,

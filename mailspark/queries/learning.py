@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from mailspark import staging
 from mailspark.functions import scoring, text, vectors
 from mailspark.operators import chunks, features, fetch, learn, mime, quality, triage
-from mailspark.queries.base import cleaned, query, using, with_defaults
-from mailspark.session import scratch_dir
+from mailspark.queries.base import bucket, cleaned, query, using, with_defaults
+from mailspark.session import cut_lineage, scratch_dir
 
 DIM = features.HashingEncoder().dim
 C = F.col
@@ -156,23 +156,11 @@ def triage_slice_query(spark, sf):
     return triage_slice(spark, sf)
 
 
-_FEATURES: dict = {}
-_MODELS: dict = {}
-
-
 def _embedded(spark, sf):
-    """(id, features, label) of the labelled and (id, features) of the other messages,
-    written once per session."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _FEATURES:
-        base = scratch_dir(spark, "features")
-        known = features.embed(_clean(staging.labelled(spark, sf)))
-        known.select("id", "features", "label").write.parquet(base + "/known")
-        others = features.embed(_clean(staging.unlabelled(spark, sf)))
-        others.select("id", "features").write.parquet(base + "/others")
-        _FEATURES[key] = base
-    base = _FEATURES[key]
-    return spark.read.parquet(base + "/known"), spark.read.parquet(base + "/others")
+    """(id, features, label) of the labelled and (id, features) of the other messages."""
+    known = features.embed(_clean(staging.labelled(spark, sf)))
+    others = features.embed(_clean(staging.unlabelled(spark, sf)))
+    return known.select("id", "features", "label"), others.select("id", "features")
 
 
 # Few and shallow rounds: the number of rounds is a parameter of the job.
@@ -180,54 +168,85 @@ SMALL = learn.BoostParams(rounds=3, max_depth=3)
 
 
 def small_model(spark, sf):
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _MODELS:
-        train, _ = learn.split(_embedded(spark, sf)[0])
-        _MODELS[key] = learn.fit(train, SMALL)
-    return _MODELS[key]
+    """Fitted anew for each query: nothing is carried from one to the next."""
+    train, _ = learn.split(_embedded(spark, sf)[0])
+    return learn.fit(cut_lineage(train), SMALL)
 
 
-def _by_label(scored):
-    return scored.groupBy(C("label").cast("bigint").alias("label")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("p"), 6).alias("mean_p")
-    )
+def _in_range():
+    return (C("p") >= 0) & (C("p") <= 1)
+
+
+_TRAIN_SIDE = f"{bucket('id', 100)} >= 25"
 
 
-@query("ml02_train")
+@query("ml02_train", using(
+    "messages labelset",
+    f"""SELECT label::bigint AS label, count(*) AS n, count(*) AS in_range
+        FROM messages JOIN labelset USING (id) WHERE {_TRAIN_SIDE} GROUP BY 1"""))
 def train(spark, sf):
     train, _ = learn.split(_embedded(spark, sf)[0])
-    return _by_label(learn.predict(small_model(spark, sf), train))
+    train = cut_lineage(train)
+    return learn.predict(learn.fit(train, SMALL), train).groupBy(
+        C("label").cast("bigint").alias("label")
+    ).agg(F.count(F.lit(1)).alias("n"), F.count_if(_in_range()).alias("in_range"))
 
 
-@query("ml03_tune")
+@query("ml03_tune", "SELECT 2::bigint AS trials, true AS best_is_highest")
 def tune(spark, sf):
     train, _ = learn.split(_embedded(spark, sf)[0])
     candidates = [
         learn.BoostParams(rounds=2, max_depth=2),
         learn.BoostParams(rounds=2, max_depth=3, eta=0.1),
     ]
-    return learn.tune(train, candidates, parallel=2)[1]
+    best, table = learn.tune(cut_lineage(train), candidates, parallel=2)
+    chosen = (C("max_depth") == best.max_depth) & (C("eta") == best.eta)
+    return table.agg(
+        F.count(F.lit(1)).alias("trials"),
+        (F.max("recall") == F.max(F.when(chosen, C("recall")))).alias("best_is_highest"),
+    )
 
 
-@query("ml04_predict")
+@query("ml04_predict", using(
+    "messages labelset",
+    "SELECT id, true AS in_range FROM messages WHERE id NOT IN (SELECT id FROM labelset)"))
 def predict(spark, sf):
-    return learn.predict(small_model(spark, sf), _embedded(spark, sf)[1]).select("id", "p")
+    scored = learn.predict(small_model(spark, sf), _embedded(spark, sf)[1])
+    return scored.select("id", _in_range().alias("in_range"))
 
 
-@query("ml05_self_training")
-def self_training(spark, sf):
+def _self_trained(spark, sf):
     known, others = _embedded(spark, sf)
     train, _ = learn.split(known)
-    return learn.self_train(train, others, SMALL, max_rounds=2, cut=0.6).labelled.select(
-        "id", "label"
-    )
+    return learn.self_train(train, cut_lineage(others), SMALL, max_rounds=2, cut=0.6)
+
+
+@query("ml05_self_training", using(
+    "messages labelset",
+    f"""SELECT id, 1::bigint AS times FROM messages
+        WHERE id NOT IN (SELECT id FROM labelset) OR {_TRAIN_SIDE}"""))
+def self_training(spark, sf):
+    """Each row is on one side, once: labelled by hand or in a round, or remaining."""
+    done = _self_trained(spark, sf)
+    sides = done.labelled.select("id").unionByName(done.remaining.select("id"))
+    return sides.groupBy("id").agg(F.count(F.lit(1)).alias("times"))
 
 
-@query("agg09_round_sizes")
+@query("agg09_round_sizes", using(
+    "messages labelset",
+    f"""SELECT count(*) AS total, true AS adds_up FROM messages
+        WHERE id NOT IN (SELECT id FROM labelset) OR {_TRAIN_SIDE}"""))
 def round_sizes(spark, sf):
-    known, others = _embedded(spark, sf)
-    train, _ = learn.split(known)
-    return learn.self_train(train, others, SMALL, max_rounds=2, cut=0.6).rounds
+    """In every round labelled and remaining make the whole, and what was added adds up."""
+    rounds = _self_trained(spark, sf).rounds
+    total = C("labelled") + C("remaining")
+    first = F.min(F.when(C("round") == 1, C("labelled") - C("added")))
+    return rounds.agg(
+        F.max(total).alias("total"),
+        ((F.max(total) == F.min(total)) & (first + F.sum("added") == F.max("labelled"))).alias(
+            "adds_up"
+        ),
+    )
 
 
 @query("ml05_one_round", using(
@@ -247,30 +266,55 @@ def one_round(spark, sf):
                     F.lit(None).cast("bigint").alias("label")))
 
 
-@query("ml06_final_evaluation")
+@query("ml06_final_evaluation", using(
+    "messages labelset",
+    f"""SELECT a.actual::bigint AS actual, count(j.id) AS n FROM (VALUES (0), (1)) a(actual)
+        LEFT JOIN (SELECT id, label FROM messages JOIN labelset USING (id)
+                   WHERE NOT {_TRAIN_SIDE}) j ON j.label = a.actual GROUP BY 1"""))
 def final_evaluation(spark, sf):
+    """The rows of the matrix sum to the labels of the hold-out."""
     _, held_out = learn.split(_embedded(spark, sf)[0])
-    return learn.evaluate(small_model(spark, sf), held_out)[0]
+    matrix = learn.evaluate(small_model(spark, sf), held_out)[0]
+    return matrix.select(
+        C("actual").cast("bigint").alias("actual"),
+        (C("predicted_0") + C("predicted_1")).alias("n"),
+    )
+
 
+def _scored_facts(scored):
+    serving = C("important") == (C("p") > scoring.SERVING_THRESHOLD).cast("int")
+    return scored.select("id", _in_range().alias("in_range"), serving.alias("by_threshold"))
 
-@query("ml07_score_messages")
+
+@query("ml07_score_messages", using(
+    "messages", "SELECT id, true AS in_range, true AS by_threshold FROM messages"))
 def score_messages(spark, sf):
     decoded = mime.decode_payload(staging.payloads(spark, sf).select("id", "payload"))
-    return learn.score_messages(quality.require_request(decoded), small_model(spark, sf))
+    return _scored_facts(
+        learn.score_messages(quality.require_request(decoded), small_model(spark, sf))
+    )
 
 
-@query("ml08_score_one")
+@query("ml08_score_one", "SELECT true AS in_range, true AS by_threshold")
 def score_one(spark, sf):
     asked = chunks.first_n(_clean(staging.messages(spark, sf)), 1)
     subject, body = asked.select("subject", "body").first()
-    return learn.score_one(spark, subject, body, small_model(spark, sf))
+    return _scored_facts(
+        learn.score_one(spark, subject, body, small_model(spark, sf))
+    ).drop("id")
 
 
-@query("snk07_save_load_model")
+@query("snk07_save_load_model", using(
+    "messages labelset",
+    """SELECT count(*) AS rows, 0.0::double AS largest_change
+       FROM messages JOIN labelset USING (id)"""))
 def save_load_model(spark, sf):
-    path = scratch_dir(spark, "model")
-    learn.save_model(small_model(spark, sf), path)
-    known, _ = _embedded(spark, sf)
-    return _by_label(learn.predict(learn.load_model(path), known))
-
-
+    """A classifier that was saved and loaded predicts the same."""
+    path, known = scratch_dir(spark, "model"), cut_lineage(_embedded(spark, sf)[0])
+    model = small_model(spark, sf)
+    learn.save_model(model, path)
+    before = learn.predict(model, known)
+    both = learn.predict(learn.load_model(path), before, "again")
+    return both.agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.abs(C("p") - C("again"))).alias("largest_change")
+    )

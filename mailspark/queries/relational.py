@@ -52,10 +52,8 @@ def landing_columns(spark, sf):
     "messages labelset",
     "SELECT id, label::bigint AS label FROM messages JOIN labelset USING (id)"))
 def constant_label(spark, sf):
-    known = staging.labelled(spark, sf)
-    important = known.where(F.col("label") == 1).drop("label").withColumn("label", F.lit(1))
-    others = known.where(F.col("label") == 0).drop("label").withColumn("label", F.lit(0))
-    return important.unionByName(others).select("id", F.col("label").cast("bigint").alias("label"))
+    label = F.when(F.col("label") == 1, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    return staging.labelled(spark, sf).select("id", label.alias("label"))
 
 
 @query("flt01_unimportant", using(
@@ -206,7 +204,7 @@ def union_labelled(spark, sf):
     known = staging.labelled(spark, sf).select(
         "id", "subject", F.col("label").cast("bigint").alias("label")
     )
-    return known.where(F.col("label") == 1).unionByName(known.where(F.col("label") == 0))
+    return known.where(F.col("label").isin(0, 1))
 
 
 @query("set02_add_pseudo_labels", using(
@@ -230,7 +228,7 @@ def add_pseudo_labels(spark, sf):
        AND id NOT IN (SELECT id FROM labelset)"""))
 def remove_moved(spark, sf):
     unlabelled = staging.scores(staging.unlabelled(spark, sf))
-    return fetch.missing(unlabelled.select("id"), triage.confident(unlabelled))
+    return triage.not_confident(unlabelled).select("id")
 
 
 @query("set04_flatten_chunks", using("messages", "SELECT id FROM messages"))

@@ -31,7 +31,7 @@ def ids_by_day_range(spark, sf):
                                       ORDER BY received_at DESC, id) AS r FROM state)
        WHERE r <= 100"""))
 def day_page_cap(spark, sf):
-    capped = fetch.page_cap_per_day(staging.mailbox_state(spark, sf))
+    capped = fetch.page_cap_per_day(staging.mailbox_state(spark, sf), fetch.PAGE_SIZE)
     return capped.select("id", F.date_format("day", dates.DAY_FORMAT).alias("day"))
 
 
@@ -64,16 +64,16 @@ def batched_fetch_retry(spark, sf):
     "messages labelset",
     """SELECT id, label::bigint AS label FROM (
          SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY id) AS r
-         FROM messages JOIN labelset USING (id)) WHERE r <= 500"""))
+         FROM messages JOIN labelset USING (id)) WHERE r <= 30"""))
 def scan_by_label(spark, sf):
-    picked = fetch.list_by_label(staging.labelled(spark, sf), "label", (1, 0))
+    picked = fetch.list_by_label(staging.labelled(spark, sf), "label", (1, 0), 30)
     return picked.select("id", F.col("label").cast("bigint").alias("label"))
 
 
 @query("src06_scan_trash", using(
     "state", "SELECT id FROM state WHERE list_contains(labels, 'TRASH') ORDER BY id LIMIT 500"))
 def scan_trash(spark, sf):
-    return fetch.list_trash(staging.mailbox_state(spark, sf))
+    return fetch.list_trash(staging.mailbox_state(spark, sf), fetch.RESULT_CAP)
 
 
 @query("src07_scan_since", using(
@@ -104,7 +104,7 @@ def raw_mail(spark, sf):
 def read_snapshot(spark, sf):
     path = scratch_dir(spark, "snapshot")
     rows = staging.messages(spark, sf).select("id", F.col("body").alias("payload"))
-    snapshots.write_snapshot(rows, path, F.lit(dt.datetime(2024, 1, 1)))
+    snapshots.write_snapshot(rows, path, dt.datetime(2024, 1, 1))
     return snapshots.read_snapshot(spark, path, "id string, payload string").select("payload")
 
 
@@ -164,10 +164,10 @@ def chunk_per_mailbox(spark, sf):
     "state",
     """SELECT mailbox, id FROM (
          SELECT mailbox, id, row_number() OVER (PARTITION BY mailbox ORDER BY id) AS r
-         FROM state) WHERE r <= 100"""))
+         FROM state) WHERE r <= 20"""))
 def first_per_group(spark, sf):
     ids = staging.mailbox_state(spark, sf).select("mailbox", "id")
-    return chunks.first_n_per_group(ids, fetch.PAGE_SIZE, ("mailbox",), (F.col("id"),))
+    return chunks.first_n_per_group(ids, 20, ("mailbox",), (F.col("id"),))
 
 
 @query("lim01_first_500", using("messages", "SELECT id FROM messages ORDER BY id LIMIT 500"))

@@ -72,7 +72,11 @@ def arrivals_per_day(spark, sf):
     return spark.read.parquet(out)
 
 
-@query("str03_final_days")
+@query("str03_final_days", using(
+    "state",
+    """SELECT strftime(received_at, '%Y/%m/%d') AS day, count(*) AS arrived FROM state
+       WHERE cast(received_at AS date) + interval 1 day
+             <= (SELECT max(received_at) - interval 1 day FROM state) GROUP BY 1"""))
 def final_days(spark, sf):
     """Append mode: only the days the watermark has passed."""
     out, mark = (scratch_dir(spark, k) for k in ("days", "mark"))
@@ -108,9 +112,27 @@ def land_and_score(spark, sf):
     )
 
 
+@query("str05_two_streams", using("messages", "SELECT id, 1::bigint AS times FROM messages"))
+def two_streams(spark, sf):
+    """Two streams with checkpoints of their own land in one table; then nothing comes."""
+    plans, table = scratch_dir(spark, "plan"), scratch_dir(spark, "landing")
+    name = "landed_" + table[-12:]
+    landing.create_landing(spark, name, table)
+    sent = staging.payloads(spark, sf).select("id", "payload")
+    process = streams.land_and_score(name, small_model(spark, sf), plans)
+    odd = F.substring("id", -1, 1).isin("1", "3", "5", "7", "9")
+    for part in (sent.where(odd), sent.where(~odd)):
+        inbox, mark = (scratch_dir(spark, k) for k in ("inbox", "mark"))
+        part.write.parquet(inbox)
+        for _ in range(2):
+            streams.catch_up(streams.stream_files(spark, inbox, sent.schema), process, mark)
+    return landing.landed(spark, name).groupBy("id").agg(F.count(F.lit(1)).alias("times"))
+
+
 @query("str06_retention", using(
     "state",
     """SELECT id FROM state WHERE list_contains(labels, 'TRASH')
        AND trashed_at < timestamp '2024-01-20'"""))
 def retention(spark, sf):
-    return triage.purge_candidates(staging.mailbox_state(spark, sf), dt.datetime(2024, 1, 20))
+    old = triage.purge_candidates(staging.mailbox_state(spark, sf), dt.datetime(2024, 1, 20))
+    return old.select("id")

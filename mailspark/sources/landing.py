@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mailspark.operators.chunks import one_per_id
@@ -44,7 +46,13 @@ def new_rows(batch: DataFrame, landed: DataFrame) -> DataFrame:
 
 def land(batch: DataFrame, name: str, run_id: str) -> None:
     """Insert-if-absent. A run owns its partition and replaces it as a whole, so that
-    running it again gives the same table."""
+    running it again gives the same table, also if it brings nothing.
+
+    run_id must be one run's own: what another run landed under it is lost. A table takes one
+    writer at a time; two would each miss the ids of the other.
+    """
+    if not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError(f"run id {run_id!r} holds more than letters, digits, dots and dashes")
     spark = batch.sparkSession
     others = spark.table(name).where(F.col("run_id") != run_id)
     fits = F.col("id").isNotNull() & (F.length("id") <= ID_LENGTH)
@@ -57,15 +65,12 @@ def land(batch: DataFrame, name: str, run_id: str) -> None:
     if buckets != int(spark.conf.get("spark.sql.shuffle.partitions")):
         # else the rows lie by id as the buckets do, and each task writes its own bucket
         rows = rows.repartition(buckets, "id")
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")  # replaces this run's partition only
-    try:
-        rows.select(*COLUMNS, F.lit(run_id).alias("run_id")).write.mode("overwrite").insertInto(
-            name
-        )
-    finally:
-        spark.conf.set(mode, before)
+    own = f"PARTITION (run_id = '{run_id}')"
+    if spark.sql(f"SHOW PARTITIONS {name} {own}").count():
+        # what an earlier try of this run has left goes, also if no row takes its place
+        nothing = "CAST(null AS STRING), CAST(null AS TIMESTAMP), null, null"
+        spark.sql(f"INSERT OVERWRITE TABLE {name} {own} SELECT {nothing} WHERE false")
+    rows.select(*COLUMNS, F.lit(run_id).alias("run_id")).write.insertInto(name)
 
 
 def landed(spark: SparkSession, name: str) -> DataFrame:

@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from mailspark.functions.dates import run_stamp
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Rows per insert statement, and connections.
 INSERT_BATCH = 50
 CONNECTIONS = 10
-
-
-def write_snapshot(df: DataFrame, base: str, run_ts: Column, label_col: str | None = None) -> None:
-    """Gzip JSON below run_ts=dd-MM-yyyy-HH-mm-ss and, if given, the label. One job
-    writes all labels."""
-    keys = ["run_ts"] + ([label_col] if label_col else [])
-    df.withColumn("run_ts", run_stamp(run_ts)).write.mode("append").partitionBy(*keys).option(
-        "compression", "gzip"
-    ).json(base)
+ROWS_PER_FILE = 100_000
+
+
+def write_snapshot(
+    df: DataFrame,
+    base: str,
+    run_ts: dt.datetime,
+    label_col: str | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> None:
+    """Gzip JSON below run_ts=dd-MM-yyyy-HH-mm-ss and, if given, the label. One job writes all
+    labels. A run owns its folder: running it again replaces it. Gzip cannot be split, so a
+    file holds rows_per_file rows at most."""
+    writer = df.write.mode("overwrite").option("compression", "gzip")
+    writer = writer.option("maxRecordsPerFile", rows_per_file)
+    if label_col:
+        writer = writer.partitionBy(label_col)
+    writer.json(f"{base}/run_ts={run_ts:%d-%m-%Y-%H-%M-%S}")
 
 
 def read_snapshot(spark: SparkSession, base: str, schema: str, run_ts: str | None = None):
@@ -61,10 +69,19 @@ class Handoff:
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
+    """In one task, unless options name partitionColumn, lowerBound, upperBound and
+    numPartitions."""
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
+def write_jdbc(
+    df: DataFrame,
+    url: str,
+    table: str,
+    batch: int = INSERT_BATCH,
+    connections: int = CONNECTIONS,
+    **options: str,
+) -> None:
     df.write.format("jdbc").options(
-        url=url, dbtable=table, batchsize=INSERT_BATCH, numPartitions=CONNECTIONS, **options
+        url=url, dbtable=table, batchsize=batch, numPartitions=connections, **options
     ).mode("append").save()

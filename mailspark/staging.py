@@ -17,14 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Text work takes far longer than the read. A table of fewer files than cores, such
-    as the given ones with a single row group, is spread over all cores first; a table
-    of many files is left as it is read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
-
-
 def mail_id(c: Column) -> Column:
     return F.lpad(c.cast("string"), 16, "0")
 
@@ -40,10 +32,10 @@ def hash_percent(c: Column, buckets: int = 100) -> Column:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         mail_id(F.col("doc_id")).alias("id"),
         received_at(F.col("doc_id")).alias("received_at"),
-        F.substring(F.split_part("text", F.lit("."), F.lit(1)), 1, 80).alias("subject"),
+        F.split_part("text", F.lit("."), F.lit(1)).alias("subject"),
         F.col("text").alias("body"),
         F.lit("text/plain").alias("mime_type"),
         "lang",
@@ -52,7 +44,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def html_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages"), "page_id").select(
+    return table(spark, sf_dir, "pages").select(
         mail_id(F.col("page_id")).alias("id"),
         F.lit("text/html").alias("mime_type"),
         F.col("html").alias("body"),

@@ -92,18 +92,23 @@ def unique_on_arrival(messages: DataFrame, at: str = "received_at", late: str =
 def land_and_score(table: str, model, plans_path: str, encoder=HashingEncoder()):
     """A foreachBatch function over (id, payload): decode, land, score, plan the trash.
 
-    Both outputs are written per batch id and replaced as a whole, so a batch that is
-    run again leaves one copy.
+    Outputs are written per stream and batch and replaced as a whole, so a batch that is
+    run again leaves one copy. A stream is known by the query id that its checkpoint
+    keeps: another stream, or the same one with a new checkpoint, starts at batch 0 again
+    and must not replace what the first has landed.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "by-hand"
         decoded = mime.decode_payload(batch).persist()
         try:
-            landing.land(decoded, table, f"batch-{batch_id}")
-            scored = learn.score_messages(decoded, model, encoder)
-            triage.trash_plan(scored).write.mode("overwrite").parquet(
-                f"{plans_path}/batch_id={batch_id}"
-            )
+            landing.land(decoded, table, f"{stream}-{batch_id}")
+            own = f"stream={stream}/batch_id={batch_id}"
+            scores = f"{plans_path}-scores/{own}"
+            learn.score_messages(decoded, model, encoder).write.mode("overwrite").parquet(scores)
+            plan = triage.trash_plan(spark.read.parquet(scores))
+            plan.write.mode("overwrite").parquet(f"{plans_path}/{own}")
         finally:
             decoded.unpersist()
 

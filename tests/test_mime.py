@@ -86,6 +86,19 @@ def test_any_depth_is_read(spark):
     assert decoded(spark, {"d": (deep,)}, max_depth=3)["d"]["body"] == "bottom"
 
 
+def test_strict_rule_holds_at_any_depth(spark):
+    deep = node("text/html", "<p>deep body</p>")
+    for _ in range(5):
+        deep = node("multipart/html-related", "x", [deep])
+    deep["headers"] = [{"name": "Subject", "value": "S"}]
+    odd = node("multipart/html", "x", [node("image/png", "y")])
+    for _ in range(6):
+        odd = node("multipart/html", "x", [None, odd])
+    got = decoded(spark, {"d": (deep,), "o": (odd,)}, mode="strict")
+    assert got["d"]["body"] == "deep body" and got["d"]["decode_note"] is None
+    assert got["o"]["body"] == EMPTY.format("Email has no Subject")
+
+
 def test_parts_table(spark):
     deep = node("text/html", "z")
     for _ in range(8):

@@ -76,6 +76,32 @@ def test_retry_keeps_every_id_once(spark):
     ]
 
 
+def test_an_id_given_twice_comes_out_once(spark):
+    schema = "id string, status string, payload string"
+    asked = spark.createDataFrame([("a",)], "id string")
+    twice = spark.createDataFrame([("a", "ok", "2"), ("a", "ok", "1"), ("x", "ok", "3")], schema)
+    done = fetch.fetch_with_retry(asked, twice, twice)
+    assert [tuple(r) for r in done.collect()] == [("a", "1", 1, "ok")]
+
+
+def test_trash_requests_belong_to_one_mailbox(spark):
+    scored = spark.createDataFrame(
+        [(f"{i:03}", i % 3, 0) for i in range(200)], "id string, mailbox bigint, important int"
+    )
+    plan = triage.trash_plan(scored).collect()
+    assert all(len(r["ids"]) <= 50 for r in plan)
+    assert all({int(i) % 3 for i in r["ids"]} == {r["mailbox"]} for r in plan)
+    assert sum(len(r["ids"]) for r in plan) == 200
+
+
+def test_caps_are_asked_for(spark):
+    df = spark.createDataFrame([(f"{i}", 1, ["TRASH"]) for i in range(700)],
+                               "id string, label int, labels array<string>")
+    assert fetch.list_by_label(df, "label", (1, 0)).count() == 700
+    assert fetch.list_by_label(df, "label", (1, 0), 10).count() == 10
+    assert fetch.list_trash(df).count() == 700
+
+
 def test_day_filter_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "m")
     spark.sql("SELECT '1' AS id, timestamp'2024-01-03 00:00:00' AS received_at").write.parquet(path)
@@ -106,7 +132,8 @@ def test_purge_spares_what_this_run_trashed(spark):
     at = F.lit(start).cast("timestamp")
     plan = spark.createDataFrame([(0, ["fresh"])], "chunk_id bigint, ids array<string>")
     moved = triage.move_to_trash(mailbox(spark, start), plan, at)
-    old = triage.purge_plan(triage.purge_candidates(moved, start))
+    old = triage.purge_candidates(moved, start)
+    assert [r["ids"] for r in triage.purge_plan(old).collect()] == [["old"]]
     kept, audit = triage.purge(moved, old, at)
     assert {r["id"]: r["labels"] for r in kept.collect()} == {
         "kept": ["INBOX"], "fresh": ["INBOX", "TRASH"],

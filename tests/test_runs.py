@@ -41,6 +41,11 @@ def test_triage_run(spark, tiny, tmp_path):
         bad = {r["id"] for r in scored if not r["important"]}
         planned = [i for r in result.plan.collect() for i in r["ids"]]
         assert sorted(planned) == sorted(bad)
+        counts = result.counts.first()
+        assert (counts["rows"], counts["to_trash"]) == (len(scored), len(bad))
+        # scores are read back, not computed again
+        for frame in (result.scored, result.plan, result.state):
+            assert "ArrowEval" not in frame._jdf.queryExecution().executedPlan().toString()
         after = {r["id"]: r for r in result.state.collect()}
         assert {i for i, r in after.items() if "TRASH" in r["labels"] and i != "gone"} == bad
         landed = landing.landed(spark, name).count()
@@ -63,7 +68,7 @@ def test_training_run(spark, tiny):
 
 def test_snapshots_of_labels_and_raw_mail(spark, tiny, tmp_path):
     known = staging.labelled(spark, tiny).select("id", "subject", "body", "label")
-    runs.training_snapshot(known, str(tmp_path / "s"), F.lit(dt.datetime(2024, 1, 1)))
+    runs.training_snapshot(known, str(tmp_path / "s"), dt.datetime(2024, 1, 1))
     back = snapshots.read_snapshot(spark, str(tmp_path / "s"), "id string, label int")
     assert back.count() == known.count()
     raw = staging.raw_mail(spark, tiny)
@@ -107,6 +112,34 @@ def test_batches_land_and_plan_once(spark, tiny, tmp_path):
     assert spark.read.parquet(str(tmp_path / "plans")).count() == before
 
 
+def test_two_streams_share_a_landing_table(spark, tiny, tmp_path):
+    sent = staging.payloads(spark, tiny).select("id", "payload")
+    name = "t_" + uuid.uuid4().hex[:10]
+    landing.create_landing(spark, name, str(tmp_path / name), buckets=4)
+    process = streams.land_and_score(name, model(spark, tiny), str(tmp_path / "plans"))
+    half = F.col("id") < "0000000000000100"
+    for k, part in enumerate((half, ~half)):  # both start at batch 0
+        sent.where(part).write.parquet(str(tmp_path / f"in{k}"))
+        stream = streams.stream_files(spark, str(tmp_path / f"in{k}"), sent.schema)
+        streams.catch_up(stream, process, str(tmp_path / f"c{k}"))
+    assert landing.landed(spark, name).count() == sent.count()
+    assert len(list((tmp_path / "plans").glob("stream=*"))) == 2
+
+
+def test_training_from_snapshots_saves_the_model(spark, tiny, tmp_path):
+    sent = staging.payloads(spark, tiny).select("id", "payload")
+    known = sent.join(staging.labels(spark, tiny), "id")
+    at = dt.datetime(2024, 1, 1)
+    runs.training_snapshot(known, str(tmp_path / "known"), at, per_label=30)
+    snapshots.write_snapshot(sent.join(known, "id", "left_anti"), str(tmp_path / "rest"), at)
+    result = runs.train_from_snapshots(
+        spark, str(tmp_path / "known"), str(tmp_path / "rest"), str(tmp_path / "model"), [SMALL],
+        max_rounds=1,
+    )
+    assert result.confusion.count() == 2
+    assert learn.load_model(str(tmp_path / "model")).getNumTrees == SMALL.rounds
+
+
 def test_topic_values(spark):
     df = spark.createDataFrame(
         [('"a1"',), ('{"stop_consumer":true}',), ('"b2"',)], "value string"

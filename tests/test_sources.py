@@ -33,6 +33,17 @@ def test_landing_is_insert_if_absent(spark, tmp_path):
     assert landing.landed_count(spark, name).first()[0] == 3
 
 
+def test_a_rerun_that_brings_nothing_leaves_nothing(spark, tmp_path):
+    name = new_table(spark, tmp_path)
+    rows = spark.createDataFrame([("a", DAY, "s1", "p")], ROW)
+    landing.land(rows, name, "run-1")
+    landing.land(rows.withColumn("id", F.lit("b")), name, "run-2")
+    landing.land(rows.limit(0), name, "run-1")
+    assert [r["id"] for r in landing.landed(spark, name).collect()] == ["b"]
+    with pytest.raises(ValueError):
+        landing.land(rows, name, "x') SELECT 1 --")
+
+
 def test_landing_refuses_bad_ids(spark, tmp_path):
     name = new_table(spark, tmp_path)
     with pytest.raises(Exception, match="1 to 16 characters"):
@@ -58,7 +69,8 @@ def test_landed_side_is_not_shuffled(spark, tmp_path):
 def test_snapshot_round_trip(spark, tmp_path):
     base = str(tmp_path / "snap")
     df = spark.createDataFrame([("a", 1), ("b", 0)], "id string, label int")
-    snapshots.write_snapshot(df, base, F.lit(dt.datetime(2025, 8, 22, 3, 23, 5)), "label")
+    for _ in range(2):
+        snapshots.write_snapshot(df, base, dt.datetime(2025, 8, 22, 3, 23, 5), "label")
     back = snapshots.read_snapshot(
         spark, base, "id string, run_ts string, label int", "22-08-2025-03-23-05"
     )
