@@ -8,7 +8,7 @@ from mailspark import staging
 from mailspark.operators import fetch, mime, rawmail, triage
 from mailspark.queries.base import cleaned, query, received_us, using, with_defaults
 from mailspark.session import scratch_dir
-from mailspark.sources import landing, snapshots
+from mailspark.sources import landing, snapshots, state
 
 RUN = dt.datetime(2024, 2, 1)
 MID = dt.datetime(2024, 1, 20)
@@ -118,8 +118,7 @@ def stage_handoff(spark, sf):
 
 def _planned(spark, sf):
     """Mailbox events with a predicted class: unimportant when the value is low."""
-    state = staging.mailbox_state(spark, sf)
-    return state.select("id", (F.col("value") >= 35).cast("int").alias("important"))
+    return staging.mailbox_state(spark, sf).select("id", (F.col("value") >= 35).cast("int").alias("important"))
 
 
 @query("snk09_move_to_trash", using(
@@ -146,15 +145,39 @@ def move_to_trash(spark, sf):
     """SELECT id, CASE WHEN trashed_at < timestamp '2024-01-20' THEN 'purged' ELSE 'kept' END
               AS outcome FROM state"""))
 def purge(spark, sf):
-    state = staging.mailbox_state(spark, sf)
+    now = staging.mailbox_state(spark, sf)
     kept, audit = triage.purge(
-        state, triage.purge_candidates(state, MID), F.lit(MID).cast("timestamp")
+        now, triage.purge_candidates(now, MID), F.lit(MID).cast("timestamp")
     )
     return kept.select("id", F.lit("kept").alias("outcome")).unionByName(
         audit.select("id", F.lit("purged").alias("outcome"))
     )
 
 
+@query("snk09_snk10_written_state", using(
+    "state",
+    """SELECT id, epoch_us(CASE WHEN value < 35 THEN coalesce(trashed_at, timestamp '2024-02-01')
+                            ELSE trashed_at END) AS trashed_us,
+              list_contains(labels, 'TRASH') OR value < 35 AS in_trash
+       FROM state
+       WHERE NOT (coalesce(trashed_at < timestamp '2024-01-20', false) AND value >= 35)"""))
+def written_state(spark, sf):
+    """Changes made to the written table, run twice, and read back."""
+    path, audit = scratch_dir(spark, "state"), scratch_dir(spark, "audit")
+    before = staging.mailbox_state(spark, sf)
+    state.write_state(before, path)
+    old = triage.purge_candidates(before, MID)
+    at = F.lit(RUN).cast("timestamp")
+    for _ in range(2):
+        state.commit_changes(
+            spark, path, triage.unimportant(_planned(spark, sf)), old, at, audit, "run-1"
+        )
+    return state.read_state(spark, path).select(
+        "id", F.unix_micros("trashed_at").alias("trashed_us"),
+        F.array_contains("labels", "TRASH").alias("in_trash"),
+    )
+
+
 @query("snk11_trash_with_retries", using(
     "outcomes",
     """SELECT id,
@@ -178,10 +201,10 @@ def trash_with_retries(spark, sf):
               '2024-01-20' THEN 1 END) AS purged
        FROM state CROSS JOIN (VALUES ('manual'), ('scheduled')) t(run_type) GROUP BY 1"""))
 def run_type_gate(spark, sf):
-    state = staging.mailbox_state(spark, sf)
+    now = staging.mailbox_state(spark, sf)
 
     def purged(kind):
-        found = triage.purge_candidates(state, MID, kind)
+        found = triage.purge_candidates(now, MID, kind)
         return found.agg(F.count("id").alias("purged")).select(
             F.lit(kind).alias("run_type"), "purged"
         )

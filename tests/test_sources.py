@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mailspark import staging
 from mailspark.session import scratch_dir, shared_dir
-from mailspark.sources import landing, mailbox, snapshots
+from mailspark.sources import landing, mailbox, snapshots, state
 
 
 def new_table(spark, tmp_path, buckets=4):
@@ -66,6 +66,29 @@ def test_landed_side_is_not_shuffled(spark, tmp_path):
     assert "Exchange" not in scan[-2]
 
 
+def test_changes_rewrite_touched_days_only(spark, tmp_path):
+    path, audit = str(tmp_path / "state"), str(tmp_path / "audit")
+    rows = [
+        (f"d{d}i{i}", 1, DAY + dt.timedelta(days=d), ["INBOX"], None) for d in range(3) for i in range(4)
+    ]
+    state.write_state(spark.createDataFrame(
+        rows, "id string, mailbox bigint, received_at timestamp, labels array<string>, "
+        "trashed_at timestamp"
+    ), path)
+    untouched = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "state" / "day=2024-01-03").iterdir()}
+    trash = spark.createDataFrame([("d0i0",), ("d0i1",), ("nowhere",)], "id string")
+    purge = spark.createDataFrame([("d1i0",), ("d0i1",)], "id string")
+    at = F.lit(DAY).cast("timestamp")
+    for _ in range(2):
+        state.commit_changes(spark, path, trash, purge, at, audit, "r1")
+    after = {r["id"]: r["labels"] for r in state.read_state(spark, path).collect()}
+    assert len(after) == 11 and "d1i0" not in after
+    assert [i for i, x in sorted(after.items()) if "TRASH" in x] == ["d0i0", "d0i1"]
+    now = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "state" / "day=2024-01-03").iterdir()}
+    assert now == untouched
+    assert spark.read.parquet(audit).groupBy("action").count().count() == 2
+
+
 def test_snapshot_round_trip(spark, tmp_path):
     base = str(tmp_path / "snap")
     df = spark.createDataFrame([("a", 1), ("b", 0)], "id string, label int")
