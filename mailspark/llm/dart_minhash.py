@@ -7,8 +7,8 @@ of k coordinates; a coordinate keeps its earliest dart. Two sets agree in a coor
 probability of their weighted Jaccard similarity. A set of total weight W needs darts until
 (k ln k + 2k) / W only; sets that leave a coordinate empty wait twice as long.
 
-Here elements are word shingles and weights are their counts: the i-th occurrence of a shingle is
-its i-th cell. The set of distinct shingles is the same with the first cells only.
+Here elements are word shingles. Their weight is their count (the i-th occurrence of a shingle is
+its i-th cell) or one: with counts, texts that share one much repeated line look alike.
 """
 
 from __future__ import annotations
@@ -142,36 +142,28 @@ def band_hashes(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return out
 
 
-def sketch(texts: list[str]) -> list[tuple[int, int, int, list[int]]]:
-    """Node (equal for texts of equal shingles), cells, distinct shingles and bands of each text.
+def elements(hashes: np.ndarray, counted: bool = False) -> np.ndarray:
+    """The cells of a text's shingles: all of them, or one for each distinct shingle."""
+    return cells_of(hashes) if counted else hashes[occurrence(hashes) == 0]
 
-    Bands are those of the counted set and, where a shingle repeats, those of the distinct set
-    too, so pairs alike by either measure meet.
-    """
-    hashes = shingle_hashes([words_of(t) for t in texts])
+
+def sketch(texts: list[str], counted: bool = False) -> list[tuple[int, list[int]]]:
+    """Node (equal for texts of the same elements) and bands of each text. A text without words
+    has no bands, and a node of its own text."""
+    sets = [elements(h, counted) for h in shingle_hashes([words_of(t) for t in texts])]
     nodes = [
-        xxhash.xxh3_128_digest(h.tobytes() if len(h) else b"text" + t.encode())[:8]
-        for h, t in zip(hashes, texts)
+        xxhash.xxh3_128_digest(x.tobytes() if len(x) else b"text" + t.encode())[:8]
+        for x, t in zip(sets, texts)
     ]
-    nth = [occurrence(h) for h in hashes]
-    distinct = [int((n == 0).sum()) for n in nth]
-    counted = band_hashes(signatures([cells_of(h) for h in hashes]))
-    again = [i for i, h in enumerate(hashes) if distinct[i] < len(h)]
-    alone = band_hashes(signatures([hashes[i][nth[i] == 0] for i in again]))
-    bands = [b.view(np.int64).tolist() if len(h) else [] for b, h in zip(counted, hashes)]
-    for i, b in zip(again, alone):
-        bands[i] = sorted({*bands[i], *b.view(np.int64).tolist()})
+    bands = band_hashes(signatures(sets)).view(np.int64).tolist()
     return [
-        (int.from_bytes(node, "little", signed=True), len(h), d, b)
-        for node, h, d, b in zip(nodes, hashes, distinct, bands)
+        (int.from_bytes(node, "little", signed=True), b if len(x) else [])
+        for node, b, x in zip(nodes, bands, sets)
     ]
 
 
-def distances(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
-    """Jaccard distance of the distinct shingles and of the counted ones, for sorted hashes."""
-    out = []
-    for x, y in ((a[occurrence(a) == 0], b[occurrence(b) == 0]), (cells_of(a), cells_of(b))):
-        shared = len(np.intersect1d(x, y, assume_unique=True))
-        union = len(x) + len(y) - shared
-        out.append(1 - shared / union if union else 0.0)
-    return out[0], out[1]
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sorted sets."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    union = len(a) + len(b) - shared
+    return shared / union if union else 1.0

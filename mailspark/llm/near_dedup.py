@@ -1,37 +1,43 @@
 """Near-duplicate classes by DartMinHash signatures and banded joining.
 
-Texts are linked if their five-word shingles are alike by 0.8 or more, as sets or counted
-(Jaccard). Texts of the same shingles are one node, so copies never become pairs. Classes are
-the connected components of the links.
+Texts are linked if the sets of their five-word shingles are alike by 0.8 or more (Jaccard).
+Texts of the same shingles are one node, so copies never become pairs. Classes are the connected
+components of the links.
 
-1. Nodes that share a band meet in a bucket. In each bucket all are compared, as texts, with one
-   leader (of four orders, so a node has several leaders): the pairs grow with the rows.
+1. Nodes that share a band meet in a bucket. All of a bucket are compared, as whole texts, with
+   its leader; four orders of the nodes give a node several leaders. The pairs grow with the rows.
 2. Components of the links found.
-3. What is left are pairs of different components in one bucket. Both distances to the leader
-   are known, so a pair stays only if the triangle inequality allows a link by either measure.
-   Pairs inside a component are never made.
+3. What could be missed are links between nodes of different components with a common leader.
+   Leaders whose nodes lie in one component are done. The others' nodes are compared exactly, all
+   but those of the largest component with all, and give only links that join components. A
+   leader's nodes are cut into blocks, so no task holds more than two blocks of them.
 
-Buckets, pairs and links are joined and pre-aggregated in Spark; no bucket is gathered in a task.
-Intermediate tables are written below the shared folder.
+Intermediate tables are written below the shared folder; what Spark joins, it can split.
 
 A text of fewer than five words is one shingle; a text without words is alike its exact copies
 only; null is empty. Repeated rows are members like any other. The class id is the smallest
-doc_id in it, null if none has one.
+doc_id in it, null if none has one. Texts are told apart by 64 bits of their shingles: among a
+thousand million different texts the chance of one wrong pair is three in a hundred.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mailspark.llm.common import map_batches, own_columns, strings, with_id
+from mailspark.llm.common import map_batches, own_columns, shuffle_width, strings, with_id
+from mailspark.llm.dart_minhash import elements, shingle_hashes, similarity, sketch
 from mailspark.llm.decontamination import words_of
-from mailspark.llm.dart_minhash import distances, shingle_hashes, sketch
 from mailspark.session import cut_lineage, scratch_dir
 
 SIMILARITY = 0.8
+ROUNDING = 1e-9
+BLOCK_ROWS = 1500
+BLOCK_BYTES = 4 * 1024 * 1024
 # Four orders of the nodes, by flipping bits.
 ORDERS = (0, 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
 
@@ -47,55 +53,57 @@ def row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
     return F.xxhash64(id_col, text_col), F.xxhash64(F.lit(1), text_col, id_col)
 
 
-def sketch_rows(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """(doc_id, key1, key2, node, cells, distinct, bands) of each row; narrow."""
+def sets_of(texts: list[str], counted: bool = False) -> list[np.ndarray]:
+    return [elements(h, counted) for h in shingle_hashes([words_of(t) for t in texts])]
+
+
+def sketch_rows(docs: DataFrame, text_col: str, id_col: str, counted: bool) -> DataFrame:
+    """(doc_id, key1, key2, node, bands) of each row; narrow."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        found = sketch(strings(batch.column(3)))
-        parts = [list(x) for x in zip(*found)]
+        found = sketch(strings(batch.column(3)), counted)
         return {
             "doc_id": batch.column(0), "key1": batch.column(1), "key2": batch.column(2),
-            "node": parts[0], "cells": parts[1], "distinct": parts[2], "bands": parts[3],
+            "node": [node for node, _ in found], "bands": [bands for _, bands in found],
         }
 
     key1, key2 = row_key("doc_id", "text")
     return map_batches(
-        with_id(docs, text_col, id_col).select("doc_id", key1.alias("key1"), key2.alias("key2"), "text"),
+        with_id(docs, text_col, id_col).select(
+            "doc_id", key1.alias("key1"), key2.alias("key2"), "text"
+        ),
         run,
-        "doc_id bigint, key1 bigint, key2 bigint, node bigint, cells bigint, distinct bigint, "
-        "bands array<bigint>",
+        "doc_id bigint, key1 bigint, key2 bigint, node bigint, bands array<bigint>",
     )
 
 
-def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, apart, apart_counted): both distances of each pair of nodes, from whole texts."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+def compare(pairs: DataFrame, texts: DataFrame, counted: bool) -> DataFrame:
+    """(leader, node, alike) of each pair, from whole texts."""
+    left = texts.select(F.col("node").alias("leader"), F.col("text").alias("text_a"))
+    right = texts.select("node", F.col("text").alias("text_b"))
 
     def run(batch: pa.RecordBatch) -> dict:
         a, b = strings(batch.column(2)), strings(batch.column(3))
         unlike = list(dict.fromkeys([*a, *b]))
-        hashes = dict(zip(unlike, shingle_hashes([words_of(t) for t in unlike])))
-        found = [distances(hashes[x], hashes[y]) for x, y in zip(a, b)]
+        sets = dict(zip(unlike, sets_of(unlike, counted)))
         return {
-            "a": batch.column(0), "b": batch.column(1),
-            "apart": [x for x, _ in found], "apart_counted": [y for _, y in found],
+            "leader": batch.column(0), "node": batch.column(1),
+            "alike": [similarity(sets[x], sets[y]) for x, y in zip(a, b)],
         }
 
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return map_batches(both, run, "a bigint, b bigint, apart double, apart_counted double")
+    both = pairs.join(right, "node").join(left, "leader").select(
+        "leader", "node", "text_a", "text_b"
+    )
+    return map_batches(both, run, "leader bigint, node bigint, alike double")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of the nodes in links (a, b): the least node that can be reached. Labels
     spread along links and jump to their label's label until none changes."""
-    edges = cut_lineage(
-        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        .distinct()
-    )
+    back = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    edges = cut_lineage(links.select("a", "b").unionByName(back).distinct())
     label = cut_lineage(
-        edges.groupBy("a").agg(F.least("a", F.min("b")).alias("component"))
-        .withColumnRenamed("a", "node")
+        edges.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("component"))
     )
     while True:
         heard = (
@@ -107,10 +115,10 @@ def components(links: DataFrame) -> DataFrame:
             "node", "component", F.least("component", "heard").alias("near")
         )
         onward = label.select(F.col("node").alias("near"), F.col("component").alias("far"))
+        least = F.least("near", "far")
         moved = cut_lineage(
             nearer.join(onward, "near").select(
-                "node", F.least("near", "far").alias("component"),
-                (F.least("near", "far") < F.col("component")).alias("changed"),
+                "node", least.alias("component"), (least < F.col("component")).alias("changed")
             )
         )
         label = moved.select("node", "component")
@@ -118,77 +126,136 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def _pairs_left(met: DataFrame, label: DataFrame, apart: float) -> DataFrame:
-    """Pairs of different components in one bucket that could be linked. `met` has bucket, node
-    and the node's distances to the bucket's leader."""
-    in_component = met.join(label, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
-    )
-    mixed = (
-        in_component.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low != high")
-        .select("bucket")
+def joining_links(
+    nodes: list[int], component: list[int], second: list[bool], sets: list[np.ndarray], alike: float
+) -> list[tuple[int, int]]:
+    """Links between nodes of different components, as few as join what can be joined.
+
+    If `second` marks some nodes, they are the other block and only links across are sought. The
+    sets that hold a shingle are found in one sorted list of all shingles, so comparing one node
+    with all others is one pass over the places its shingles share.
+    """
+    parent: dict[int, int] = {c: c for c in component}
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    largest = Counter(component).most_common(1)[0][0]
+    sizes = np.array([len(s) for s in sets])
+    shingles = np.concatenate(sets)
+    order = np.argsort(shingles, kind="stable")
+    shingles, owner = shingles[order], np.repeat(np.arange(len(sets)), sizes)[order]
+    across, other = any(second), np.array(second)
+    links = []
+    for y, own in enumerate(sets):
+        if component[y] == largest or not len(own):
+            continue
+        first = np.searchsorted(shingles, own, "left")
+        n = np.searchsorted(shingles, own, "right") - first
+        places = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        shared = np.bincount(owner[places], minlength=len(sets))
+        near = shared >= (alike - ROUNDING) * (sizes[y] + sizes - shared)
+        near[y] = False
+        if across:
+            near &= other != other[y]
+        for x in np.flatnonzero(near).tolist():
+            a, b = root(component[x]), root(component[y])
+            if a != b:
+                parent[a] = b
+                links.append((nodes[y], nodes[x]))
+    return links
+
+
+def links_left(
+    compared: DataFrame, label: DataFrame, texts: DataFrame, alike: float, counted: bool
+) -> DataFrame:
+    """Links (a, b) between different components among the nodes of one leader."""
+    leaders = compared.select("leader").distinct()
+    members = (
+        compared.select("leader", "node")
+        .unionByName(leaders.select("leader", F.col("leader").alias("node")))
+        .join(label, "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
     )
-    members = in_component.join(mixed, "bucket")
-    # distances of a component's members to the leader lie in a range; components whose ranges
-    # are too far apart by both measures hold no link
-    groups = members.groupBy("bucket", "component").agg(
-        F.min("apart").alias("low"), F.max("apart").alias("high"),
-        F.min("apart_counted").alias("low_counted"), F.max("apart_counted").alias("high_counted"),
+    sized = members.join(
+        texts.select("node", F.octet_length("text").alias("size")), "node"
     )
-
-    def renamed(df: DataFrame, mark: str) -> DataFrame:
-        return df.select("bucket", *[F.col(c).alias(c + mark) for c in df.columns if c != "bucket"])
-
-    def within(low: str, high: str) -> Column:
-        return (F.col(f"{low}_x") - F.lit(apart) <= F.col(f"{high}_y")) & (
-            F.col(f"{low}_y") - F.lit(apart) <= F.col(f"{high}_x")
+    # a leader and one node were compared already, and so were nodes of one component
+    mixed = (
+        sized.groupBy("leader")
+        .agg(
+            F.min("component").alias("low"), F.max("component").alias("high"),
+            F.count("*").alias("n"), F.sum("size").alias("bytes"),
+        )
+        .where("low != high and n > 2")
+        .select(
+            "leader",
+            F.ceil(
+                F.greatest(F.col("n") / F.lit(BLOCK_ROWS), F.col("bytes") / F.lit(BLOCK_BYTES))
+            ).cast("int").alias("blocks"),
         )
-
-    close = (
-        renamed(groups, "_x").join(renamed(groups, "_y"), "bucket")
-        .where(F.col("component_x") < F.col("component_y"))
-        .where(within("low", "high") | within("low_counted", "high_counted"))
-        .select("bucket", "component_x", "component_y")
     )
-
-    def near(c: str) -> Column:
-        return F.abs(F.col(f"{c}_x") - F.col(f"{c}_y")) <= F.lit(apart)
-
-    return (
-        close.join(renamed(members, "_x"), ["bucket", "component_x"])
-        .join(renamed(members, "_y"), ["bucket", "component_y"])
-        .where(near("apart") | near("apart_counted"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = (
+        members.join(mixed, "leader")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")
+            "leader", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+            "own", "node", "component",
         )
-        .distinct()
     )
+    grouped = (
+        dealt.join(texts, "node")
+        .select("leader", "low", "high", "own", "node", "component", "text")
+        .repartition(shuffle_width(texts.sparkSession), "leader", "low", "high")
+        .sortWithinPartitions("leader", "low", "high", "node")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(6)]
+            for *key, own_block, node, component, text in zip(*columns, strings(batch.column(6))):
+                if key != now:
+                    yield from found(held, now)
+                    held, now = [], key
+                held.append((node, component, own_block, text))
+        yield from found(held, now)
+
+    def found(held: list[tuple], key) -> Iterator[pa.RecordBatch]:
+        if len({component for _, component, _, _ in held}) < 2:
+            return
+        nodes, component, block, text = (list(x) for x in zip(*held))
+        second = [key[1] != key[2] and b == key[2] for b in block]
+        links = joining_links(nodes, component, second, sets_of(text, counted), alike)
+        if links:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(x), pa.int64()) for x in zip(*links)], names=["a", "b"]
+            )
+
+    return grouped.mapInArrow(run, "a bigint, b bigint")
 
 
 def find_classes(
     docs: DataFrame,
     text_col: str = "text",
     id_col: str = "doc_id",
-    similarity: float = SIMILARITY,
+    alike: float = SIMILARITY,
+    counted: bool = False,
 ) -> DataFrame:
-    """(doc_id, key1, key2, class_id, n_links, first) of each row. n_links counts the compared
-    texts with other shingles that the row's text is linked to; first marks the rows equal to the
-    class's first row, by doc_id, in which null comes last."""
-    apart = 1 - similarity + 1e-9
-    rows = _written(sketch_rows(docs, text_col, id_col), "sketches")
+    """(doc_id, key1, key2, class_id, first) of each row; first marks the rows equal to the
+    class's first row, by doc_id, in which null comes last. `counted` weighs shingles by their
+    counts."""
+    rows = _written(sketch_rows(docs, text_col, id_col, counted), "sketches")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "key1", "key2"))
     nodes = _written(
-        rows.groupBy("node").agg(
-            first.alias("first"),
-            F.first("cells").alias("cells"),
-            F.first("distinct").alias("distinct"),
-            F.first("bands").alias("bands"),
-        ),
-        "nodes",
+        rows.groupBy("node").agg(first.alias("first"), F.first("bands").alias("bands")), "nodes"
     )
-    banded = nodes.select("node", "cells", "distinct", F.explode("bands").alias("bucket"))
+    banded = nodes.select("node", F.explode("bands").alias("bucket"))
     order = F.get(F.array(*[F.lit(x) for x in ORDERS]), F.pmod("bucket", F.lit(4)).cast("int"))
     leaders = (
         banded.groupBy("bucket")
@@ -196,19 +263,16 @@ def find_classes(
         .where("n > 1")
         .select("bucket", F.col("least").bitwiseXOR(order).alias("leader"))
     )
-    met = _written(
-        banded.join(leaders, "bucket").select("bucket", "leader", "node", "cells", "distinct"),
-        "buckets",
+    pairs = _written(
+        banded.join(leaders, "bucket").where("node != leader").select("leader", "node").distinct(),
+        "pairs",
     )
-    pairs = met.where("node != leader").select(
-        F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")
-    ).distinct()
     # one row for each node that meets another, with the whole text of its first row
-    key1, key2 = row_key("doc_id", "text")
-    wanted = met.select("node").distinct().join(
+    wanted = pairs.select(F.explode(F.array("leader", "node")).alias("node")).distinct().join(
         nodes.select("node", F.col("first.key1").alias("key1"), F.col("first.key2").alias("key2")),
         "node",
     )
+    key1, key2 = row_key("doc_id", "text")
     texts = _written(
         with_id(docs, text_col, id_col)
         .select("text", key1.alias("key1"), key2.alias("key2"))
@@ -217,44 +281,35 @@ def find_classes(
         .dropDuplicates(["node"]),
         "texts",
     )
-    compared = _written(compare(pairs, texts), "compared")
-
-    def linked(df: DataFrame) -> DataFrame:
-        return df.where((F.col("apart") <= apart) | (F.col("apart_counted") <= apart))
-
-    label = components(linked(compared))
-    to_leader = met.select(
-        "bucket", "node",
-        F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"),
-    ).join(compared, ["a", "b"], "left")
-    placed = to_leader.select(
-        "bucket", "node",
-        F.coalesce("apart", F.lit(0.0)).alias("apart"),  # the leader itself
-        F.coalesce("apart_counted", F.lit(0.0)).alias("apart_counted"),
+    compared = _written(compare(pairs, texts, counted), "compared")
+    linked = compared.where(F.col("alike") >= alike - ROUNDING).select(
+        F.col("leader").alias("a"), F.col("node").alias("b")
     )
-    left = _pairs_left(placed, label, apart).join(compared, ["a", "b"], "left_anti")
-    links = linked(compared).unionByName(linked(_written(compare(left, texts), "compared-left")))
-    label = components(links)
-    degree = (
-        links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(
-            F.count("*").alias("n_links")
-        )
+    label = components(linked)
+    left = _written(links_left(compared, label, texts, alike, counted), "links")
+    # the links left join components, so labels of labels are enough
+    at_a, at_b = (
+        label.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab"
     )
-    known = nodes.select("node", "first").join(label, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
+    joined = components(
+        left.join(at_a, "a", "left").join(at_b, "b", "left").select(
+            F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")
+        )
+    ).withColumnRenamed("node", "near").withColumnRenamed("component", "far")
+    known = (
+        nodes.select("node", "first")
+        .join(label, "node", "left")
+        .withColumn("near", F.coalesce("component", "node"))
+        .join(joined, "near", "left")
+        .select("node", "first", F.coalesce("far", "near").alias("component"))
     )
     heads = known.groupBy("component").agg(F.min("first").alias("head"))
-    node_class = (
-        known.join(heads, "component")
-        .join(degree, "node", "left")
-        .select("node", "head", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
-    )
+    node_class = known.join(heads, "component").select("node", "head")
     return rows.join(node_class, "node").select(
         "doc_id",
         "key1",
         "key2",
         F.col("head.doc_id").alias("class_id"),
-        "n_links",
         ((F.col("key1") == F.col("head.key1")) & (F.col("key2") == F.col("head.key2"))).alias(
             "first"
         ),
@@ -262,8 +317,8 @@ def find_classes(
 
 
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, class_id, n_links) of each row."""
-    return find_classes(docs, text_col, id_col).select("doc_id", "class_id", "n_links")
+    """(doc_id, class_id) of each row."""
+    return find_classes(docs, text_col, id_col).select("doc_id", "class_id")
 
 
 def keep_first(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:

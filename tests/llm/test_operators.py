@@ -313,7 +313,7 @@ def _brute_contamination(rows, items):
 
 
 def brute_classes(rows):
-    hashes = dart_minhash.shingle_hashes([decontamination.words_of(t) for _, t, *_ in rows])
+    hashes = near_dedup.sets_of([t or "" for _, t, *_ in rows])
     parent = list(range(len(rows)))
 
     def root(x):
@@ -324,7 +324,7 @@ def brute_classes(rows):
     for a in range(len(rows)):
         for b in range(a):
             if len(hashes[a]) and len(hashes[b]):
-                alike = min(dart_minhash.distances(hashes[a], hashes[b])) <= 0.2 + 1e-9
+                alike = dart_minhash.similarity(hashes[a], hashes[b]) >= 0.8 - 1e-9
             else:
                 alike = (rows[a][1] or "") == (rows[b][1] or "")
             if alike:
@@ -364,6 +364,21 @@ def test_near_duplicates_against_brute_force(spark, none):
     assert near_dedup.near_duplicates(none).count() == 0
 
 
+def test_blocks_of_a_large_group_give_the_same_classes(spark, monkeypatch):
+    rows = near_rows()
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 7)
+    found = near_dedup.near_duplicates(docs_of(spark, rows))
+    same_rows(found.collect(), brute_classes(rows))
+
+
+def test_counted_shingles(spark):
+    rows = [(1, "With " * 40 + "a b c d e", "en", "z"), (2, "With " * 45 + "f g h i j", "en", "z")]
+    docs = docs_of(spark, rows)
+    alone = near_dedup.find_classes(docs).select("class_id").distinct().count()
+    counted = near_dedup.find_classes(docs, alike=0.7, counted=True)
+    assert (alone, counted.select("class_id").distinct().count()) == (2, 1)
+
+
 def test_first_of_each_class_stays_once(spark, none):
     rows = near_rows()
     docs = docs_of(spark, rows)

@@ -15,6 +15,7 @@ from mailspark.llm import (
     decontamination,
     fingerprints,
     language_id,
+    near_dedup,
     pii,
     range_coder,
     secret_scan,
@@ -194,13 +195,49 @@ def test_dart_signatures_estimate_weighted_similarity():
 
 
 def test_sketches_do_not_depend_on_the_batch():
-    texts = ["a b c d e f g " * 5, "one two", "", "x y z w v u t s r", "a b c d e f g " * 5]
-    together = dart_minhash.sketch(texts)
-    assert together[0] == together[4]
-    for text, row in zip(texts, together):
-        assert dart_minhash.sketch([text]) == [row]
-    assert together[2][1:] == (0, 0, [])
-    assert together[1][1:3] == (1, 1)
+    texts = ["a b c d e f g " * 5, "one two", "", "x y z w v u t s r", "a b c d e f g " * 6]
+    for counted in (False, True):
+        together = dart_minhash.sketch(texts, counted)
+        assert (together[0] == together[4]) == (not counted)
+        for text, row in zip(texts, together):
+            assert dart_minhash.sketch([text], counted) == [row]
+        assert together[2][1] == [] and len(together[1][1]) == dart_minhash.BANDS
+
+
+def test_joining_links_against_all_pairs():
+    rng = np.random.default_rng(11)
+    for trial in range(30):
+        base = rng.integers(0, 2**63, 60, dtype=np.uint64)
+        sets = []
+        for _ in range(25):
+            own = base.copy()
+            n = rng.integers(0, 25)
+            own[rng.choice(60, n, replace=False)] = rng.integers(0, 2**63, n, dtype=np.uint64)
+            sets.append(np.unique(own))
+        sets.append(np.zeros(0, dtype=np.uint64))
+        component = rng.integers(0, 6, len(sets)).tolist()
+        second = [bool(trial % 2 and i % 2) for i in range(len(sets))]
+        got = near_dedup.joining_links(list(range(len(sets))), component, second, sets, 0.8)
+
+        def merged(links):
+            of = dict.fromkeys(component)
+            of = {c: c for c in of}
+            for a, b in links:
+                x, y = of[component[a]], of[component[b]]
+                of = {c: y if k == x else k for c, k in of.items()}
+            return {frozenset(c for c in of if of[c] == k) for k in of.values()}
+
+        largest = Counter(component).most_common(1)[0][0]
+        every = [
+            (a, b)
+            for a in range(len(sets)) for b in range(a)
+            if len(sets[a]) and len(sets[b]) and component[a] != component[b]
+            and (component[a] != largest or component[b] != largest)
+            and (not any(second) or second[a] != second[b])
+            and dart_minhash.similarity(sets[a], sets[b]) >= 0.8 - 1e-9
+        ]
+        assert merged(got) == merged(every)
+        assert len(got) < len(set(component))
 
 
 BASE_PII = (
