@@ -6,8 +6,7 @@ used. For each id a class is coded: the order-2 prediction, else the order-1 pre
 id used before, else a new one. The class's probabilities are mixed by adding the counts that
 three small models keep, in the contexts of how often the order-2 context was met, how often the
 order-1 context was met and whether both agree, and the class before. Of an id used before the
-distance is coded: its power of two by adaptive counts, then the bits below it. A new id takes
-16 bits.
+distance is coded, each power of two being as likely as the others; a new id takes 16 bits.
 
 Blocks are independent, so the NumPy code takes step t of all blocks at once. Four 16-bit counts
 are kept in one 64-bit word; multiplying it by ONES gives their running sums. All numbers are
@@ -21,29 +20,33 @@ import zlib
 import numpy as np
 
 BLOCK = 2048
-TABLE_BITS = 13  # contexts are hashed to so many bits; what collides is predicted worse
+TABLE_BITS = 12  # contexts are hashed to so many bits; what collides is predicted worse
 SAME2, SAME1, SEEN, NEW = range(4)
 
-U64 = np.uint64
-WORD, TOP_SHIFT = U64(16), U64(48)
-TOP, BOTTOM = U64(1 << 48), U64(1 << 36)
-LOW_MASK, COUNT_MASK = U64((1 << 36) - 1), U64(0xFFFF)
+U64, U32 = np.uint64, np.uint32
+# Words of 32 bits are shifted out. A settled range is at least TOP, enough for a class (16 bits)
+# and what follows it (16 more).
+WORD, TOP, LOW_MASK = U64(32), U64(1 << 32), U64((1 << 32) - 1)
+LAST_COUNT, ID_BITS, COUNT_MASK = U64(48), U64(16), U64(0xFFFF)
+ID_BITS_32 = U32(16)
 ONES = U64(0x0001_0001_0001_0001)
 # Counts: one of each class, and 4 for each event. Three models of 2,048 events stay below 2 ** 16.
 CLASS_STEP = np.array([4 << (16 * k) for k in range(4)], dtype=U64)
-DISTANCE_STEP = np.array([1 << (16 * k) for k in range(4)], dtype=U64)
 SHIFTS = np.array([0, 16, 32, 48], dtype=U64)
-POWER = np.array([max(0, d.bit_length() - 1) for d in range(BLOCK + 1)], dtype=np.int64)
+# Distances 1 to BLOCK - 1 by their power of two, each power in 2 ** POWER_BITS parts.
+POWER_BITS = (BLOCK - 1).bit_length() - 1
+POWERS = U64((POWER_BITS + 1) << POWER_BITS)
+POWER = np.array([max(0, d.bit_length() - 1) for d in range(BLOCK + 1)], dtype=U64)
 
 
 def hash1(a: np.ndarray) -> np.ndarray:
-    return (a * np.uint32(0x9E3779B1)) >> np.uint32(32 - TABLE_BITS)
+    return (a * U32(0x9E3779B1)) >> U32(32 - TABLE_BITS)
 
 
 def hash2(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    mixed = (a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B))
-    mixed ^= mixed >> np.uint32(15)
-    return (mixed * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - TABLE_BITS)
+    mixed = (a * U32(0x9E3779B1)) ^ (b * U32(0x85EBCA6B))
+    mixed ^= mixed >> U32(15)
+    return (mixed * U32(0x2C1B3C6D)) >> U32(32 - TABLE_BITS)
 
 
 class Lanes:
@@ -55,18 +58,16 @@ class Lanes:
     def __init__(self, sizes: np.ndarray, words: np.ndarray | None = None):
         n, self.steps = len(sizes), int(sizes[0])
         self.n, self.lane = n, np.arange(n)
+        self.lane4, self.lane8 = self.lane * 4, self.lane * 8
         self.active = np.searchsorted(-sizes, -np.arange(self.steps), side="left")
-        self.ids = np.zeros((self.steps, n), dtype=np.uint32)
-        # place of the last use of a context * 4 + times met, 3 for more; one word a context
-        self.used0, self.used1, self.used2 = (
-            np.zeros(n << TABLE_BITS, dtype=np.uint16) for _ in range(3)
-        )
+        self.ids = np.zeros((self.steps, n), dtype=np.uint16)
+        # by context: the id that followed it last * 4 + times met, 3 for more
+        self.after1 = np.zeros(n << TABLE_BITS, dtype=U32)
+        self.after2 = np.zeros(n << TABLE_BITS, dtype=U32)
         self.at_table = self.lane << TABLE_BITS
         self.by_order2 = np.full(n * 4, ONES, dtype=U64)
         self.by_order1 = np.full(n * 8, ONES, dtype=U64)
         self.by_last = np.full(n * 4, ONES, dtype=U64)
-        self.high = np.full(n, ONES, dtype=U64)
-        self.power = np.full(n * 4, ONES, dtype=U64)
         self.last = np.full(n, NEW)
         self.low = np.zeros(n, dtype=U64)
         self.range = np.full(n, np.iinfo(np.uint64).max, dtype=U64)
@@ -74,129 +75,115 @@ class Lanes:
         if self.decoding:
             self.words, self.width = words.ravel(), words.shape[1]
             self.code = np.zeros(n, dtype=U64)
-            for k in range(4):
+            for k in range(2):
                 self.code = (self.code << WORD) | words[:, k].astype(U64)
-            self.place = self.lane * self.width + 4
+            self.place = self.lane * self.width + 2
         else:
-            self.width = 3 * self.steps + 8
-            self.words = np.zeros(n * self.width, dtype=np.uint16)
+            # by hash of an id: the place of its last use + 1, and the id
+            self.used = np.zeros(n << TABLE_BITS, dtype=U32)
+            self.width = 2 * self.steps + 8
+            self.words = np.zeros(n * self.width, dtype=U32)
             self.place = self.lane * self.width
 
-    def symbol(self, at, counts: np.ndarray, k: np.ndarray | None) -> np.ndarray:
-        """Codes one of four symbols by packed counts; k is None when decoding."""
-        ends = counts * ONES
-        total = ends >> TOP_SHIFT
-        r = self.range[at] // total
-        if k is None:
-            target = np.minimum((self.code[at] - self.low[at]) // r, total - U64(1))
-            k = (target >= (ends & COUNT_MASK)).astype(np.int64)
-            k += target >= ((ends >> U64(16)) & COUNT_MASK)
-            k += target >= ((ends >> U64(32)) & COUNT_MASK)
-        shift = SHIFTS[k]
-        freq = (counts >> shift) & COUNT_MASK
-        self.low[at] += r * (((ends >> shift) & COUNT_MASK) - freq)
-        self.range[at] = r * freq
-        return k
-
-    def bits(self, at, n_bits: np.ndarray, value: np.ndarray | None) -> np.ndarray:
-        """Codes numbers of n_bits bits, all alike."""
-        r = self.range[at] >> n_bits
-        if value is None:
-            value = np.minimum((self.code[at] - self.low[at]) // r, (U64(1) << n_bits) - U64(1))
-        self.low[at] += r * value
-        self.range[at] = r
-        return value
-
     def settle(self, n: int) -> None:
-        """Shifts out top words that no longer change, until every range is at least BOTTOM."""
-        low, rng = self.low[:n], self.range[:n]
-        open_ = (low ^ (low + rng)) >= TOP
-        at = np.flatnonzero(~open_ | (rng < BOTTOM))
+        """Shifts out top words that no longer change, until every range is at least TOP."""
+        at = np.flatnonzero(self.range[:n] < TOP)
         while len(at):
             low, rng = self.low[at], self.range[at]
-            cut = (low ^ (low + rng)) >= TOP  # a small range across a border: give up a part
+            # a small range across a border of the top word: give up the part beyond it
+            cut = (low ^ (low + rng)) >= TOP
             rng = np.where(cut, (U64(0) - low) & LOW_MASK, rng)
             place = self.place[at]
             if self.decoding:
                 self.code[at] = (self.code[at] << WORD) | self.words[place].astype(U64)
             else:
-                self.words[place] = low >> TOP_SHIFT
+                self.words[place] = low >> WORD
             self.place[at] = place + 1
-            low, rng = low << WORD, rng << WORD
-            self.low[at], self.range[at] = low, rng
-            at = at[((low ^ (low + rng)) < TOP) | (rng < BOTTOM)]
+            rng <<= WORD
+            self.low[at], self.range[at] = low << WORD, rng
+            at = at[rng < TOP]
 
     def step(self, t: int, before1, before2, values: np.ndarray | None) -> np.ndarray:
         """Codes the t-th id of each block that has one."""
         n = int(self.active[t])
-        lane, last = self.lane[:n], self.last[:n]
+        low, rng = self.low[:n], self.range[:n]
         at1 = self.at_table[:n] + hash1(before1[:n])
         at2 = self.at_table[:n] + hash2(before2[:n], before1[:n])
-        use1, use2 = self.used1[at1], self.used2[at2]
-        met1, met2 = use1 & 3, use2 & 3
-        flat = self.ids.reshape(-1)
-        guess1 = flat[(use1 >> 2).astype(np.int64) * self.n + lane]
-        guess2 = flat[(use2 >> 2).astype(np.int64) * self.n + lane]
-        cell2 = lane * 4 + met2
-        cell1 = lane * 8 + met1 * 2 + (guess1 == guess2)
-        cell0 = lane * 4 + last
-        counts = self.by_order2[cell2] + self.by_order1[cell1] + self.by_last[cell0]
-        kind = distance = None
+        after1, after2 = self.after1[at1], self.after2[at2]
+        met1, met2 = after1 & U32(3), after2 & U32(3)
+        guess1, guess2 = after1 >> U32(2), after2 >> U32(2)
+        cell2 = self.lane4[:n] + met2
+        cell1 = self.lane8[:n] + met1 * U32(2) + (guess1 == guess2)
+        cell0 = self.lane4[:n] + self.last[:n]
+        by2, by1, by0 = self.by_order2[cell2], self.by_order1[cell1], self.by_last[cell0]
+        counts = by2 + by1 + by0
+        ends = counts * ONES
+        total = ends >> LAST_COUNT
+        r = rng // total
         if values is not None:
             at0 = self.at_table[:n] + hash1(values)
-            use0 = self.used0[at0]
-            place0 = (use0 >> 2).astype(np.int64)
-            known = (use0 > 0) & (flat[place0 * self.n + lane] == values)
+            used = self.used[at0]
+            known = ((used & U32(0xFFFF)) == values) & (used > U32(0xFFFF))
             kind = np.where(known, SEEN, NEW)
-            kind[(met1 > 0) & (guess1 == values)] = SAME1
-            kind[(met2 > 0) & (guess2 == values)] = SAME2
-            distance = t - place0
-        kind = self.symbol(slice(0, n), counts, kind)
+            kind[(guess1 == values) & (met1 > 0)] = SAME1
+            kind[(guess2 == values) & (met2 > 0)] = SAME2
+        else:
+            target = np.minimum((self.code[:n] - low) // r, total - U64(1))
+            kind = (target >= (ends & COUNT_MASK)).astype(np.int64)
+            kind += target >= ((ends >> U64(16)) & COUNT_MASK)
+            kind += target >= ((ends >> U64(32)) & COUNT_MASK)
+        shift = SHIFTS[kind]
+        freq = (counts >> shift) & COUNT_MASK
+        low += r * (((ends >> shift) & COUNT_MASK) - freq)
+        rng[:] = r * freq
         step = CLASS_STEP[kind]
-        self.by_order2[cell2] += step
-        self.by_order1[cell1] += step
-        self.by_last[cell0] += step
+        self.by_order2[cell2] = by2 + step
+        self.by_order1[cell1] = by1 + step
+        self.by_last[cell0] = by0 + step
         self.last[:n] = kind
-        self.settle(n)
-        got = np.where(kind == SAME2, guess2, guess1) if values is None else values
+        got = values if values is not None else np.where(kind == SAME2, guess2, guess1)
         at = np.flatnonzero(kind == SEEN)
         if len(at):
-            power = rest = high = low = None
+            r = rng[at] // POWERS
             if values is not None:
-                power = POWER[distance[at]]
-                high, low = power >> 2, power & 3
-                rest = (distance[at] - (1 << power)).astype(U64)
-            high = self.symbol(at, self.high[at], high)
-            self.high[at] += DISTANCE_STEP[high]
-            cell = at * 4 + high
-            low = self.symbol(at, self.power[cell], low)
-            self.power[cell] += DISTANCE_STEP[low]
-            power = high * 4 + low
-            rest = self.bits(at, power.astype(U64), rest)
-            if values is None:
-                back = (1 << power) + rest.astype(np.int64)
-                got[at] = flat[np.maximum(t - back, 0) * self.n + at]
+                distance = t + 1 - (used[at] >> ID_BITS_32).astype(np.int64)
+                power = POWER[distance]
+                rest = distance.astype(U64) - (U64(1) << power)
+            else:
+                target = np.minimum((self.code[at] - low[at]) // r, POWERS - U64(1))
+                power = target >> U64(POWER_BITS)
+                rest = (target & U64((1 << POWER_BITS) - 1)) >> (U64(POWER_BITS) - power)
+                back = ((U64(1) << power) + rest).astype(np.int64)
+                got[at] = self.ids.reshape(-1)[np.maximum(t - back, 0) * self.n + at]
+            size = U64(POWER_BITS) - power
+            low[at] += r * ((power << U64(POWER_BITS)) + (rest << size))
+            rng[at] = r << size
         at = np.flatnonzero(kind == NEW)
         if len(at):
-            new = self.bits(at, WORD, None if values is None else values[at].astype(U64))
-            if values is None:
+            r = rng[at] >> ID_BITS
+            if values is not None:
+                new = values[at].astype(U64)
+            else:
+                new = np.minimum((self.code[at] - low[at]) // r, COUNT_MASK)
                 got[at] = new
+            low[at] += r * new
+            rng[at] = r
         self.settle(n)
         self.ids[t, :n] = got
-        place = np.uint16(t << 2)
         if values is not None:
-            self.used0[at0] = place | 1
-        self.used1[at1] = place | np.minimum(met1 + 1, 3)
-        self.used2[at2] = place | np.minimum(met2 + 1, 3)
+            self.used[at0] = values | U32((t + 1) << 16)
+        follows = got << U32(2)
+        self.after1[at1] = follows | np.minimum(met1 + U32(1), U32(3))
+        self.after2[at2] = follows | np.minimum(met2 + U32(1), U32(3))
         return got
 
     def run(self, ids: np.ndarray | None = None) -> None:
         """All steps; ids, if given, are steps x lanes."""
-        before1 = np.zeros(self.n, dtype=np.uint32)
-        before2 = np.zeros(self.n, dtype=np.uint32)
+        before1 = np.zeros(self.n, dtype=U32)
+        before2 = np.zeros(self.n, dtype=U32)
         for t in range(self.steps):
             n = int(self.active[t])
-            got = self.step(t, before1, before2, None if ids is None else ids[t, :n])
+            got = self.step(t, before1, before2, None if ids is None else ids[t, :n].astype(U32))
             before2[:n] = before1[:n]
             before1[:n] = got
 
@@ -208,23 +195,25 @@ def _longest_first(sizes: list[int]) -> tuple[list[int], np.ndarray]:
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
     """The code of each block: at most BLOCK ids, all below 2 ** 16."""
+    if any(len(b) > BLOCK for b in blocks):
+        raise ValueError(f"a block holds at most {BLOCK} ids")
     coded: list = [b""] * len(blocks)
     order, sizes = _longest_first([len(b) for b in blocks])
     if not len(sizes) or not sizes[0]:
         return coded
     lanes = Lanes(sizes)
-    ids = np.zeros((lanes.steps, lanes.n), dtype=np.uint32)
+    ids = np.zeros((lanes.steps, lanes.n), dtype=np.uint16)
     for k, i in enumerate(order):
         ids[: sizes[k], k] = blocks[i]
     lanes.run(ids)
-    for _ in range(4):
-        lanes.words[lanes.place] = lanes.low >> TOP_SHIFT
+    for _ in range(2):
+        lanes.words[lanes.place] = lanes.low >> WORD
         lanes.place += 1
         lanes.low <<= WORD
     for k, i in enumerate(order):
         if sizes[k]:
             words = lanes.words[k * lanes.width : lanes.place[k]]
-            coded[i] = words.astype("<u2").tobytes()
+            coded[i] = words.astype("<u4").tobytes()
     return coded
 
 
@@ -233,9 +222,9 @@ def decode(codes: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     order, ordered = _longest_first(sizes)
     if not len(ordered) or not ordered[0]:
         return [np.zeros(0, dtype=np.uint16) for _ in codes]
-    words = np.zeros((len(codes), max(map(len, codes)) // 2 + 8), dtype=np.uint16)
+    words = np.zeros((len(codes), max(map(len, codes)) // 4 + 8), dtype=U32)
     for k, i in enumerate(order):
-        words[k, : len(codes[i]) // 2] = np.frombuffer(codes[i], dtype="<u2")
+        words[k, : len(codes[i]) // 4] = np.frombuffer(codes[i], dtype="<u4")
     lanes = Lanes(ordered, words)
     lanes.run()
     out: list = [None] * len(codes)

@@ -13,6 +13,7 @@ the end id only. Ids must be below 2 ** 16.
 
 from __future__ import annotations
 
+import gc
 import re
 import struct
 import zlib
@@ -23,7 +24,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from mailspark.llm.common import shuffle_width, strings, with_id, worker_state
 from mailspark.llm.range_coder import BLOCK, checksum, decode, encode
@@ -31,15 +32,37 @@ from mailspark.session import scratch_dir
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
-SEGMENT = 6_000_000
-CACHED_WORDS = 600_000
+WORD_END = "</w>"  # how the vocabulary marks the last symbol of a word
+SEGMENT = 8_000_000
+CACHED_WORDS = 700_000
 WORDS_A_CALL = 4000
 MAGIC = b"MSID"
 HEADER = "<4sIIIQ"  # magic, version, documents, blocks, ids before in the shard
-# Lower-case letters whose upper case is one letter, in Python as in the library
-PLAIN = re.compile("[a-zà-öø-ÿ]+")
+# Letters that Python lowers as the library does, and marks, which are one piece after letters;
+# an apostrophe can be part of another piece
+PLAIN = re.compile("([a-zà-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
 # Python's split() takes these for white space, the tokenizer does not
-SEPARATORS = "\x1c\x1d\x1e\x1f"
+SEPARATORS = re.compile("[\x1c-\x1f]")
+
+
+class Kept(dict):
+    """word -> ids. A word that is not in it gets an empty bytearray, which is listed in `new` and
+    filled in later, so that a text is looked up once."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> bytearray:
+        self.new.append(word)
+        blank = self[word] = bytearray()
+        return blank
+
+    def fill(self, word: str, ids: bytes) -> None:
+        blank = self.get(word)
+        if type(blank) is bytearray:
+            blank[:] = ids
+        self[word] = ids
 
 
 class WordIds:
@@ -48,21 +71,54 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept: dict[str, bytes] = {}
-
-    def look_up(self, words: list[str]) -> None:
-        kept = self.kept
-        new = [w for w in dict.fromkeys(words) if w not in kept]
-        # letters are lowered, and a mark after letters is a piece of its own
-        plain = [w[:-1].lower() if w[-1] in ".," else w.lower() for w in new]
-        plain = [p if PLAIN.fullmatch(p) else w for p, w in zip(plain, new)]
-        self.ask([w for w in dict.fromkeys([*plain, ".", ","]) if w not in kept])
-        for word, known in zip(new, plain):
-            if word not in kept:  # then it was made plain
-                kept[word] = kept[known] + kept[word[-1]] if word[-1] in ".," else kept[known]
-
-    def ask(self, words: list[str]) -> None:
-        """Many words to a call of the library, told apart by where their ids come from."""
+        # for words that normalising and cutting leave as they are
+        self.of_plain = Tokenizer.from_file(path)
+        self.of_plain.normalizer = normalizers.Sequence([])
+        self.of_plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        ])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.kept = Kept()
+
+    def look_up(self, new: list[str]) -> None:
+        """Fills in the words that had no ids yet."""
+        kept, plain, marked, rest = self.kept, {}, [], {}
+        for word in new:
+            if m := PLAIN.fullmatch(word.lower()):
+                low, marks = m.groups()
+                plain[low] = None
+                if marks:
+                    rest[marks] = None
+                marked.append((word, low, marks))
+            else:
+                rest[word] = None
+        known = {w: kept[w] for w in (*plain, *rest) if type(kept.get(w)) is bytes}
+        known |= self.ask_plain([w for w in plain if w not in known])
+        known |= self.ask([w for w in rest if w not in known])
+        for word, low, marks in marked:
+            kept.fill(word, known[low] + known[marks] if marks else known[low])
+        for word, ids in known.items():
+            kept.fill(word, ids)
+
+    def ask_plain(self, words: list[str]) -> dict[str, bytes]:
+        """Many words to a call of the library; the last id of each ends a word."""
+        out = {}
+        for first in range(0, len(words), WORDS_A_CALL):
+            some = words[first : first + WORDS_A_CALL]
+            (coded,) = self.of_plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(coded.ids, dtype="<u2")
+            cuts = (2 * np.flatnonzero(self.ends[ids]) + 2).tolist()
+            data = ids.tobytes()
+            for word, a, b in zip(some, [0, *cuts[:-1]], cuts, strict=True):
+                out[word] = data[a:b]
+        return out
+
+    def ask(self, words: list[str]) -> dict[str, bytes]:
+        """The same for words of several pieces, told apart by where their ids come from."""
+        out = {}
         for first in range(0, len(words), WORDS_A_CALL):
             some = words[first : first + WORDS_A_CALL]
             coded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
@@ -71,18 +127,26 @@ class WordIds:
             data = np.array(coded.ids, dtype="<u2").tobytes()
             start = 0
             for word, cut in zip(some, np.searchsorted(places, ends).tolist()):
-                self.kept[word] = data[2 * start : 2 * cut]
+                out[word] = data[2 * start : 2 * cut]
                 start = cut
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.kept) > CACHED_WORDS:
-            self.kept = {}
-        split = [
-            [t] if any(c in t for c in SEPARATORS) else t.split() for t in texts
-        ]
-        self.look_up([w for words in split for w in words])
+            self.kept = Kept()
+        gc.disable()  # millions of short lists and no cycles: scanning them finds nothing
+        try:
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         find = self.kept.__getitem__
-        return [b"".join(map(find, words)) for words in split]
+        split = [[t] if SEPARATORS.search(t) else t.split() for t in texts]
+        found = [list(map(find, words)) for words in split]
+        self.look_up(self.kept.new)
+        self.kept.new = []
+        return [b"".join(parts) for parts in found]
 
 
 def pack(docs: list[tuple[int | None, bytes]], before: int) -> bytes:
