@@ -38,6 +38,7 @@ SIMILARITY = 0.8
 ROUNDING = 1e-9
 BLOCK_ROWS = 1500
 BLOCK_BYTES = 4 * 1024 * 1024
+SALTS = 16
 # Four orders of the nodes, by flipping bits.
 ORDERS = (0, 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
 
@@ -196,11 +197,14 @@ def links_left(
             F.ceil(
                 F.greatest(F.col("n") / F.lit(BLOCK_ROWS), F.col("bytes") / F.lit(BLOCK_BYTES))
             ).cast("int").alias("blocks"),
+            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
         )
     )
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
+    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
     dealt = (
-        members.join(mixed, "leader")
+        members.withColumn("salt", salt)
+        .join(mixed, ["leader", "salt"])  # a leader may have a third of all nodes
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
