@@ -133,7 +133,7 @@ def calibrated(cells: DataFrame, kept_share: float = KEPT_SHARE) -> DataFrame:
     return cells.withColumn("chance", F.least(F.lit(1.0), F.lit(c) * ratio))
 
 
-def mix(
+def sampled(
     docs: DataFrame,
     targets: Mapping[str, Mapping[str, float]] | None = None,
     kept_share: float = KEPT_SHARE,
@@ -144,7 +144,8 @@ def mix(
     topic: Column | None = None,
     seed: int = SEED,
 ) -> DataFrame:
-    """The documents, with their own columns, sampled to the targets."""
+    """The documents sampled to the targets, with their own columns and, as __source, __lang,
+    __topic and __chance, their cell and its probability."""
     spark = docs.sparkSession
     text = F.col(text_col)
     keys = {
@@ -166,8 +167,25 @@ def mix(
     same = F.lit(True)
     for d in DIMENSIONS:
         same = same & F.col(f"__{d}").eqNullSafe(F.col(f"__{d}_of"))
+    added = [f"__{x}" for x in (*DIMENSIONS, "chance")]
     return (
         marked.join(chances, same)
         .where(uniform < F.col("__chance"))
-        .select(*own_columns(docs))
+        .select(*own_columns(docs), *added)
+    )
+
+
+def mix(docs: DataFrame, *args, **options) -> DataFrame:
+    """The documents, with their own columns, sampled to the targets; see sampled."""
+    return sampled(docs, *args, **options).select(*own_columns(docs))
+
+
+def mixing_report(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, source, lang, topic, chance) of the documents that are sampled."""
+    return sampled(docs, **options).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.col("__source").alias("source"),
+        F.col("__lang").alias("lang"),
+        F.col("__topic").alias("topic"),
+        F.col("__chance").alias("chance"),
     )

@@ -15,6 +15,7 @@ from mailspark.llm.decontamination import contamination_report
 from mailspark.llm.fingerprints import fingerprint_report
 from mailspark.llm.language_id import identify, learn
 from mailspark.llm.license_scan import scan_licenses
+from mailspark.llm.mixing import mixing_report
 from mailspark.llm.near_dedup import near_duplicates
 from mailspark.llm.pii import find_personal_data
 from mailspark.llm.secret_scan import scan_secrets
@@ -55,6 +56,11 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))

@@ -441,3 +441,14 @@ def test_mix_keeps_the_wanted_share(spark, odd, none):
     gone = mixing.mix(odd, {"source": {"x": 1.0}}, kept_share=1.0).select("source").distinct()
     assert [r.source for r in gone.collect()] == ["x"]
     assert mixing.mix(none).count() == 0
+    report = mixing.mixing_report(docs, kept_share=0.7)
+    assert report.columns == ["doc_id", "source", "lang", "topic", "chance"]
+    same_rows(report.select("doc_id").collect(), out.select("doc_id").collect())
+    # a cell is kept as often as its chance says
+    kept = report.groupBy("source", "lang", "topic").agg(
+        F.count("*").alias("n"), F.first("chance").alias("chance")
+    )
+    topic = mixing.topic_of(F.col("text")).alias("topic")
+    sizes = docs.select("source", "lang", topic).groupBy("source", "lang", "topic").count()
+    for r in kept.join(sizes, ["source", "lang", "topic"]).where("count > 100").collect():
+        assert r["n"] / r["count"] == pytest.approx(r["chance"], abs=0.15)

@@ -32,6 +32,16 @@ def test_queries_give_a_row_for_each_document(spark, tiny, name):
     )
 
 
+def test_near_duplicates_and_mix_give_whole_results(spark, tiny):
+    docs = table(spark, tiny, "documents")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    same_rows(QUERIES["op3_near_duplicates"](spark, tiny).collect(), brute_classes(rows))
+    mixed = QUERIES["op6_mixing"](spark, tiny)
+    assert mixed.columns == ["doc_id", "source", "lang", "topic", "chance"]
+    assert mixed.join(docs, ["doc_id", "source", "lang"]).count() == mixed.count() > 150
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+
+
 def test_pipeline_against_brute_force(spark, tiny):
     docs = table(spark, tiny, "documents")
     rows = [(r.doc_id, r.text, r.lang, r.source) for r in docs.collect()]
