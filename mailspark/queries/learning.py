@@ -118,17 +118,18 @@ def triage_slice(spark, sf):
     unimportant, and cut it into chunks."""
     messages = staging.messages(spark, sf)
     recent = fetch.in_days(messages, fetch.day_after_last(messages))
-    embedded = features.embed(_clean(recent)).select("id", "features")
+    embedded = features.embed(_clean(recent)).select("id", "received_at", "features")
     weights = F.transform(
         F.sequence(F.lit(1), F.lit(2 * DIM)), lambda i: (i % 7 - 3) / F.lit(3.0)
     )
     p = 1 / (1 + F.exp(-vectors.dot(C("features"), weights)))
-    predicted = embedded.select("id", p.alias("p")).withColumn(
+    predicted = embedded.select("id", "received_at", p.alias("p")).withColumn(
         "important", scoring.threshold(F.round("p", 9))
     )
-    paired = triage.pair_predictions(recent.select("id", "received_at"), predicted)
-    chosen = triage.unimportant(paired)
-    return chunks.chunk_ids(chosen, triage.TRASH_CHUNK).select(
+    # numbering reads its input twice, so the scores are written first
+    path = scratch_dir(spark, "scores")
+    triage.unimportant(predicted).write.parquet(path)
+    return chunks.chunk_ids(spark.read.parquet(path), triage.TRASH_CHUNK).select(
         "id", F.unix_micros("received_at").alias("received_us"), F.round("p", 6).alias("p"),
         "chunk_id",
     )
