@@ -404,6 +404,20 @@ def _decode_strict(df, payload_col, exact_html, depth, keep) -> DataFrame:
     return _finish(df, text.default_body(F.col("_own"), F.col("_part_subject")), keep)
 
 
+_NAME = r'(?<!\\)"name"\s*:\s*"content-disposition"'
+_VALUE = r'(?<!\\)"value"\s*:\s*"\s*attachment\b'
+_ATTACHED = rf"(?i){_NAME}\s*,\s*{_VALUE}|{_VALUE}[^\"]*\"\s*,\s*{_NAME}"
+
+
+def has_attachment(payload: Column) -> Column:
+    """Whether any part, at any depth, has a Content-Disposition header of an attachment.
+
+    Looked for in the document's text, so nothing is parsed or walked: a header is an object of
+    name and value in either order, quotes inside values are escaped, and bodies are base64.
+    """
+    return F.coalesce(F.rlike(payload.cast("string"), F.lit(_ATTACHED)), F.lit(False))
+
+
 def rejects(decoded: DataFrame) -> DataFrame:
     """Rows something could not be read from, with the reason."""
     return decoded.where(F.col("decode_note").isNotNull())

@@ -216,6 +216,28 @@ def deep_part_choice(spark, sf):
     return mime.decode_payload(sent, mode="strict").select("id", "body")
 
 
+@query("fn24_payload_attachments", using(
+    "messages", "SELECT id, lang = 'en' AS has_attachment FROM messages"))
+def payload_attachments(spark, sf):
+    def header(name, value):
+        return F.struct(F.lit(name).alias("name"), value.alias("value"))
+
+    kind = F.when(C("lang") == "en", 'attachment; filename="a.txt"').otherwise("inline")
+    part = F.struct(
+        F.lit("text/plain").alias("mimeType"),
+        F.array(header("Content-Disposition", kind)).alias("headers"),
+    )
+    document = F.struct(
+        F.lit("multipart/mixed").alias("mimeType"),
+        F.array(header("Subject", C("subject")), header("X", F.lit('"value":"attachment'))).alias(
+            "headers"
+        ),
+        F.array(F.struct(F.array(part).alias("parts"))).alias("parts"),
+    )
+    sent = staging.messages(spark, sf).select("id", F.to_json(document).alias("payload"))
+    return sent.select("id", mime.has_attachment(C("payload")).alias("has_attachment"))
+
+
 @query("fn14_decode_payload", using(
     "messages",
     f"""SELECT id, epoch_us(received_at) AS received_us, {_S} AS subject, {_PLAIN} AS body,

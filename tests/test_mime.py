@@ -99,6 +99,26 @@ def test_strict_rule_holds_at_any_depth(spark):
     assert got["o"]["body"] == EMPTY.format("Email has no Subject")
 
 
+def test_attachments_are_seen_at_any_depth(spark):
+    def part(value, **more):
+        return {"headers": [{"name": "Content-Disposition", "value": value, **more}]}
+
+    deep = part("attachment; filename=x")
+    for _ in range(9):
+        deep = {"parts": [PLAIN, deep]}
+    swapped = '{"headers": [{"value": "ATTACHMENT", "name": "content-disposition"}]}'
+    rows = [
+        ("deep", json.dumps(deep)), ("swapped", swapped), ("inline", json.dumps(part("inline"))),
+        ("none", None), ("broken", "{x"),
+        ("quoted", json.dumps({"headers": [
+            {"name": "Subject", "value": '"name": "Content-Disposition", "value": "attachment"'}
+        ]})),
+    ]
+    df = spark.createDataFrame(rows, "id string, payload string")
+    got = df.select("id", mime.has_attachment(df["payload"]).alias("x")).collect()
+    assert {r["id"] for r in got if r["x"]} == {"deep", "swapped"}
+
+
 def test_parts_table(spark):
     deep = node("text/html", "z")
     for _ in range(8):
