@@ -1,36 +1,7 @@
-"""Declared table schemas."""
+"""The payload schema and the length of ids."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-MESSAGE = T.StructType([
-    T.StructField("id", T.StringType(), False),
-    T.StructField("received_at", T.TimestampType()),
-    T.StructField("subject", T.StringType()),
-    T.StructField("body", T.StringType()),
-])
-
-FETCHED = T.StructType([
-    T.StructField("id", T.StringType(), False),
-    T.StructField("payload", T.StringType()),
-])
-
-LANDED = T.StructType([
-    T.StructField("id", T.StringType(), False),
-    T.StructField("received_at", T.TimestampType()),
-    T.StructField("subject", T.StringType()),
-    T.StructField("payload", T.StringType()),
-])
-
-MAILBOX_STATE = T.StructType([
-    T.StructField("id", T.StringType(), False),
-    T.StructField("mailbox", T.LongType()),
-    T.StructField("received_at", T.TimestampType()),
-    T.StructField("labels", T.ArrayType(T.StringType())),
-    T.StructField("trashed_at", T.TimestampType()),
-])
-
 # The longest message id the landing table takes.
 ID_LENGTH = 16
 
