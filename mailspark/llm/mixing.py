@@ -1,10 +1,17 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Tokens are counted by cell (source, language, topic). The cells' weights are raked: in turn they
-are scaled so that the sums by source, by language and by topic meet their targets. A document is
-then kept with the probability min(1, c * weight / tokens) of its cell, c being calibrated so that
-the wanted share of all tokens stays. The decision is a hash of the document, so it is the same in
-a task that runs again.
+are scaled so that the sums by source, by language and by topic meet their targets. No cell can
+give more than its tokens, so they are then raked again with the tokens as bounds, until every sum
+is within TOLERANCE of its target, for the largest sample for which that can be done. A document is
+kept with the probability of its cell, sampled tokens / tokens. The decision is a hash of the
+document, so it is the same in a task that runs again.
+
+A sample holds a value's target share only if it is no larger than the value's tokens divided by
+that share, so the rarest values bound it. A `kept_share` that is given holds whatever the targets:
+one beyond that bound takes rare values whole, and the others' shares are larger than wanted.
+Targets that contradict each other (a language of one source, with another share than the source)
+are met by no sample; then the weights as raked decide, and none is cut off.
 
 Targets are shares given by value, or, where none are given, the corpus's own shares flattened:
 tokens ** POWER. Only cells are raked, never documents; a cell table that Spark finds small is
@@ -12,13 +19,16 @@ broadcast, another one is joined by its keys.
 
 Null sources, languages and topics are values like any other. Texts without words, null ones
 too, weigh nothing and count one token, so that their cells have a probability. A value without
-target among given ones has the target 0 and goes. An empty table stays empty.
+target among given ones has the target 0 and goes; targets of the values that stay are scaled to
+sum to 1. An empty table stays empty.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailspark.llm.common import own_columns
@@ -26,11 +36,11 @@ from mailspark.session import scratch_dir
 
 DIMENSIONS = ("source", "lang", "topic")
 POWER = 0.8
-KEPT_SHARE = 0.9
 ROUNDS = 8
+TOLERANCE = 0.001
+MOST_ROUNDS = 1000
 SEED = 17
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-GRID = 256
 
 
 def topic_of(text: Column) -> Column:
@@ -98,45 +108,101 @@ def rake(cells: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return cells
 
 
-def calibrated(cells: DataFrame, kept_share: float = KEPT_SHARE) -> DataFrame:
-    """Adds `chance` = min(1, c * weight / tokens) so that about kept_share of the tokens stay.
+def _scaled(amount, tokens, code, wanted):
+    """`amount` times one factor for each value, so that the sums of min(amount, tokens) are
+    `wanted`; a value that has less is taken whole."""
+    bound = tokens / amount
+    order = np.lexsort((bound, code))
+    own, bound = code[order], bound[order]
+    rows = pd.DataFrame({"own": own, "amount": amount[order], "tokens": tokens[order]})
+    before = (rows.groupby("own").tokens.cumsum() - rows.tokens).to_numpy()
+    free = rows[::-1].groupby("own").amount.cumsum()[::-1].to_numpy()
+    # what the free cells need if those before are at their bounds; the first that fits holds
+    factor = (wanted[own] - before) / free
+    fitting = pd.Series(np.where(factor <= bound, factor, np.nan)).groupby(own).first()
+    return amount * fitting.fillna(pd.Series(bound).groupby(own).last()).to_numpy()[code]
+
+
+def _fitted(tokens, weight, codes, shares, total):
+    """The sample of `total` tokens by cell that is raked with the tokens as bounds, and whether
+    its sums are the shares."""
+    amount, best, since = weight * total, np.inf, 0
+    for _ in range(MOST_ROUNDS):
+        for code, share in zip(codes, shares):
+            amount = _scaled(amount, tokens, code, total * share)
+        sample = np.minimum(amount, tokens)
+        error = max(
+            np.abs(np.bincount(code, sample) / (total * share) - 1).max()
+            for code, share in zip(codes, shares)
+        )
+        if error <= TOLERANCE:
+            return sample, True
+        best, since = (error, 0) if error < 0.99 * best else (best, since + 1)
+        if since == 50:  # it no longer nears them
+            break
+    return sample, False
 
-    The tokens kept grow with c in straight pieces: they are summed at GRID values of c in one
-    pass, and c is set between the two around the wanted number.
+
+def _largest(tokens, weight, codes, shares):
+    """The largest sample that has the shares; if none has, the largest that is as raked."""
+    low = (tokens / weight).min()
+    sample, meets = _fitted(tokens, weight, codes, shares, low * (1 - TOLERANCE))
+    if not meets:
+        return low * weight
+    high = min((np.bincount(code, tokens) / share).min() for code, share in zip(codes, shares))
+    total = high
+    while high > low * (1 + TOLERANCE):
+        tried, meets = _fitted(tokens, weight, codes, shares, total)
+        if meets:
+            sample, low = tried, total
+        else:
+            high = total
+        if low == high:
+            break
+        total = (low * high) ** 0.5
+    return sample
+
+
+def calibrated(cells: DataFrame, kept_share: float | None = None) -> DataFrame:
+    """The dimensions with `chance`, the part of the cell's tokens to be sampled: of the largest
+    sample with the target shares, or of one with kept_share of the tokens.
+
+    One task reads the cells; there is one for each combination of values, not for documents.
     """
-    ratio = F.col("weight") / F.col("tokens")
-    ends = cells.agg(
-        F.min(F.when(ratio > 0, ratio)).alias("low"), F.max(ratio).alias("high"),
-        F.sum("tokens").alias("tokens"),
-    ).head()
-    if not ends["high"]:
-        return cells.withColumn("chance", F.lit(0.0))
-    # from where the best cell is just kept whole to where all are
-    low, high = 1.0 / ends["high"], 1.0 / ends["low"]
-    grid = [low * (high / low) ** (i / GRID) for i in range(GRID + 1)]
-    sums = cells.agg(
-        *[
-            F.sum(F.col("tokens") * F.least(F.lit(1.0), F.lit(c) * ratio)).alias(f"c{i}")
-            for i, c in enumerate(grid)
-        ]
-    ).head()
-    wanted = kept_share * ends["tokens"]
-    c = grid[-1]
-    for i, kept in enumerate(sums):
-        if kept >= wanted:
-            if i == 0:
-                c = grid[0] * wanted / kept
+
+    def fit(batches):
+        parts = list(batches)
+        if not parts:
+            return
+        all_cells = pd.concat(parts, ignore_index=True)
+        all_cells["chance"] = 0.0
+        live = all_cells[all_cells.weight > 0]
+        if len(live):
+            tokens, weight = live.tokens.to_numpy(), live.weight.to_numpy()
+            codes, shares = [], []
+            for d in DIMENSIONS:
+                code = pd.factorize(live[d], use_na_sentinel=False)[0]
+                share = live[f"t_{d}"].groupby(code).first().to_numpy()
+                codes.append(code)
+                shares.append(share / share.sum())
+            weight = weight / weight.sum()
+            if kept_share is None:
+                sample = _largest(tokens, weight, codes, shares)
             else:
-                part = (wanted - sums[i - 1]) / (kept - sums[i - 1])
-                c = grid[i - 1] + part * (grid[i] - grid[i - 1])
-            break
-    return cells.withColumn("chance", F.least(F.lit(1.0), F.lit(c) * ratio))
+                total = kept_share * all_cells.tokens.sum()
+                sample = _fitted(tokens, weight, codes, shares, total)[0]
+                sample = _scaled(sample, tokens, np.zeros(len(live), int), np.array([total]))
+            all_cells.loc[live.index, "chance"] = np.minimum(sample / tokens, 1.0)
+        yield all_cells[[*DIMENSIONS, "chance"]]
+
+    names = ", ".join(f"{d} string" for d in DIMENSIONS)
+    return cells.repartition(1).mapInPandas(fit, f"{names}, chance double")
 
 
 def sampled(
     docs: DataFrame,
     targets: Mapping[str, Mapping[str, float]] | None = None,
-    kept_share: float = KEPT_SHARE,
+    kept_share: float | None = None,
     text_col: str = "text",
     id_col: str = "doc_id",
     source_col: str = "source",
@@ -145,7 +211,8 @@ def sampled(
     seed: int = SEED,
 ) -> DataFrame:
     """The documents sampled to the targets, with their own columns and, as __source, __lang,
-    __topic and __chance, their cell and its probability."""
+    __topic and __chance, their cell and its probability. Without kept_share, as many as the
+    targets allow."""
     spark = docs.sparkSession
     text = F.col(text_col)
     keys = {
@@ -157,7 +224,9 @@ def sampled(
     path = scratch_dir(spark, "cells")
     cells = with_targets(cells_of(keyed), targets or {})
     rake(cells).write.parquet(path)
-    chances = calibrated(spark.read.parquet(path), kept_share).select(
+    fitted = scratch_dir(spark, "chances")
+    calibrated(spark.read.parquet(path), kept_share).write.parquet(fitted)
+    chances = spark.read.parquet(fitted).select(
         *[F.col(d).alias(f"__{d}_of") for d in DIMENSIONS], F.col("chance").alias("__chance")
     )
     marked = docs.withColumns({f"__{d}": c for d, c in keys.items()})

@@ -452,3 +452,42 @@ def test_mix_keeps_the_wanted_share(spark, odd, none):
     sizes = docs.select("source", "lang", topic).groupBy("source", "lang", "topic").count()
     for r in kept.join(sizes, ["source", "lang", "topic"]).where("count > 100").collect():
         assert r["n"] / r["count"] == pytest.approx(r["chance"], abs=0.15)
+
+
+def test_sampled_documents_have_the_target_shares(spark, none):
+    docs = docs_of(spark, mixed_rows())
+    targets = {"source": {"big": 0.4, "s0": 0.3, "s1": 0.1, "s2": 0.1, "s3": 0.1}}
+    tokens = mixing.tokens_of(F.col("text")).alias("tokens")
+    all_cells = mixing.cells_of(
+        docs.select("source", "lang", mixing.topic_of(F.col("text")).alias("topic"), tokens)
+    )
+    sampled = mixing.sampled(docs, targets).select("__source", "__lang", "__chance", tokens)
+    got = sampled.toPandas()
+    assert got.__chance.max() <= 1 + 1e-9
+    kept = got.tokens.sum()
+    # s0 bounds the sample: it has a twelfth of the rows and is to be 0.3 of it
+    own = all_cells.toPandas().groupby("source").tokens.sum()
+    assert kept == pytest.approx(own["s0"] / 0.3, rel=0.1)
+    by_source = got.groupby("__source").tokens.sum() / kept
+    for source, share in targets["source"].items():
+        assert by_source[source] == pytest.approx(share, abs=0.04)
+    # by the chances, without the luck of the draw
+    wanted = mixing.rake(mixing.with_targets(all_cells, targets)).toPandas()
+    chances = mixing.calibrated(spark.createDataFrame(wanted)).toPandas()
+    keys = list(mixing.DIMENSIONS)
+    cells = wanted.fillna({"lang": "-"}).merge(chances.fillna({"lang": "-"}), on=keys)
+    cells["got"] = cells.tokens * cells.chance / (cells.tokens * cells.chance).sum()
+    for d in mixing.DIMENSIONS:
+        by_value = cells.groupby(d).agg(got=("got", "sum"), want=(f"t_{d}", "first"))
+        assert np.allclose(by_value.got, by_value.want, rtol=0.01), by_value
+
+
+def test_contradicting_targets_cut_no_cell_off(spark):
+    """A language of one source only, wanted with another share than the source."""
+    rows = [(i, "some words here", *(("en", "a") if i % 4 else ("de", "b"))) for i in range(400)]
+    report = mixing.mixing_report(
+        docs_of(spark, rows),
+        targets={"source": {"a": 0.5, "b": 0.5}, "lang": {"en": 0.7, "de": 0.3}},
+    )
+    chance = {r.lang: r.chance for r in report.select("lang", "chance").distinct().collect()}
+    assert max(chance.values()) == pytest.approx(1.0) and min(chance.values()) > 0
