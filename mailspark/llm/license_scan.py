@@ -104,7 +104,7 @@ CC_WORDS = {
 }
 CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
 
-GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]{1,8}"
+GAP = rf"(?:{NOT_WORD}+)"  # of any length; possessive, as a word always follows
 START, END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 NUMBER = rf"(?:{GAP}(?:the{GAP})?)?(?:version{GAP}|ver{GAP}|v{GAP}|v)?"
 
@@ -138,11 +138,11 @@ def rules() -> list[tuple[int, str, str, str]]:
                 tag = f"{label}-{version}"
             add(1, tag, keyword, f"{notice}{name}{NUMBER}{numbered(version)}")
             add(2, tag, keyword, f"{name}{NUMBER}{numbered(version)}")
-            add(1, tag, "spdx", rf"spdx-license-identifier:\s{{0,4}}{re.escape(tag)}")
+            add(1, tag, "spdx", rf"spdx-license-identifier:\s*+{re.escape(tag)}")
         add(1, label, keyword, f"{notice}{name}{END}")
         add(3, label, keyword, name + END)
         if not versions:
-            add(1, label, "spdx", rf"spdx-license-identifier:\s{{0,4}}{re.escape(label)}{END}")
+            add(1, label, "spdx", rf"spdx-license-identifier:\s*+{re.escape(label)}{END}")
         if address:
             add(1, label, address.split("/")[0], re.escape(address) + r"[\w./-]{0,24}")
     for kind in CC_KINDS:

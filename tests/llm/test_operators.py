@@ -491,3 +491,19 @@ def test_contradicting_targets_cut_no_cell_off(spark):
     )
     chance = {r.lang: r.chance for r in report.select("lang", "chance").distinct().collect()}
     assert max(chance.values()) == pytest.approx(1.0) and min(chance.values()) > 0
+
+
+def labels_of(spark, texts):
+    docs = docs_of(spark, [(i, t, "en", "x") for i, t in enumerate(texts)])
+    got = {r.doc_id: r.labels.split(",") for r in license_scan.scan_licenses(docs).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_license_words_far_apart(spark):
+    gpl = " " * 20 + "GNU GENERAL PUBLIC LICENSE\n" + " " * 23 + "Version 3, 29 June 2007\n"
+    apache = " " * 33 + "Apache License\n" + " " * 27 + "Version 2.0, January 2004\n"
+    boxed = "/*" + "*" * 60 + "\n *\t\tLicensed under the Mozilla Public\n *\t\t\t\t\t\tLicense 2.0"
+    spdx = "SPDX-License-Identifier:" + " " * 12 + "GPL-3.0"
+    got = labels_of(spark, [gpl, apache, boxed, spdx])
+    for labels, label in zip(got, ("gpl-3.0", "apache-2.0", "mpl-2.0", "gpl-3.0")):
+        assert label in labels
