@@ -3,8 +3,9 @@
 FAMILIES is written by hand; each family gives rules for its tag, its address, its notice, its
 name with a version and its bare name, some hundreds together. A rule has a regex, a keyword its
 matches must hold, a label, and a priority: 1 for tags, addresses and notices, 2 for a name with
-its version, 3 for a bare name or hint. A text without any ANCHOR is not looked at, and a rule
-runs only over texts with its keyword.
+its version, 3 for a bare name or hint. A keyword is made from the fixed words of the rule and
+looked for in the words parted by single blanks, so it is in every text the rule matches. Each
+keyword holds an anchor; a text without any anchor is not looked at.
 
 Overlaps are resolved on (start, end): what lies inside a detection of the same or better
 priority goes, and so does what overlaps a strictly better one. The detections, which hold no
@@ -17,6 +18,7 @@ no labels. Repeated rows and ids stay as they are.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -30,73 +32,75 @@ PHRASES = (
     ("cc by", "cc-by"),
     ("mit license", "mit"),
 )
-ANCHORS = (
-    "licen", "spdx", "creative", "public domain", "gpl", "rights reserved", "copyright", "cc0",
+# Rare parts of words, the first of them in a keyword is its anchor.
+ANCHOR_PARTS = (
+    "licen", "spdx", "gpl", "creative", "copyright", "reserved", "domain", "cc0", "perl", "mozilla",
+    "eclipse",
 )
 CC_BY = rf"(?i)(?<![0-9A-Za-z])cc{NOT_WORD}by(?![0-9A-Za-z])"
 SCORES = {1: 1.0, 2: 0.8, 3: 0.5}
 BASE_SCORE = 0.9
 
-# label; keyword; names; versions (none: the license has no number); address
+# label; names; versions (none: the license has no number); address
 FAMILIES = (
-    ("gpl", "gpl", "gpl|gplv", "1 2 3", "gnu.org/licenses/gpl"),
-    ("gpl", "general public", "gnu general public licen[cs]e", "1 2 3", ""),
-    ("lgpl", "lgpl", "lgpl|lgplv", "2 2.1 3", "gnu.org/licenses/lgpl"),
-    ("lgpl", "general public",
+    ("gpl", "gpl|gplv", "1 2 3", "gnu.org/licenses/gpl"),
+    ("gpl", "gnu general public licen[cs]e", "1 2 3", ""),
+    ("lgpl", "lgpl|lgplv", "2 2.1 3", "gnu.org/licenses/lgpl"),
+    ("lgpl",
      "gnu lesser general public licen[cs]e|gnu library general public licen[cs]e", "2 2.1 3", ""),
-    ("agpl", "agpl", "agpl|agplv", "1 3", "gnu.org/licenses/agpl"),
-    ("agpl", "affero", "gnu affero general public licen[cs]e|affero general public licen[cs]e",
+    ("agpl", "agpl|agplv", "1 3", "gnu.org/licenses/agpl"),
+    ("agpl", "gnu affero general public licen[cs]e|affero general public licen[cs]e",
      "1 3", ""),
-    ("gfdl", "documentation", "gnu free documentation licen[cs]e", "1.1 1.2 1.3",
+    ("gfdl", "gnu free documentation licen[cs]e", "1.1 1.2 1.3",
      "gnu.org/licenses/fdl"),
-    ("apache", "apache", "apache licen[cs]e|apache software licen[cs]e", "1.0 1.1 2.0 2",
+    ("apache", "apache licen[cs]e|apache software licen[cs]e", "1.0 1.1 2.0 2",
      "apache.org/licenses/license"),
-    ("mit", "mit", "mit licen[cs]e|expat licen[cs]e", "", "opensource.org/licenses/mit"),
-    ("bsd-2-clause", "bsd", "bsd 2 clause licen[cs]e|simplified bsd licen[cs]e", "",
+    ("mit", "mit licen[cs]e|expat licen[cs]e", "", "opensource.org/licenses/mit"),
+    ("bsd-2-clause", "bsd 2 clause licen[cs]e|simplified bsd licen[cs]e", "",
      "opensource.org/licenses/bsd-2-clause"),
-    ("bsd-3-clause", "bsd", "bsd 3 clause licen[cs]e|new bsd licen[cs]e|modified bsd licen[cs]e",
+    ("bsd-3-clause", "bsd 3 clause licen[cs]e|new bsd licen[cs]e|modified bsd licen[cs]e",
      "", "opensource.org/licenses/bsd-3-clause"),
-    ("bsd-4-clause", "bsd", "bsd 4 clause licen[cs]e|original bsd licen[cs]e", "", ""),
-    ("bsd", "bsd", "bsd licen[cs]e", "", ""),
-    ("isc", "isc", "isc licen[cs]e", "", "opensource.org/licenses/isc"),
-    ("mpl", "mozilla", "mozilla public licen[cs]e", "1.0 1.1 2.0 2", "mozilla.org/mpl"),
-    ("epl", "eclipse", "eclipse public licen[cs]e", "1.0 2.0", "eclipse.org/legal/epl"),
-    ("cddl", "common development",
+    ("bsd-4-clause", "bsd 4 clause licen[cs]e|original bsd licen[cs]e", "", ""),
+    ("bsd", "bsd licen[cs]e", "", ""),
+    ("isc", "isc licen[cs]e", "", "opensource.org/licenses/isc"),
+    ("mpl", "mozilla public licen[cs]e", "1.0 1.1 2.0 2", "mozilla.org/mpl"),
+    ("epl", "eclipse public licen[cs]e", "1.0 2.0", "eclipse.org/legal/epl"),
+    ("cddl",
      "common development and distribution licen[cs]e", "1.0 1.1", ""),
-    ("eupl", "european union", "european union public licen[cs]e", "1.0 1.1 1.2", ""),
-    ("osl", "open software", "open software licen[cs]e", "1.0 2.0 2.1 3.0", ""),
-    ("afl", "academic free", "academic free licen[cs]e", "1.1 1.2 2.0 2.1 3.0", ""),
-    ("artistic", "artistic", "artistic licen[cs]e", "1.0 2.0", ""),
-    ("bsl", "boost", "boost software licen[cs]e", "1.0", "boost.org/license"),
-    ("zlib", "zlib", "zlib licen[cs]e|zlib libpng licen[cs]e", "", ""),
-    ("python", "python", "python software foundation licen[cs]e|psf licen[cs]e", "2 2.0", ""),
-    ("php", "php", "php licen[cs]e", "3.0 3.01", "php.net/license"),
-    ("ruby", "ruby", "ruby licen[cs]e", "", ""),
-    ("perl", "perl", "same terms as perl itself", "", ""),
-    ("w3c", "w3c", "w3c software licen[cs]e|w3c software notice and licen[cs]e", "", ""),
-    ("x11", "x11", "x11 licen[cs]e|x consortium licen[cs]e", "", ""),
-    ("openssl", "openssl", "openssl licen[cs]e", "", ""),
-    ("wtfpl", "do what the", "do what the fuck you want to public licen[cs]e", "1 2", ""),
-    ("unlicense", "unlicense", "the unlicense|unlicense", "", "unlicense.org"),
-    ("ms-pl", "microsoft", "microsoft public licen[cs]e", "", ""),
-    ("ms-rl", "microsoft", "microsoft reciprocal licen[cs]e", "", ""),
-    ("ofl", "open font", "sil open font licen[cs]e|open font licen[cs]e", "1.0 1.1", ""),
-    ("lppl", "latex", "latex project public licen[cs]e", "1.0 1.1 1.2 1.3 1.3c", ""),
-    ("ncsa", "illinois", "university of illinois ncsa open source licen[cs]e", "", ""),
-    ("odbl", "open database", "open database licen[cs]e", "1.0", "opendatacommons.org/licenses/odbl"),
-    ("odc-by", "attribution", "open data commons attribution licen[cs]e", "1.0", ""),
-    ("pddl", "public domain", "public domain dedication and licen[cs]e", "1.0", ""),
-    ("cc0", "cc0", "cc0|cc0 1 0 universal", "1.0", "creativecommons.org/publicdomain/zero"),
-    ("public-domain", "public domain",
+    ("eupl", "european union public licen[cs]e", "1.0 1.1 1.2", ""),
+    ("osl", "open software licen[cs]e", "1.0 2.0 2.1 3.0", ""),
+    ("afl", "academic free licen[cs]e", "1.1 1.2 2.0 2.1 3.0", ""),
+    ("artistic", "artistic licen[cs]e", "1.0 2.0", ""),
+    ("bsl", "boost software licen[cs]e", "1.0", "boost.org/license"),
+    ("zlib", "zlib licen[cs]e|zlib libpng licen[cs]e", "", ""),
+    ("python", "python software foundation licen[cs]e|psf licen[cs]e", "2 2.0", ""),
+    ("php", "php licen[cs]e", "3.0 3.01", "php.net/license"),
+    ("ruby", "ruby licen[cs]e", "", ""),
+    ("perl", "same terms as perl itself", "", ""),
+    ("w3c", "w3c software licen[cs]e|w3c software notice and licen[cs]e", "", ""),
+    ("x11", "x11 licen[cs]e|x consortium licen[cs]e", "", ""),
+    ("openssl", "openssl licen[cs]e", "", ""),
+    ("wtfpl", "do what the fuck you want to public licen[cs]e", "1 2", ""),
+    ("unlicense", "the unlicense|unlicense", "", "unlicense.org"),
+    ("ms-pl", "microsoft public licen[cs]e", "", ""),
+    ("ms-rl", "microsoft reciprocal licen[cs]e", "", ""),
+    ("ofl", "sil open font licen[cs]e|open font licen[cs]e", "1.0 1.1", ""),
+    ("lppl", "latex project public licen[cs]e", "1.0 1.1 1.2 1.3 1.3c", ""),
+    ("ncsa", "university of illinois ncsa open source licen[cs]e", "", ""),
+    ("odbl", "open database licen[cs]e", "1.0", "opendatacommons.org/licenses/odbl"),
+    ("odc-by", "open data commons attribution licen[cs]e", "1.0", ""),
+    ("pddl", "public domain dedication and licen[cs]e", "1.0", ""),
+    ("cc0", "cc0|cc0 1 0 universal", "1.0", "creativecommons.org/publicdomain/zero"),
+    ("public-domain",
      "dedicated to the public domain|released into the public domain|in the public domain", "", ""),
-    ("bigscience-rail", "rail", "bigscience rail licen[cs]e|openrail m licen[cs]e", "1.0", ""),
-    ("llama", "llama", "llama community licen[cs]e|llama 2 community licen[cs]e", "", ""),
-    ("elastic", "elastic", "elastic licen[cs]e", "2.0", "elastic.co/licensing"),
-    ("sspl", "server side", "server side public licen[cs]e", "1", ""),
-    ("busl", "business source", "business source licen[cs]e", "1.1", ""),
-    ("commons-clause", "commons clause", "commons clause licen[cs]e condition", "1.0", ""),
-    ("proprietary", "rights reserved", "all rights reserved", "", ""),
-    ("proprietary", "proprietary", "proprietary licen[cs]e|commercial licen[cs]e agreement", "", ""),
+    ("bigscience-rail", "bigscience rail licen[cs]e|openrail m licen[cs]e", "1.0", ""),
+    ("llama", "llama community licen[cs]e|llama 2 community licen[cs]e", "", ""),
+    ("elastic", "elastic licen[cs]e", "2.0", "elastic.co/licensing"),
+    ("sspl", "server side public licen[cs]e", "1", ""),
+    ("busl", "business source licen[cs]e", "1.1", ""),
+    ("commons-clause", "commons clause licen[cs]e condition", "1.0", ""),
+    ("proprietary", "all rights reserved", "", ""),
+    ("proprietary", "proprietary licen[cs]e|commercial licen[cs]e agreement", "", ""),
 )
 CC_KINDS = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd")
 CC_WORDS = {
@@ -120,6 +124,21 @@ def numbered(version: str) -> str:
     return short + r"(?![0-9A-Za-z]|\.[0-9])"
 
 
+def keyword_of(words: str) -> str:
+    """The fixed words a match of `words` begins with, as they stand between single blanks."""
+    fixed = words.split("[")[0].replace(" ?", "?").split("?")[0]
+    return re.sub(NOT_WORD, " ", fixed.lower()).strip()
+
+
+def anchors_of(keywords: Iterable[str]) -> list[str]:
+    """For each keyword a part of one of its words. "cc by" has no rare one; see CC_BY."""
+    return sorted({
+        next((part for part in ANCHOR_PARTS if part in keyword), max(keyword.split(), key=len))
+        for keyword in keywords
+        if not f"{keyword} ".startswith("cc by ")
+    })
+
+
 def rules() -> list[tuple[int, str, str, str]]:
     """(priority, label, keyword, regex) in order; all match in either case."""
     out = []
@@ -130,38 +149,41 @@ def rules() -> list[tuple[int, str, str, str]]:
     notice = spaced("(?:licen[cs]ed|released|distributed|available|provided) under ") + (
         rf"(?:the{GAP}|an?{GAP})?(?:terms{GAP}of{GAP}(?:the{GAP})?)?"
     )
-    for label, keyword, names, versions, address in FAMILIES:
-        name = "(?:" + "|".join(map(spaced, names.split("|"))) + ")"
+    for label, names, versions, address in FAMILIES:
         for version in versions.split():
             tag = label + "-" + (version if "." in version else version + ".0")
             if label in ("python", "artistic", "php"):
                 tag = f"{label}-{version}"
-            add(1, tag, keyword, f"{notice}{name}{NUMBER}{numbered(version)}")
-            add(2, tag, keyword, f"{name}{NUMBER}{numbered(version)}")
+            for words in names.split("|"):
+                name, keyword = spaced(words), keyword_of(words)
+                add(1, tag, keyword, f"{notice}{name}{NUMBER}{numbered(version)}")
+                add(2, tag, keyword, f"{name}{NUMBER}{numbered(version)}")
             add(1, tag, "spdx", rf"spdx-license-identifier:\s*+{re.escape(tag)}")
-        add(1, label, keyword, f"{notice}{name}{END}")
-        add(3, label, keyword, name + END)
+        for words in names.split("|"):
+            add(1, label, keyword_of(words), f"{notice}{spaced(words)}{END}")
+            add(3, label, keyword_of(words), spaced(words) + END)
         if not versions:
             add(1, label, "spdx", rf"spdx-license-identifier:\s*+{re.escape(label)}{END}")
         if address:
-            add(1, label, address.split("/")[0], re.escape(address) + r"[\w./-]{0,24}")
+            add(1, label, keyword_of(address), re.escape(address) + r"[\w./-]{0,24}")
     for kind in CC_KINDS:
         words = GAP.join(spaced(CC_WORDS[part]) for part in kind.split("-"))
         code = "cc" + GAP + kind.replace("-", GAP)
+        short = "cc " + kind.replace("-", " ")
         for version in CC_VERSIONS:
             tag = f"cc-{kind}-{version}"
-            add(1, tag, "cc", f"{notice}{code}{NUMBER}{numbered(version)}")
-            add(2, tag, "cc", f"{code}{NUMBER}{numbered(version)}")
-            add(1, tag, "creative",
+            add(1, tag, short, f"{notice}{code}{NUMBER}{numbered(version)}")
+            add(2, tag, short, f"{code}{NUMBER}{numbered(version)}")
+            add(1, tag, "creative commons attribution",
                 f"{spaced('creative commons ')}{words}{NUMBER}{GAP}?"
                 f"(?:{spaced('(?:international|generic|unported) ')})?"
                 f"(?:licen[cs]e{GAP})?{numbered(version)}")
-            add(1, tag, "creativecommons",
+            add(1, tag, keyword_of(f"creativecommons.org/licenses/{kind}/{version}"),
                 rf"creativecommons\.org/licenses/{kind}/{re.escape(version)}")
-        add(2, f"cc-{kind}", "cc", code + END + f"(?!{GAP}(?:sa|nd|nc){END})")
-        add(2, f"cc-{kind}", "creative",
+        add(2, f"cc-{kind}", short, code + END + f"(?!{GAP}(?:sa|nd|nc){END})")
+        add(2, f"cc-{kind}", "creative commons attribution",
             f"{spaced('creative commons ')}{words}{END}(?!{GAP}(?:share|no|non))")
-    add(3, "creative-commons", "creative", spaced("creative commons") + END)
+    add(3, "creative-commons", "creative commons", spaced("creative commons") + END)
     add(3, "license-reference", "licen", spaced("see (?:the )?licen[cs]e(?: file)?") + END)
     add(3, "license-notice", "licen", spaced("licen[cs]ed under") + END)
     add(3, "copyright-notice", "copyright", spaced("copyright") + rf"{GAP}(?:c{GAP})?[12][0-9]{{3}}")
@@ -180,8 +202,8 @@ def rule_array(table: list[tuple[int, str, str, str]]) -> Column:
     )
 
 
-def _hits(text: Column, low: Column, table: list) -> Column:
-    """What each rule with its keyword in the text finds: lengths of the matches, and of what
+def _hits(text: Column, norm: Column, table: list) -> Column:
+    """What each rule with its keyword in the words finds: lengths of the matches, and of what
     stands before each of them. Places come from their sums."""
     def of_rule(rule: Column) -> Column:
         pieces = F.split(text, rule["regex"], -1)
@@ -195,7 +217,7 @@ def _hits(text: Column, low: Column, table: list) -> Column:
             ).alias("places"),
         )
 
-    gated = F.filter(rule_array(table), lambda r: F.contains(low, r["keyword"]))
+    gated = F.filter(rule_array(table), lambda r: F.contains(norm, r["keyword"]))
     found = F.filter(gated, lambda r: F.regexp_like(text, r["regex"]))
     return F.transform(found, of_rule)
 
@@ -235,9 +257,9 @@ def scan_licenses(
     table = table or rules()
     text, low = F.col("text"), F.col("low")
     marked = F.coalesce(F.rlike(text, F.lit(CC_BY)), F.lit(False))
-    for anchor in ANCHORS:
+    phrases = [phrase for phrase, _ in PHRASES]
+    for anchor in anchors_of([*phrases, *(keyword for _, _, keyword, _ in table)]):
         marked = marked | F.coalesce(F.contains(low, F.lit(anchor)), F.lit(False))
-    # "cc by" is the only phrase or rule without one of the plain anchors
     norm = F.concat(
         F.lit(" "), F.trim(F.regexp_replace(F.translate(text, UPPER, LOWER), NOT_WORD, " ")),
         F.lit(" "),
@@ -252,7 +274,7 @@ def scan_licenses(
         .withColumn("n_words", F.regexp_count("text", F.lit(WORD)).cast("bigint"))
         .withColumn("norm", F.when(F.col("marked"), norm))
         # a generator is a barrier: nothing below is computed again for each use
-        .withColumn("held", F.explode(F.array(F.struct("norm", "low", "text", "n_words"))))
+        .withColumn("held", F.explode(F.array(F.struct("norm", "text", "n_words"))))
         .select("doc_id", "marked", "held.*")
     )
     none = F.struct(
@@ -265,7 +287,7 @@ def scan_licenses(
         "doc_id",
         "n_words",
         F.when(F.col("marked"), _base(F.col("norm"), F.col("n_words"))).otherwise(none).alias("b"),
-        F.when(F.col("marked"), _hits(text, low, table)).alias("hits"),
+        F.when(F.col("marked"), _hits(text, F.col("norm"), table)).alias("hits"),
     )
     rows = (
         scanned.select("row", "doc_id", "n_words", "b", F.explode_outer("hits").alias("hit"))

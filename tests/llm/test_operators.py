@@ -507,3 +507,27 @@ def test_license_words_far_apart(spark):
     got = labels_of(spark, [gpl, apache, boxed, spdx])
     for labels, label in zip(got, ("gpl-3.0", "apache-2.0", "mpl-2.0", "gpl-3.0")):
         assert label in labels
+
+
+def test_license_samples_pass_keywords_and_anchors(spark):
+    samples = []  # label, text
+    for label, names, versions, address in license_scan.FAMILIES:
+        for name in names.split("|"):
+            name = name.replace("[cs]", "c")
+            samples.append((label, name))
+            samples.append((label, name.title().replace(" ", "\n *  ")))
+            samples += [(label, f"{name} version {v}") for v in versions.split()]
+        if address:
+            samples.append((label, address))
+    samples.append(("mpl", "see mozilla.org/MPL/2.0/"))
+    for kind in license_scan.CC_KINDS:
+        samples.append((f"cc-{kind}", "CC " + kind.upper() + " 4.0"))
+        samples.append((f"cc-{kind}", f"creativecommons.org/licenses/{kind}/4.0"))
+    samples.append(("cc-by-sa", "Creative\nCommons Attribution ShareAlike 3.0"))
+    got = labels_of(spark, [text for _, text in samples])
+    lost = [s for s, labels in zip(samples, got) if not any(x.startswith(s[0]) for x in labels)]
+    assert not lost
+    keywords = [keyword for _, _, keyword, _ in license_scan.rules()]
+    anchors = license_scan.anchors_of(keywords)
+    for keyword in keywords:
+        assert keyword.startswith("cc by") or any(a in keyword for a in anchors), keyword
