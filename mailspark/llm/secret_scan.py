@@ -42,7 +42,9 @@ IDENTIFIER = re.compile(
     r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"  # UUID
     r"|\d{4}-?\d\d-?\d\d(?:[T_-]?\d\d-?\d\d(?:-?\d\d)?Z?)?"  # date and time
     # words, each with a number at its end: user_id_2024, Licence-v2, chapter12Section4
-    r"|(?:[-_/=+]*(?:[A-Z]?[a-z]{3,}|[A-Z]{3,}|v)[0-9]{0,4})+(?:[-_/=+]+[0-9]{1,8})*[-_/=+]*"
+    # possessive: letters belong to one word only, so a run that fails is not tried in other splits
+    r"|(?:[-_/=+]*+(?:[A-Z]?[a-z]{3,}+|[A-Z]{3,}+|v)[0-9]{0,4}+)++"
+    r"(?:[-_/=+]++[0-9]{1,8}+)*+[-_/=+]*+"
 )
 
 

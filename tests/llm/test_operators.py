@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -531,3 +532,11 @@ def test_license_samples_pass_keywords_and_anchors(spark):
     anchors = license_scan.anchors_of(keywords)
     for keyword in keywords:
         assert keyword.startswith("cc by") or any(a in keyword for a in anchors), keyword
+
+
+def test_a_long_run_that_is_no_name_ends():
+    start = time.perf_counter()
+    for run in ("a" * 5000 + "1b", "Abc" * 3000 + "1b", "abc-" * 3000 + "!", "A" * 5000 + "1b"):
+        assert not secret_scan.IDENTIFIER.fullmatch(run)
+    assert secret_scan.IDENTIFIER.fullmatch("chapter12Section4-user_2024")
+    assert time.perf_counter() - start < 2
