@@ -540,3 +540,34 @@ def test_a_long_run_that_is_no_name_ends():
         assert not secret_scan.IDENTIFIER.fullmatch(run)
     assert secret_scan.IDENTIFIER.fullmatch("chapter12Section4-user_2024")
     assert time.perf_counter() - start < 2
+
+
+def test_random_runs_of_any_form():
+    encoding = secret_scan.load_ranks(secret_scan.VOCABULARY)
+
+    def found(text):
+        spans = secret_scan.random_spans(
+            text, [], lambda run: len(encoding.encode_ordinary(run)), 2.2, frozenset()
+        )
+        return [text[a:b] for a, b, _ in spans]
+
+    key = "Zk3xQ9vB2nM5wQ7tLr"
+    for text, want in {
+        "pw qzxkvjwpbnrtmhgd end": ["qzxkvjwpbnrtmhgd"],
+        f"credential:{key}": [key],
+        f"key={key}": [key],
+        f"https://hooks.x.com/services/T0AB12CD3/B9XY87ZW6/{key}": [key],
+        f"postgres://bob:{key}@db.x.com/z": [key],
+        f"bob:{key}@db.x.com": [key],
+        f"https://{key}@x.com/a.git": [key],
+        f"e30.{key}.{key}": [key, key],
+        "K7MDENG/bPxRfiCYzXqKpLmWvT/wJalrXUtnFEMI": ["K7MDENG/bPxRfiCYzXqKpLmWvT/wJalrXUtnFEMI"],
+        f"mailto:{key}@x.com and {key}@x.com": [],
+        "https://d3kq9x7vb2n5wq7tlr.cloudfront.net/some/path/to/page": [],
+        "internationalization chapter12Section4 com.example.someVeryLongMethodName": [],
+        "2024-01-02T10-20-30Z 123e4567-e89b-12d3-a456-426614174000": [],
+    }.items():
+        assert found(text) == want, text
+    start = time.perf_counter()
+    assert len(found("qzxkvjwp" * 10_000)) == 1 and not found("." * 100_000 + "a." * 50_000)
+    assert time.perf_counter() - start < 10
