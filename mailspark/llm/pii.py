@@ -126,9 +126,9 @@ def proposed_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[in
     the longer."""
     found = []
     digits = DIGIT.search(text) is not None
-    lower = text.lower() if " dot" in text or "dot " in text or "DOT" in text else ""
+    dot = "dot" in text or "DOT" in text
     for kind, pattern in PROPOSED.items():
-        if kind == "email_words" and not lower or kind == "person" and ". " not in text:
+        if kind == "email_words" and not dot or kind == "person" and ". " not in text:
             continue
         if kind not in ("email_words", "person", "ip6") and not digits:
             continue

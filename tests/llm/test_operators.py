@@ -534,6 +534,15 @@ def test_license_samples_pass_keywords_and_anchors(spark):
         assert keyword.startswith("cc by") or any(a in keyword for a in anchors), keyword
 
 
+def test_obfuscated_addresses_in_brackets():
+    for text in (
+        "john[at]example[dot]com", "mail john(at)example(dot)com now", "john AT example[DOT]com",
+        "john at example dot com",
+    ):
+        kinds = [kind for _, _, kind in pii.proposed_spans(text, [])]
+        assert kinds == ["email_words"], text
+
+
 def test_a_long_run_that_is_no_name_ends():
     start = time.perf_counter()
     for run in ("a" * 5000 + "1b", "Abc" * 3000 + "1b", "abc-" * 3000 + "!", "A" * 5000 + "1b"):
