@@ -9,7 +9,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from mailspark.queries import QUERIES  # noqa: E402
-from mailspark.queries.learning import SMALL  # noqa: E402
+from mailspark.queries.learning import PARAMS  # noqa: E402
 from mailspark.session import build_session  # noqa: E402
 
 HEADLINES = (
@@ -85,7 +85,7 @@ def main():
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "cpus": int(cpus),
         "messages": messages,
-        "classifier_rounds": SMALL.rounds,
+        "classifier_rounds": PARAMS.rounds,
         "layout": f"documents and pages in {2 * int(cpus)} files",
         "mails_per_minute": {
             q: round(60 * messages / took[q])

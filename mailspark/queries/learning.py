@@ -164,14 +164,14 @@ def _embedded(spark, sf):
     return known.select("id", "features", "label"), others.select("id", "features")
 
 
-# Few and shallow rounds: the number of rounds is a parameter of the job.
-SMALL = learn.BoostParams(rounds=3, max_depth=3)
+# The library's own: 1500 rounds of depth 6.
+PARAMS = learn.BoostParams()
 
 
-def small_model(spark, sf):
+def whole_model(spark, sf):
     """Fitted anew for each query: nothing is carried from one to the next."""
     train, _ = learn.split(_embedded(spark, sf)[0])
-    return learn.fit(cut_lineage(train), SMALL)
+    return learn.fit(cut_lineage(train), PARAMS)
 
 
 def _in_range():
@@ -188,7 +188,7 @@ _TRAIN_SIDE = f"{bucket('id', 100)} >= 25"
 def train(spark, sf):
     train, _ = learn.split(_embedded(spark, sf)[0])
     train = cut_lineage(train)
-    return learn.predict(learn.fit(train, SMALL), train).groupBy(
+    return learn.predict(learn.fit(train, PARAMS), train).groupBy(
         C("label").cast("bigint").alias("label")
     ).agg(F.count(F.lit(1)).alias("n"), F.count_if(_in_range()).alias("in_range"))
 
@@ -196,10 +196,8 @@ def train(spark, sf):
 @query("ml03_tune", "SELECT 2::bigint AS trials, true AS best_is_highest")
 def tune(spark, sf):
     train, _ = learn.split(_embedded(spark, sf)[0])
-    candidates = [
-        learn.BoostParams(rounds=2, max_depth=2),
-        learn.BoostParams(rounds=2, max_depth=3, eta=0.1),
-    ]
+    # the SQL twin fixes the number of trials, not their rounds
+    candidates = learn.trials(2)
     best, table = learn.tune(cut_lineage(train), candidates, parallel=2)
     chosen = (C("max_depth") == best.max_depth) & (C("eta") == best.eta)
     return table.agg(
@@ -212,14 +210,14 @@ def tune(spark, sf):
     "messages labelset",
     "SELECT id, true AS in_range FROM messages WHERE id NOT IN (SELECT id FROM labelset)"))
 def predict(spark, sf):
-    scored = learn.predict(small_model(spark, sf), _embedded(spark, sf)[1])
+    scored = learn.predict(whole_model(spark, sf), _embedded(spark, sf)[1])
     return scored.select("id", _in_range().alias("in_range"))
 
 
 def _self_trained(spark, sf):
     known, others = _embedded(spark, sf)
     train, _ = learn.split(known)
-    return learn.self_train(train, cut_lineage(others), SMALL, max_rounds=2, cut=0.6)
+    return learn.self_train(train, cut_lineage(others), PARAMS)
 
 
 @query("ml05_self_training", using(
@@ -275,7 +273,7 @@ def one_round(spark, sf):
 def final_evaluation(spark, sf):
     """The rows of the matrix sum to the labels of the hold-out."""
     _, held_out = learn.split(_embedded(spark, sf)[0])
-    matrix = learn.evaluate(small_model(spark, sf), held_out)[0]
+    matrix = learn.evaluate(whole_model(spark, sf), held_out)[0]
     return matrix.select(
         C("actual").cast("bigint").alias("actual"),
         (C("predicted_0") + C("predicted_1")).alias("n"),
@@ -292,7 +290,7 @@ def _scored_facts(scored):
 def score_messages(spark, sf):
     decoded = mime.decode_payload(staging.payloads(spark, sf).select("id", "payload"))
     return _scored_facts(
-        learn.score_messages(quality.require_request(decoded), small_model(spark, sf))
+        learn.score_messages(quality.require_request(decoded), whole_model(spark, sf))
     )
 
 
@@ -301,7 +299,7 @@ def score_one(spark, sf):
     asked = chunks.first_n(_clean(staging.messages(spark, sf)), 1)
     subject, body = asked.select("subject", "body").first()
     return _scored_facts(
-        learn.score_one(spark, subject, body, small_model(spark, sf))
+        learn.score_one(spark, subject, body, whole_model(spark, sf))
     ).drop("id")
 
 
@@ -312,7 +310,7 @@ def score_one(spark, sf):
 def save_load_model(spark, sf):
     """A classifier that was saved and loaded predicts the same."""
     path, known = scratch_dir(spark, "model"), cut_lineage(_embedded(spark, sf)[0])
-    model = small_model(spark, sf)
+    model = whole_model(spark, sf)
     learn.save_model(model, path)
     before = learn.predict(model, known)
     both = learn.predict(learn.load_model(path), before, "again")

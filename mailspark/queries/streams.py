@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from mailspark import staging
 from mailspark.operators import triage
 from mailspark.queries.base import query, using, with_defaults
-from mailspark.queries.learning import small_model
+from mailspark.queries.learning import whole_model
 from mailspark.session import scratch_dir
 from mailspark.sources import landing
 from mailspark.streaming import streams
@@ -105,7 +105,7 @@ def land_and_score(spark, sf):
     landing.create_landing(spark, name, table)
     sent = staging.payloads(spark, sf).select("id", "payload")
     sent.write.parquet(inbox)
-    process = streams.land_and_score(name, small_model(spark, sf), plans)
+    process = streams.land_and_score(name, whole_model(spark, sf), plans)
     streams.catch_up(streams.stream_files(spark, inbox, sent.schema), process, mark)
     return landing.landed(spark, name).select(
         "id", F.unix_micros("received_at").alias("received_us"), "subject"
@@ -119,7 +119,7 @@ def two_streams(spark, sf):
     name = "landed_" + table[-12:]
     landing.create_landing(spark, name, table)
     sent = staging.payloads(spark, sf).select("id", "payload")
-    process = streams.land_and_score(name, small_model(spark, sf), plans)
+    process = streams.land_and_score(name, whole_model(spark, sf), plans)
     odd = F.substring("id", -1, 1).isin("1", "3", "5", "7", "9")
     for part in (sent.where(odd), sent.where(~odd)):
         inbox, mark = (scratch_dir(spark, k) for k in ("inbox", "mark"))
