@@ -2,38 +2,25 @@
 
 from __future__ import annotations
 
-import random
+import json
 from dataclasses import asdict, dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailspark.functions import scoring
+from mailspark.operators import boosting, tuning
+from mailspark.operators.boosting import BOOST_ROUNDS, SEED, BoostParams  # noqa: F401
 from mailspark.operators.features import HashingEncoder, embed
-from mailspark.session import cut_lineage
+from mailspark.operators.forest import Forest, predict
+from mailspark.session import cut_lineage, scratch_dir
 
-# Share and seed of the hold-out, rounds, trials and workers.
-SEED = 42
+# Share of the hold-out, rounds of self-training, trials and how many at a time.
 HOLD_OUT_PERCENT = 25
-BOOST_ROUNDS = 1500
 SELF_TRAINING_ROUNDS = 9
 TRIALS = 25
 PARALLEL_TRIALS = 5
 
 
-@dataclass(frozen=True)
-class BoostParams:
-    rounds: int = BOOST_ROUNDS
-    max_depth: int = 6
-    eta: float = 0.3
-    subsample: float = 1.0
-    colsample: float = 1.0
-    gamma: float = 0.0
-    seed: int = SEED
-
-
 def in_hold_out(id_col: Column, percent: int = HOLD_OUT_PERCENT) -> Column:
     """By a hash of the id, so a row stays on its side however the data is partitioned."""
     head = F.conv(F.substring(F.md5(id_col.cast("string")), 1, 8), 16, 10).cast("bigint")
@@ -45,38 +32,20 @@ def split(df: DataFrame, id_col: str = "id", percent: int = HOLD_OUT_PERCENT):
     return df.where(~held), df.where(held)
 
 
-def fit(train: DataFrame, params: BoostParams = BoostParams()) -> GBTClassificationModel:
-    """`train` holds features ARRAY and label 0/1."""
-    trees = GBTClassifier(
-        featuresCol="vector",
-        labelCol="label",
-        lossType="logistic",
-        maxIter=params.rounds,
-        maxDepth=params.max_depth,
-        stepSize=params.eta,
-        subsamplingRate=params.subsample,
-        featureSubsetStrategy=str(float(params.colsample)),
-        minInfoGain=params.gamma,
-        seed=params.seed,
-        cacheNodeIds=True,
-        checkpointInterval=10,
-        maxMemoryInMB=512,
-    )
-    rows = train.select(
-        array_to_vector("features").alias("vector"), F.col("label").cast("double").alias("label")
-    )
-    return trees.fit(rows)
+def fit(train: DataFrame, params: BoostParams = BoostParams()) -> Forest:
+    """`train` holds features ARRAY and label 0/1; rows without either are not trained on. Two
+    jobs: the bin edges, and all rounds of all members (see boosting)."""
+    return fit_many(train, [params])[0]
 
 
-def predict(model: GBTClassificationModel, df: DataFrame, out_col: str = "p") -> DataFrame:
-    """Adds the probability of class 1."""
-    vectored = df.withColumn("vector", array_to_vector("features"))
-    added = ("vector", "rawPrediction", "probability", "prediction")
-    return (
-        model.transform(vectored)
-        .withColumn(out_col, vector_to_array("probability")[1])
-        .drop(*added)
-    )
+def fit_many(train: DataFrame, fits: list[BoostParams]) -> list[Forest]:
+    """Several fits on the same rows; the members of all of them grow in one job."""
+    usable = boosting.usable(train)
+    edges, n_rows = boosting.bin_edges(usable, fits[0].bins)
+    members = boosting.member_count(n_rows, fits[0])
+    binned = boosting.binned_rows(usable, edges, members)
+    nodes = boosting.grow_members(binned, edges, members, fits).toArrow()
+    return boosting.forests(nodes, edges, members, len(fits))
 
 
 def confusion_matrix(scored: DataFrame, label: str = "label", predicted: str = "predicted"):
@@ -109,67 +78,100 @@ def precision(scored: DataFrame, label: str = "label", predicted: str = "predict
     return recall(scored, predicted, label).withColumnRenamed("recall", "precision")
 
 
-def trials(n: int = TRIALS, rounds: int = BOOST_ROUNDS, seed: int = SEED) -> list[BoostParams]:
-    """Seeded random points of the search space. The ranges; gain is divided by
-    100 because here it is a decrease in impurity, which lies in [0, 0.5]."""
-    draw = random.Random(seed)
-    return [
-        BoostParams(
-            rounds=rounds,
-            max_depth=draw.randint(3, 15),
-            eta=draw.uniform(0.01, 0.3),
-            subsample=draw.uniform(0.5, 1.0),
-            colsample=draw.uniform(0.5, 1.0),
-            gamma=draw.uniform(0.0, 5.0) / 100,  # minInfoGain is on a smaller scale
-        )
-        for _ in range(n)
-    ]
-
-
 def tune(
-    train: DataFrame, candidates: list[BoostParams], parallel: int = PARALLEL_TRIALS
+    train: DataFrame,
+    n_trials: int = TRIALS,
+    parallel: int = PARALLEL_TRIALS,
+    base: BoostParams = BoostParams(),
 ) -> tuple[BoostParams, DataFrame]:
     """The parameters of best recall on a validation slice of the training part (never
-    on the hold-out), precision breaking ties; and a table of all trials."""
+    on the hold-out), precision breaking ties, then the earlier trial; and a table of all trials.
+
+    `parallel` trials at a time are drawn by a tree-structured Parzen estimator from what the
+    trials before them gave; they are fitted in one job and checked in one.
+    """
     slice_of = F.concat(F.lit("validation:"), F.col("id"))
     held = in_hold_out(slice_of)
     learn_on, check_on = train.where(~held), train.where(held)
-
-    def trial(params: BoostParams):
-        scored = predict(fit(learn_on, params), check_on).withColumn(
-            "predicted", scoring.threshold(F.col("p"), scoring.EVEN_THRESHOLD)
-        )
-        # both in one pass over the predictions
-        true = F.count_if((F.col("label") == 1) & (F.col("predicted") == 1))
-        both = scored.agg(
-            F.coalesce(F.try_divide(true, F.count_if(F.col("label") == 1)), F.lit(0.0)),
-            F.coalesce(F.try_divide(true, F.count_if(F.col("predicted") == 1)), F.lit(0.0)),
-        )
-        return tuple(both.first())
-
-    with ThreadPool(parallel) as pool:
-        results = pool.map(trial, candidates)
-    best = max(range(len(candidates)), key=lambda i: (*results[i], -i))
+    study = tuning.Study(base)
+    while len(study.results) < n_trials:
+        asked = study.ask(min(parallel, n_trials - len(study.results)))
+        scored, counts = check_on, []
+        for i, model in enumerate(fit_many(learn_on, asked)):
+            scored = predict(model, scored, f"_p{i}")
+            found = scoring.threshold(F.col(f"_p{i}"), scoring.EVEN_THRESHOLD) == 1
+            counts += [F.count_if(found), F.count_if(found & (F.col("label") == 1))]
+        positive, *both = scored.agg(F.count_if(F.col("label") == 1), *counts).first()
+        for i, params in enumerate(asked):
+            said, true = both[2 * i : 2 * i + 2]
+            study.tell(params, true / positive if positive else 0.0, true / said if said else 0.0)
     rows = [
         {"trial": i, **asdict(p), "recall": r, "precision": q}
-        for i, (p, (r, q)) in enumerate(zip(candidates, results))
+        for i, (p, r, q) in enumerate(study.results)
     ]
-    return candidates[best], train.sparkSession.createDataFrame(rows)
+    return study.best(), train.sparkSession.createDataFrame(rows)
 
 
-def pseudo_label_round(scored: DataFrame, cut: float = scoring.CONFIDENCE):
-    """(confident rows with their predicted label, the rest), from rows with p."""
-    sure = scoring.is_confident(F.col("p"), cut)
+def pseudo_label_round(scored: DataFrame, cut: float | None = scoring.CONFIDENCE):
+    """(confident rows with their predicted label, the rest), from rows with p; without a cut
+    the column `sure` tells which is which."""
+    sure = F.col("sure") if cut is None else scoring.is_confident(F.col("p"), cut)
     label = scoring.threshold(F.col("p"), scoring.EVEN_THRESHOLD).alias("label")
-    return scored.where(sure).select("id", "features", label), scored.where(~sure).drop("p")
+    return scored.where(sure).select("id", "features", label), scored.where(~sure).drop("p", "sure")
 
 
 @dataclass
 class SelfTraining:
-    model: GBTClassificationModel
+    model: Forest
     labelled: DataFrame
     remaining: DataFrame
     rounds: DataFrame
+    ledger: DataFrame
+
+
+LEDGER = "round int, added bigint, labelled bigint, remaining bigint, model string"
+
+
+class Ledger:
+    """What each round of self-training did, in a folder: `scored/round=N` holds the rows that
+    were still without label, with their p and whether the model was sure; `log/round=N`, written
+    after it, the counts and the hash of the model. A round counts once its log is there, so a
+    driver that is started again goes on at the round it was in."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def log(self) -> list:
+        """The rounds that are complete, in order."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        out = []
+        while True:
+            folder = f"{self.path}/log/round={len(out) + 1}"
+            done = jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+            if not done.getFileSystem(conf).exists(done):
+                return out
+            out.append(self.spark.read.schema(LEDGER).json(folder).first())
+
+    def scored(self, turn: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/scored/round={turn}")
+
+    def write(self, turn: int, scored: DataFrame) -> DataFrame:
+        scored.write.mode("overwrite").parquet(f"{self.path}/scored/round={turn}")
+        return self.scored(turn)
+
+    def close(self, row: tuple) -> None:
+        self.spark.createDataFrame([row], LEDGER).coalesce(1).write.mode("overwrite").json(
+            f"{self.path}/log/round={row[0]}"
+        )
+
+    def picks(self, turns: int) -> DataFrame:
+        """(round, id, features, label) of all rows the first rounds labelled."""
+        empty = "round int, id string, features array<double>, label int"
+        out = self.spark.createDataFrame([], empty)
+        for turn in range(1, turns + 1):
+            sure, _ = pseudo_label_round(self.scored(turn), None)
+            out = out.unionByName(sure.withColumn("round", F.lit(turn)))
+        return out
 
 
 def self_train(
@@ -178,64 +180,94 @@ def self_train(
     params: BoostParams = BoostParams(),
     max_rounds: int = SELF_TRAINING_ROUNDS,
     cut: float = scoring.CONFIDENCE,
+    ledger: str | None = None,
 ) -> SelfTraining:
     """Fit, label what the model is sure of, move it over, and again.
 
-    Each round's scores are written to the shared checkpoint folder, so the plan does
-    not grow with the rounds and a lost executor costs one round at most. Only counts
-    reach the driver.
+    Each round's scores are written once to the ledger (a folder of its own below the shared one,
+    unless named), so the plan does not grow with the rounds, and a loop that was broken off goes
+    on with the same inputs at the round it was in. Only counts and trees reach the driver.
     """
+    spark = labelled.sparkSession
+    book = Ledger(spark, ledger or scratch_dir(spark, "self-training"))
     labelled = cut_lineage(labelled.select("id", "features", F.col("label").cast("int")))
-    remaining = unlabelled.select("id", "features")
-    size, log, final = labelled.count(), [], None
-    for turn in range(1, max_rounds + 1):
-        model = fit(labelled, params)
-        scored = cut_lineage(predict(model, remaining))
-        left, sure = scored.agg(
-            F.count(F.lit(1)), F.count_if(scoring.is_confident(F.col("p"), cut))
-        ).first()
-        if not left or not sure:
+    log, final = book.log(), None
+    size = log[-1]["labelled"] if log else labelled.count()
+
+    def known(turns: int) -> DataFrame:
+        return labelled.unionByName(book.picks(turns).drop("round"))
+
+    def rest(turns: int) -> DataFrame:
+        if turns:
+            return pseudo_label_round(book.scored(turns), None)[1]
+        return unlabelled.select("id", "features")
+
+    while len(log) < max_rounds and not (log and not log[-1]["remaining"]):
+        turn = len(log) + 1
+        model = fit(known(turn - 1), params)
+        sure = scoring.is_confident(F.col("p"), cut)
+        scored = book.write(turn, predict(model, rest(turn - 1)).withColumn("sure", sure))
+        left, added = scored.agg(F.count(F.lit(1)), F.count_if("sure")).first()
+        if not added:
             final = model  # fitted on these very rows
             break
-        added, remaining = pseudo_label_round(scored, cut)
-        labelled = labelled.unionByName(added)
-        size += sure
-        log.append((turn, sure, size, left - sure))
-    rounds = labelled.sparkSession.createDataFrame(
-        log, "round int, added bigint, labelled bigint, remaining bigint"
+        size += added
+        row = (turn, added, size, left - added, model.content_hash)
+        book.close(row)
+        log.append(dict(zip(("round", "added", "labelled", "remaining", "model"), row)))
+    done = known(len(log))
+    rows = [tuple(r[c] for c in ("round", "added", "labelled", "remaining")) for r in log]
+    rounds = spark.createDataFrame(
+        rows, "round int, added bigint, labelled bigint, remaining bigint"
     )
-    return SelfTraining(final or fit(labelled, params), labelled, remaining, rounds)
+    picks = book.picks(len(log)).select("round", "id", "label")
+    return SelfTraining(final or fit(done, params), done, rest(len(log)), rounds, picks)
 
 
-def evaluate(model: GBTClassificationModel, held_out: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Confusion matrix and recall at p >= 0.5."""
-    scored = predict(model, held_out).withColumn(
+def evaluate_scores(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Confusion matrix and recall at p >= 0.5, of rows with p and label."""
+    predicted = scored.withColumn(
         "predicted", scoring.threshold(F.col("p"), scoring.EVEN_THRESHOLD, strict=False)
     )
-    return confusion_matrix(scored), recall(scored)
+    return confusion_matrix(predicted), recall(predicted)
+
+
+def evaluate(model: Forest, held_out: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Confusion matrix and recall of a model on the hold-out."""
+    return evaluate_scores(predict(model, held_out))
 
 
-def save_model(model: GBTClassificationModel, path: str, encoder=HashingEncoder()) -> None:
-    """The classifier with the name and size of the encoder it was trained on."""
-    model.write().overwrite().save(f"{path}/trees")
+MODEL = "encoder string, dim int, members int, features int, edges string, hash string"
+
+
+def save_model(model: Forest, path: str, encoder=HashingEncoder()) -> None:
+    """The nodes as a table, and the encoder the classifier was trained on, the bin edges and
+    the hash of it all."""
     spark = SparkSession.active()
-    spark.createDataFrame([(encoder.name, encoder.dim)], "encoder string, dim int").write.mode(
-        "overwrite"
-    ).json(f"{path}/encoder")
+    spark.createDataFrame(model.nodes).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+    about = (encoder.name, encoder.dim, model.members, model.dim, json.dumps(model.edges),
+             model.content_hash)
+    spark.createDataFrame([about], MODEL).coalesce(1).write.mode("overwrite").json(f"{path}/about")
 
 
-def load_model(path: str, encoder=HashingEncoder()) -> GBTClassificationModel:
-    """Refuses a classifier trained on another encoder."""
-    saved = SparkSession.active().read.schema("encoder string, dim int").json(f"{path}/encoder")
-    kept = saved.first()
-    if (kept["encoder"], kept["dim"]) != (encoder.name, encoder.dim):
-        raise ValueError(f"classifier expects {kept['encoder']}/{kept['dim']}")
-    return GBTClassificationModel.load(f"{path}/trees")
+def load_model(path: str, encoder=HashingEncoder()) -> Forest:
+    """Refuses a classifier trained on another encoder, and one whose files were changed."""
+    spark = SparkSession.active()
+    about = spark.read.schema(MODEL).json(f"{path}/about").first()
+    if (about["encoder"], about["dim"]) != (encoder.name, encoder.dim):
+        raise ValueError(f"classifier expects {about['encoder']}/{about['dim']}")
+    nodes = spark.read.parquet(f"{path}/nodes").toArrow()
+    model = Forest(
+        boosting.in_order(nodes), about["members"], about["features"], json.loads(about["edges"])
+    )
+    if model.content_hash != about["hash"]:
+        raise ValueError(f"the classifier in {path} differs from its hash")
+    return model
 
 
 def score_messages(
     df: DataFrame,
-    model: GBTClassificationModel,
+    model: Forest,
     encoder=HashingEncoder(),
     cut: float = scoring.SERVING_THRESHOLD,
     keep: list[str] | tuple[str, ...] = (),

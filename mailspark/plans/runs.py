@@ -109,24 +109,25 @@ def train(
     important: DataFrame,
     unimportant: DataFrame,
     unlabelled: DataFrame,
-    candidates: list[learn.BoostParams],
+    params: learn.BoostParams = learn.BoostParams(),
+    n_trials: int = learn.TRIALS,
     max_rounds: int = learn.SELF_TRAINING_ROUNDS,
     encoder=HashingEncoder(),
     model_path: str | None = None,
+    ledger: str | None = None,
 ) -> TrainingResult:
-    """Label, fill, embed, split, tune, self-train, evaluate, and save if a path is given.
-    Frames are (id, subject, body)."""
+    """Label, fill, embed, split, tune (unless n_trials is 0), self-train, evaluate, and save if
+    a path is given. Frames are (id, subject, body)."""
     labelled = important.withColumn("label", F.lit(1)).unionByName(
         unimportant.withColumn("label", F.lit(0))
     )
     filled = labelled.withColumn("body", text.body_or_subject(F.col("body"), F.col("subject")))
     features = cut_lineage(embed(filled, encoder=encoder).select("id", "features", "label"))
     learn_on, held_out = learn.split(features)
-    params = candidates[0]
-    if len(candidates) > 1:
-        params, _ = learn.tune(learn_on, candidates)
+    if n_trials:
+        params, _ = learn.tune(learn_on, n_trials, base=params)
     others = embed(unlabelled, encoder=encoder).select("id", "features")
-    result = learn.self_train(learn_on, others, params, max_rounds)
+    result = learn.self_train(learn_on, others, params, max_rounds, ledger=ledger)
     if model_path:
         learn.save_model(result.model, model_path, encoder)
     confusion, recall = learn.evaluate(result.model, held_out)
@@ -138,7 +139,6 @@ def train_from_snapshots(
     labelled_base: str,
     unlabelled_base: str,
     model_path: str,
-    candidates: list[learn.BoostParams],
     run_ts: str | None = None,
     **options,
 ) -> TrainingResult:
@@ -155,4 +155,4 @@ def train_from_snapshots(
         decoded.where(F.col("label") == v).select("id", "subject", "body") for v in (1, 0)
     )
     rest = mime.decode_payload(others.select("id", "payload")).select("id", "subject", "body")
-    return train(important, unimportant, rest, candidates, model_path=model_path, **options)
+    return train(important, unimportant, rest, model_path=model_path, **options)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mailspark import staging
 from mailspark.functions import scoring, text, vectors
-from mailspark.operators import chunks, features, fetch, learn, mime, quality, triage
+from mailspark.operators import chunks, features, fetch, learn, mime, quality, triage, tuning
 from mailspark.queries.base import bucket, cleaned, query, using, with_defaults
 from mailspark.session import cut_lineage, scratch_dir
 
@@ -193,16 +193,42 @@ def train(spark, sf):
     ).agg(F.count(F.lit(1)).alias("n"), F.count_if(_in_range()).alias("in_range"))
 
 
-@query("ml03_tune", "SELECT 2::bigint AS trials, true AS best_is_highest")
+_CHECKED = f"{bucket("'validation:' || id", 100)} < 25"
+
+
+@query("ml03_tune", using(
+    "messages labelset",
+    f"""SELECT trial::bigint AS trial, true AS in_range, true AS rates_possible,
+               trial = 0 AS is_first, checked, positive, true AS best_is_highest
+        FROM range({learn.TRIALS}) t(trial),
+             (SELECT count(*) AS checked, count_if(label = 1)::bigint AS positive
+              FROM messages JOIN labelset USING (id)
+              WHERE {_TRAIN_SIDE} AND {_CHECKED})"""))
 def tune(spark, sf):
+    """One row a trial: its parameters lie in their ranges, its rates are possible for the rows
+    it was checked on, and no trial is better than the one that was chosen."""
     train, _ = learn.split(_embedded(spark, sf)[0])
-    # the SQL twin fixes the number of trials, not their rounds
-    candidates = learn.trials(2)
-    best, table = learn.tune(cut_lineage(train), candidates, parallel=2)
-    chosen = (C("max_depth") == best.max_depth) & (C("eta") == best.eta)
-    return table.agg(
-        F.count(F.lit(1)).alias("trials"),
-        (F.max("recall") == F.max(F.when(chosen, C("recall")))).alias("best_is_highest"),
+    train = cut_lineage(train)
+    best, table = learn.tune(train, base=PARAMS)
+    checked = train.where(learn.in_hold_out(F.concat(F.lit("validation:"), C("id")))).agg(
+        F.count(F.lit(1)).alias("checked"), F.count_if(C("label") == 1).alias("positive")
+    )
+    in_range = C("rounds") == learn.BOOST_ROUNDS
+    for name, (low, high) in tuning.SPACE.items():
+        in_range = in_range & C(name).between(low, high)
+    # a recall is a whole number of found rows over all positive ones
+    found = C("recall") * C("positive")
+    possible = (F.abs(found - F.round(found)) < 1e-6) & C("recall").between(0, 1)
+    chosen = F.lit(True)
+    for name in tuning.SPACE:
+        chosen = chosen & (C(name) == getattr(best, name))
+    top = table.agg(
+        F.max(F.when(chosen, F.struct("recall", "precision"))).alias("top")
+    )
+    return table.crossJoin(checked).crossJoin(top).select(
+        "trial", in_range.alias("in_range"), possible.alias("rates_possible"),
+        (C("trial") == 0).alias("is_first"), "checked", "positive",
+        (C("top") >= F.struct("recall", "precision")).alias("best_is_highest"),
     )
 
 
@@ -280,6 +306,22 @@ def final_evaluation(spark, sf):
     )
 
 
+@query("ml06_matrix", using(
+    "messages labelset scores",
+    f"""SELECT a.actual::bigint AS actual, count_if(p < 0.5::double)::bigint AS predicted_0,
+               count_if(p >= 0.5::double)::bigint AS predicted_1
+        FROM (VALUES (0), (1)) a(actual)
+        LEFT JOIN (SELECT label, p FROM scores JOIN labelset USING (id)
+                   WHERE NOT {_TRAIN_SIDE}) j ON j.label = a.actual GROUP BY 1"""))
+def matrix_of_fixed_scores(spark, sf):
+    """The matrix itself, on scores that do not come from a model."""
+    _, held_out = learn.split(staging.labelled(spark, sf))
+    scored = staging.scores(held_out).join(staging.labels(spark, sf), "id")
+    return learn.evaluate_scores(scored)[0].select(
+        C("actual").cast("bigint").alias("actual"), "predicted_0", "predicted_1"
+    )
+
+
 def _scored_facts(scored):
     serving = C("important") == (C("p") > scoring.SERVING_THRESHOLD).cast("int")
     return scored.select("id", _in_range().alias("in_range"), serving.alias("by_threshold"))

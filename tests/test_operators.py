@@ -303,15 +303,6 @@ def test_self_training_without_confident_rows(spark):
     assert result.rounds.count() == 0 and result.labelled.count() == 40
 
 
-def test_tuning_never_sees_the_hold_out(spark):
-    train, _ = learn.split(toy(spark))
-    points = learn.trials(3, rounds=1)
-    assert points == learn.trials(3, rounds=1)
-    best, table = learn.tune(train, points, parallel=3)
-    assert best in points and table.count() == 3
-    assert all(3 <= p.max_depth <= 15 and 0.01 <= p.eta <= 0.3 for p in points)
-
-
 def test_score_one(spark):
     encoder = features.HashingEncoder(dim=4)
     texts = spark.createDataFrame(

@@ -60,7 +60,7 @@ def test_training_run(spark, tiny):
     known = staging.labelled(spark, tiny).select("id", "subject", "body", "label")
     parts = [known.where(F.col("label") == v).drop("label") for v in (1, 0)]
     others = staging.unlabelled(spark, tiny).select("id", "subject", "body")
-    result = runs.train(*parts, others, [SMALL], max_rounds=1)
+    result = runs.train(*parts, others, SMALL, 0, max_rounds=1)
     assert result.confusion.count() == 2
     assert 0.0 <= result.recall.first()[0] <= 1.0
     assert result.rounds.count() <= 1
@@ -133,11 +133,12 @@ def test_training_from_snapshots_saves_the_model(spark, tiny, tmp_path):
     runs.training_snapshot(known, str(tmp_path / "known"), at, per_label=30)
     snapshots.write_snapshot(sent.join(known, "id", "left_anti"), str(tmp_path / "rest"), at)
     result = runs.train_from_snapshots(
-        spark, str(tmp_path / "known"), str(tmp_path / "rest"), str(tmp_path / "model"), [SMALL],
-        max_rounds=1,
+        spark, str(tmp_path / "known"), str(tmp_path / "rest"), str(tmp_path / "model"),
+        params=SMALL, n_trials=0, max_rounds=1,
     )
     assert result.confusion.count() == 2
-    assert learn.load_model(str(tmp_path / "model")).getNumTrees == SMALL.rounds
+    loaded = learn.load_model(str(tmp_path / "model"))
+    assert set(loaded.nodes["tree"].to_pylist()) == set(range(SMALL.rounds))
 
 
 def test_topic_values(spark):
