@@ -17,8 +17,11 @@ from mailspark.llm.language_id import identify, learn
 from mailspark.llm.license_scan import scan_licenses
 from mailspark.llm.mixing import mixing_report
 from mailspark.llm.near_dedup import near_duplicates
+from mailspark.llm.packing import pack_documents
+from mailspark.llm.periodic_runs import run_report, with_repeats
 from mailspark.llm.pii import find_personal_data
 from mailspark.llm.secret_scan import scan_secrets
+from mailspark.llm.token_alignment import align_tokens
 from mailspark.llm.token_counts import count_tokens
 from mailspark.llm.token_files import through_token_files
 
@@ -82,3 +85,18 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents")).drop("ids")
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(with_repeats(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"))
