@@ -8,34 +8,48 @@ The model is fitted on a bounded sample of labelled rows (`train_docs` a languag
 hash of the id); its tables grow with that sample, not with the corpus. Prediction reads the
 text alone and is narrow.
 
-Null texts, texts without a letter, and all texts if nothing was learned are `und`, with score
+Words are letters (Unicode's, with the marks after them): digits and other numbers are none. A text
+whose words all score best in one language is that language's without a search. Memory of the
+search is a few bytes a word and language. Null texts, texts without a letter, and all texts if nothing was learned are `und`, with score
 0. Ties go to the language first in order. Repeated rows and ids stay as they are; rows without
-id or language are not learned from.
+id or language are not learned from. An empty table teaches nothing and gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 import uuid
 from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailspark.llm.common import as_rows, map_batches, strings, with_id, worker_state
 
 UNDETERMINED = "und"
 TRAIN_DOCS = 2000
-MOST_GRAMS = 60_000
+GRAMS_A_LANGUAGE = 10_000
 SWITCH_PENALTY = 14.0
 OUTSIDE_SCRIPT = -60.0
 LEAST_SHARE = 0.01
 CACHE_BYTES = 48 * 1024 * 1024
 HELD_OUT = (4, 2)  # crc32 of the id, modulo and remainder
 
-WORD = re.compile(r"[^\W\d_]+")
+
+
+def _class_of(categories: str) -> str:
+    """The ranges of all characters of some general categories, for a class of a pattern."""
+    inside = np.array([unicodedata.category(chr(i))[0] in categories for i in range(0x110000)])
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in edges.reshape(-1, 2).tolist())
+
+
+# A letter, and the letters and marks after it; no digits or other characters that are numbers
+WORD = re.compile(f"[{_class_of('L')}][{_class_of('LM')}]*")
 # First code point of each block of letters, and its script.
 SCRIPTS = [
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"),
@@ -122,7 +136,7 @@ class Model:
         rows = self.rows([w for i in order for w in docs[i]])
         sizes = np.array([len(docs[i]) for i in order])
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        path = viterbi(self.scores, rows, starts, sizes)
+        path = labels(self.scores, rows, starts, sizes)
         letters = np.fromiter((len(w) for i in order for w in docs[i]), dtype=np.int64)
         k = len(self.langs)
         doc = np.repeat(np.arange(len(order)), sizes)
@@ -142,6 +156,27 @@ class Model:
         return out
 
 
+def labels(
+    scores: np.ndarray, rows: np.ndarray, starts: np.ndarray, sizes: np.ndarray
+) -> np.ndarray:
+    """Best language of every word. Where one language is best for each word of a text, it is the
+    text's: no labelling scores more, and none of those that score as much comes before it. Other
+    texts are searched."""
+    path = np.empty(len(rows), dtype=np.int64)
+    if not len(rows):
+        return path
+    top = scores[rows].max(axis=1)
+    reaches = np.logical_and.reduceat(scores[rows] == top[:, None], starts, axis=0)
+    plain = reaches.any(axis=1)
+    path[:] = np.repeat(reaches.argmax(axis=1), sizes)
+    hard = np.flatnonzero(~plain)
+    if len(hard):
+        of_word = np.repeat(~plain, sizes)
+        own = sizes[hard]
+        path[of_word] = viterbi(scores, rows[of_word], np.cumsum(own) - own, own)
+    return path
+
+
 def viterbi(
     scores: np.ndarray,
     rows: np.ndarray,
@@ -154,6 +189,8 @@ def viterbi(
     steps = int(sizes[0])
     active = np.searchsorted(-sizes, -np.arange(steps), side="left")  # texts longer than t
     value = scores[rows[starts]]
+    own_states = np.arange(scores.shape[1])
+    narrow = np.uint8 if scores.shape[1] < 256 else np.uint16
     back = [None]
     for t in range(1, steps):
         n = active[t]
@@ -162,15 +199,15 @@ def viterbi(
         jump = now.max(axis=1)[:, None] - penalty
         move = now < jump
         value[:n] = np.where(move, jump, now) + scores[rows[starts[:n] + t]]
-        back.append((best, move))
+        # language to come from: its own, or the best one
+        back.append(np.where(move, best[:, None], own_states[None, :]).astype(narrow))
     path = np.empty(len(rows), dtype=np.int64)
     state = value.argmax(axis=1)
     every = np.arange(len(sizes))
     for t in range(steps - 1, 0, -1):
         n = active[t]
         path[starts[:n] + t] = state[:n]
-        best, move = back[t]
-        state[:n] = np.where(move[every[:n], state[:n]], best, state[:n])
+        state[:n] = back[t][every[:n], state[:n]]
     path[starts] = state
     return path
 
@@ -181,9 +218,10 @@ def learn(
     lang_col: str = "lang",
     id_col: str = "doc_id",
     train_docs: int = TRAIN_DOCS,
-    most_grams: int = MOST_GRAMS,
+    grams_a_language: int = GRAMS_A_LANGUAGE,
 ) -> Model:
-    """Fits the model on about `train_docs` rows of each language, all not held out."""
+    """Fits the model on about `train_docs` rows of each language, all not held out, and its
+    `grams_a_language` commonest trigrams."""
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("id"),
         F.col(text_col).cast("string").alias("text"),
@@ -213,14 +251,15 @@ def learn(
                 [pa.array(c) for c in columns], names=["lang", "kind", "part", "n"]
             )
 
+    commonest = Window.partitionBy("lang", "kind").orderBy(F.col("n").desc(), "part")
     counted = (
         sample.mapInArrow(count, "lang string, kind string, part string, n bigint")
         .groupBy("lang", "kind", "part")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.col("kind").desc(), F.col("n").desc(), "lang", "part")
-        .limit(most_grams)
+        .withColumn("place", F.row_number().over(commonest))
+        .where(F.col("place") <= grams_a_language)
         .collect()
-    )  # bounded by most_grams; scripts come first
+    )  # so many trigrams a language, and a few scripts
     of = {lang: i for i, lang in enumerate(langs)}
     grams = sorted({r["part"] for r in counted if r["kind"] == "gram"})
     at = {g: i for i, g in enumerate(grams)}
