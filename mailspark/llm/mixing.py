@@ -8,7 +8,9 @@ kept with the probability of its cell, sampled tokens / tokens. The decision is
 document, so it is the same in a task that runs again.
 
 A sample holds a value's target share only if it is no larger than the value's tokens divided by
-that share, so the rarest values bound it. A `kept_share` that is given holds whatever the targets:
+that share, so the rarest values bound it. With `repeats` above 1 a cell can give its tokens so many
+times: a probability above 1 is so many whole copies of each document and a draw for the rest, and
+the sample is the largest one up to the size of the corpus. A `kept_share` that is given holds whatever the targets:
 one beyond that bound takes rare values whole, and the others' shares are larger than wanted.
 Targets that contradict each other (a language of one source, with another share than the source)
 are met by no sample; then the weights as raked decide, and none is cut off.
@@ -20,7 +22,8 @@ broadcast, another one is joined by its keys.
 Null sources, languages and topics are values like any other. Texts without words, null ones
 too, weigh nothing and count one token, so that their cells have a probability. A value without
 target among given ones has the target 0 and goes; targets of the values that stay are scaled to
-sum to 1. An empty table stays empty.
+sum to 1. A very long text is one document of its cell. Repeated rows are drawn alike. An empty
+table stays empty, and other columns are kept whatever their names.
 """
 
 from __future__ import annotations
@@ -40,6 +43,8 @@ ROUNDS = 8
 TOLERANCE = 0.001
 MOST_ROUNDS = 1000
 SEED = 17
+# How often the query and the pipeline let a document of a rare cell come
+REPEATS = 4.0
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -143,14 +148,15 @@ def _fitted(tokens, weight, codes, shares, total):
     return sample, False
 
 
-def _largest(tokens, weight, codes, shares):
-    """The largest sample that has the shares; if none has, the largest that is as raked."""
-    low = (tokens / weight).min()
+def _largest(tokens, weight, codes, shares, most):
+    """The largest sample of at most `most` tokens that has the shares; if none has, the largest
+    that is as raked."""
+    low = min((tokens / weight).min(), most)
     sample, meets = _fitted(tokens, weight, codes, shares, low * (1 - TOLERANCE))
     if not meets:
         return low * weight
     high = min((np.bincount(code, tokens) / share).min() for code, share in zip(codes, shares))
-    total = high
+    total = high = min(high, most)
     while high > low * (1 + TOLERANCE):
         tried, meets = _fitted(tokens, weight, codes, shares, total)
         if meets:
@@ -163,9 +169,11 @@ def _largest(tokens, weight, codes, shares):
     return sample
 
 
-def calibrated(cells: DataFrame, kept_share: float | None = None) -> DataFrame:
-    """The dimensions with `chance`, the part of the cell's tokens to be sampled: of the largest
-    sample with the target shares, or of one with kept_share of the tokens.
+def calibrated(
+    cells: DataFrame, kept_share: float | None = None, repeats: float = 1.0
+) -> DataFrame:
+    """The dimensions with `chance`, the part of the cell's tokens to be sampled, at most `repeats`:
+    of the largest sample with the target shares, or of one with kept_share of the tokens.
 
     One task reads the cells; there is one for each combination of values, not for documents.
     """
@@ -186,13 +194,14 @@ def calibrated(cells: DataFrame, kept_share: float | None = None) -> DataFrame:
                 codes.append(code)
                 shares.append(share / share.sum())
             weight = weight / weight.sum()
+            bound = repeats * tokens
             if kept_share is None:
-                sample = _largest(tokens, weight, codes, shares)
+                sample = _largest(bound, weight, codes, shares, all_cells.tokens.sum())
             else:
                 total = kept_share * all_cells.tokens.sum()
-                sample = _fitted(tokens, weight, codes, shares, total)[0]
-                sample = _scaled(sample, tokens, np.zeros(len(live), int), np.array([total]))
-            all_cells.loc[live.index, "chance"] = np.minimum(sample / tokens, 1.0)
+                sample = _fitted(bound, weight, codes, shares, total)[0]
+                sample = _scaled(sample, bound, np.zeros(len(live), int), np.array([total]))
+            all_cells.loc[live.index, "chance"] = np.minimum(sample / tokens, repeats)
         yield all_cells[[*DIMENSIONS, "chance"]]
 
     names = ", ".join(f"{d} string" for d in DIMENSIONS)
@@ -209,10 +218,11 @@ def sampled(
     lang_col: str = "lang",
     topic: Column | None = None,
     seed: int = SEED,
+    repeats: float = 1.0,
 ) -> DataFrame:
     """The documents sampled to the targets, with their own columns and, as __source, __lang,
     __topic and __chance, their cell and its probability. Without kept_share, as many as the
-    targets allow."""
+    targets allow; with `repeats` above 1 a document comes up to so many times."""
     spark = docs.sparkSession
     text = F.col(text_col)
     keys = {
@@ -225,7 +235,7 @@ def sampled(
     cells = with_targets(cells_of(keyed), targets or {})
     rake(cells).write.parquet(path)
     fitted = scratch_dir(spark, "chances")
-    calibrated(spark.read.parquet(path), kept_share).write.parquet(fitted)
+    calibrated(spark.read.parquet(path), kept_share, repeats).write.parquet(fitted)
     chances = spark.read.parquet(fitted).select(
         *[F.col(d).alias(f"__{d}_of") for d in DIMENSIONS], F.col("chance").alias("__chance")
     )
@@ -237,11 +247,12 @@ def sampled(
     for d in DIMENSIONS:
         same = same & F.col(f"__{d}").eqNullSafe(F.col(f"__{d}_of"))
     added = [f"__{x}" for x in (*DIMENSIONS, "chance")]
-    return (
-        marked.join(chances, same)
-        .where(uniform < F.col("__chance"))
-        .select(*own_columns(docs), *added)
-    )
+    whole = F.floor("__chance").cast("int")
+    copies = whole + (uniform < F.col("__chance") - whole).cast("int")
+    chosen = marked.join(chances, same).withColumn("__copies", copies).where("__copies > 0")
+    if repeats > 1:
+        chosen = chosen.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    return chosen.select(*own_columns(docs), *added)
 
 
 def mix(docs: DataFrame, *args, **options) -> DataFrame:

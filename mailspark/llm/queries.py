@@ -15,7 +15,7 @@ from mailspark.llm.decontamination import contamination_report
 from mailspark.llm.fingerprints import fingerprint_report
 from mailspark.llm.language_id import identify, learn
 from mailspark.llm.license_scan import scan_licenses
-from mailspark.llm.mixing import mixing_report
+from mailspark.llm.mixing import REPEATS, mixing_report
 from mailspark.llm.near_dedup import near_duplicates
 from mailspark.llm.packing import pack_documents
 from mailspark.llm.periodic_runs import run_report, with_repeats
@@ -61,7 +61,7 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing_report(table(spark, sf_dir, "documents"))
+    return mixing_report(table(spark, sf_dir, "documents"), repeats=REPEATS)
 
 
 @query
