@@ -8,6 +8,8 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from mailspark.functions import text, vectors
@@ -22,16 +24,24 @@ def masked_mean(
 ) -> DataFrame:
     """Mean of the vectors of an id over the rows whose mask is 1.
 
-    One sum per dimension: plain hash aggregation with partial sums before the shuffle,
-    so it does not matter how many rows one id has.
+    One aggregate of whole vectors, with partial sums in the JVM before the shuffle, whatever the
+    dimension; so it does not matter how many rows one id has. Masked elements count as 0 in a mean
+    over all rows, which is then scaled to the rows of the mask. A missing element is 0.
     """
-    mask = F.col(mask_col).cast("double")
-    sums = [F.sum(F.col(vector_col)[i].cast("double") * mask).alias(f"_s{i}") for i in range(dim)]
-    weight = F.greatest(F.sum(mask), F.lit(vectors.MASK_FLOOR)).alias("_w")
-    pooled = df.groupBy(id_col).agg(*sums, weight)
-    return pooled.select(
-        id_col, F.array(*[F.col(f"_s{i}") / F.col("_w") for i in range(dim)]).alias(out_col)
+    mask = F.coalesce(F.col(mask_col).cast("double"), F.lit(0.0))
+    places = F.sequence(F.lit(0), F.lit(dim - 1))
+    masked = F.transform(
+        places,
+        lambda i: F.coalesce(F.get(F.col(vector_col), i).cast("double"), F.lit(0.0)) * mask,
     )
+    pooled = df.groupBy(id_col).agg(
+        Summarizer.mean(array_to_vector(masked)).alias("_mean"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.greatest(F.sum(mask), F.lit(vectors.MASK_FLOOR)).alias("_weight"),
+    )
+    scale = F.col("_rows") / F.col("_weight")
+    mean = F.transform(vector_to_array("_mean"), lambda x: x * scale)
+    return pooled.select(id_col, mean.alias(out_col))
 
 
 def _pooler(dim: int):

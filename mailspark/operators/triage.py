@@ -88,16 +88,20 @@ def attempt_outcomes(plan: DataFrame, *attempts: DataFrame) -> DataFrame:
     return done.select("id", F.col("attempt").alias("attempts"), "status")
 
 
+def is_due(run_start: dt.datetime | Column, run_type: str | Column = SCHEDULED) -> Column:
+    """Trashed before this run began. A manual run purges nothing, and no run purges what it
+    trashed itself. Never unknown."""
+    start = run_start if isinstance(run_start, Column) else F.lit(run_start)
+    kind = run_type if isinstance(run_type, Column) else F.lit(run_type)
+    due = F.array_contains("labels", "TRASH") & (F.col("trashed_at") < start) & (kind != MANUAL)
+    return F.coalesce(due, F.lit(False))
+
+
 def purge_candidates(
     state: DataFrame, run_start: dt.datetime | Column, run_type: str | Column = SCHEDULED
 ) -> DataFrame:
-    """Ids trashed before this run began. A manual run purges nothing, and no run purges
-    what it trashed itself."""
-    start = run_start if isinstance(run_start, Column) else F.lit(run_start)
-    kind = run_type if isinstance(run_type, Column) else F.lit(run_type)
-    return state.where(
-        F.array_contains("labels", "TRASH") & (F.col("trashed_at") < start) & (kind != MANUAL)
-    ).select(*_by_mailbox(state), "id")
+    """Ids that are due."""
+    return state.where(is_due(run_start, run_type)).select(*_by_mailbox(state), "id")
 
 
 def purge_plan(candidates: DataFrame, size: int = PURGE_CHUNK) -> DataFrame:
@@ -110,3 +114,26 @@ def purge(state: DataFrame, candidates: DataFrame, at: Column) -> tuple[DataFram
     ids = candidates.select("id").distinct()
     audit = ids.join(state.select("id").distinct(), "id", "left_semi")
     return state.join(ids, "id", "left_anti"), audit.select("id", at.alias("purged_at"))
+
+
+def marked_due(
+    state: DataFrame,
+    run_start: dt.datetime | Column,
+    run_type: str | Column = SCHEDULED,
+    out_col: str = "due",
+) -> DataFrame:
+    """The state with a mark on what is due. Each side is a filter on it: no join, no shuffle, and
+    one scan of the state for whoever takes both sides from one pass."""
+    return state.withColumn(out_col, is_due(run_start, run_type))
+
+
+def purge_due(
+    state: DataFrame, run_start: dt.datetime, at: Column, run_type: str = SCHEDULED
+) -> tuple[DataFrame, DataFrame]:
+    """The state without what is due, and the audit rows (id, purged_at). Ids of a state are
+    unique; for a list of ids from elsewhere see purge."""
+    marked = marked_due(state, run_start, run_type, "_due")
+    return (
+        marked.where(~F.col("_due")).drop("_due"),
+        marked.where("_due").select("id", at.alias("purged_at")),
+    )

@@ -145,6 +145,16 @@ def move_to_trash(spark, sf):
     """SELECT id, CASE WHEN trashed_at < timestamp '2024-01-20' THEN 'purged' ELSE 'kept' END
               AS outcome FROM state"""))
 def purge(spark, sf):
+    marked = triage.marked_due(staging.mailbox_state(spark, sf), MID)
+    return marked.select("id", F.when(F.col("due"), "purged").otherwise("kept").alias("outcome"))
+
+
+@query("snk10_purge_by_ids", using(
+    "state",
+    """SELECT id, CASE WHEN trashed_at < timestamp '2024-01-20' THEN 'purged' ELSE 'kept' END
+              AS outcome FROM state"""))
+def purge_by_ids(spark, sf):
+    """The same by a list of ids, as a run has it."""
     now = staging.mailbox_state(spark, sf)
     kept, audit = triage.purge(
         now, triage.purge_candidates(now, MID), F.lit(MID).cast("timestamp")

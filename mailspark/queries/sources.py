@@ -9,7 +9,7 @@ from mailspark.functions import dates
 from mailspark.operators import chunks, fetch
 from mailspark.queries.base import query, received_us, using
 from mailspark.session import scratch_dir
-from mailspark.sources import landing, mailbox, snapshots
+from mailspark.sources import by_day, landing, mailbox, snapshots
 
 LAST_DAY = "last_day AS (SELECT cast(max(received_at) AS date) + 1 AS d FROM messages)"
 
@@ -20,6 +20,20 @@ LAST_DAY = "last_day AS (SELECT cast(max(received_at) AS date) + 1 AS d FROM mes
        WHERE received_at >= d - interval 7 day AND received_at < d""",
     LAST_DAY))
 def ids_by_day_range(spark, sf):
+    path = scratch_dir(spark, "by-day")
+    by_day.write_by_day(staging.messages(spark, sf).select("id", "received_at"), path)
+    after_last = by_day.newest_day(spark, path) + dt.timedelta(days=1)
+    wanted = by_day.in_days(by_day.read_by_day(spark, path), after_last, fetch.DAYS_BACK)
+    return wanted.select("id", received_us())
+
+
+@query("src01_ids_of_plain_table", using(
+    "messages",
+    """SELECT id, epoch_us(received_at) AS received_us FROM messages, last_day
+       WHERE received_at >= d - interval 7 day AND received_at < d""",
+    LAST_DAY))
+def ids_of_plain_table(spark, sf):
+    """The same of a table without days: the newest day costs a scan of its own."""
     messages = staging.messages(spark, sf)
     return fetch.in_days(messages, fetch.day_after_last(messages)).select("id", received_us())
 
@@ -191,12 +205,12 @@ def log_sample(spark, sf):
        GROUP BY 1, 2""",
     LAST_DAY))
 def day_ranges(spark, sf):
-    messages = staging.messages(spark, sf)
-    newest = messages.agg(F.max("received_at").alias("newest"))
-    ranges = dates.day_ranges(
-        newest, F.date_add(F.to_date("newest"), 1), fetch.DAYS_BACK_BATCHED
-    )
-    found = fetch.list_ids_by_range(messages, ranges).groupBy("after_date").agg(
+    path, asked = scratch_dir(spark, "by-day"), scratch_dir(spark, "ranges")
+    by_day.write_by_day(staging.messages(spark, sf).select("id", "received_at"), path)
+    after_last = F.lit(by_day.newest_day(spark, path) + dt.timedelta(days=1))
+    dates.day_ranges(spark.range(1), after_last, fetch.DAYS_BACK_BATCHED).write.parquet(asked)
+    ranges = spark.read.parquet(asked)
+    found = by_day.in_ranges(by_day.read_by_day(spark, path), ranges).groupBy("after_date").agg(
         F.count("id").alias("n")
     )
     return ranges.join(found, "after_date", "left").select(

@@ -10,7 +10,7 @@ from mailspark.queries.base import query, using, with_defaults
 from mailspark.queries.learning import whole_model
 from mailspark.session import scratch_dir
 from mailspark.sources import landing
-from mailspark.streaming import streams
+from mailspark.streaming import retention as timers, streams
 
 
 def _event_stream(spark, sf):
@@ -136,3 +136,39 @@ def two_streams(spark, sf):
 def retention(spark, sf):
     old = triage.purge_candidates(staging.mailbox_state(spark, sf), dt.datetime(2024, 1, 20))
     return old.select("id")
+
+
+HOLD = dt.timedelta(hours=72)
+
+
+@query("str06_retention_timer", using(
+    "state",
+    """SELECT id, epoch_us(trashed_at) AS trashed_us FROM state
+       WHERE trashed_at IS NOT NULL AND (value >= 50 OR value > 30 AND value < 40)
+         AND trashed_at + interval 72 hour
+             <= (SELECT max(moved) - interval 1 day
+                 FROM (SELECT received_at AS moved FROM state WHERE trashed_at IS NOT NULL UNION ALL
+                       SELECT received_at + interval 1 hour * CASE WHEN value <= 30 THEN 10
+                              WHEN value < 40 THEN 80 ELSE 72 END
+                       FROM state WHERE trashed_at IS NOT NULL AND value < 50))"""))
+def retention_timer(spark, sf):
+    """Messages moved to the trash, some taken out of it 10, 72 or 80 hours later, in the order of
+    no clock. Requests come for stays of more than 72 hours."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    inbox, out, mark = (scratch_dir(spark, k) for k in ("moves", "requests", "mark"))
+    moved = staging.mailbox_state(spark, sf).where("trashed_at IS NOT NULL")
+    hours = F.when(F.col("value") <= 30, 10).when(F.col("value") < 40, 80).otherwise(72)
+    back = F.col("trashed_at") + F.make_dt_interval(hours=hours)
+    events = moved.select("id", F.col("trashed_at").alias("at"), F.lit(True).alias("trashed"))
+    events = events.unionByName(
+        moved.where("value < 50").select("id", back.alias("at"), F.lit(False).alias("trashed"))
+    )
+    events.write.parquet(inbox)
+    stream = streams.stream_files(spark, inbox, events.schema)
+    streams.append_to(timers.purge_requests(stream, HOLD), out, mark)
+    return spark.read.schema(timers.REQUEST).parquet(out).select(
+        "id", F.unix_micros("trashed_at").alias("trashed_us")
+    )
