@@ -66,6 +66,100 @@ def test_landed_side_is_not_shuffled(spark, tmp_path):
     assert "Exchange" not in scan[-2]
 
 
+def ids_of(spark, *ids):
+    return spark.createDataFrame([(i, DAY, "s", "p") for i in ids], ROW)
+
+
+def test_new_ids_read_no_landed_rows(spark, tmp_path):
+    name = new_table(spark, tmp_path)
+    landing.land(ids_of(spark, *[f"a{i}" for i in range(50)]), name, "run-1")
+    landing.land(ids_of(spark, *[f"b{i}" for i in range(50)]), name, "run-2")
+    parts = landing.parts_of(spark, name)
+    assert [p.run_id for p in parts] == ["run-1", "run-2"]
+    assert landing.landed_of(ids_of(spark, "c1", "c2").select("id"), name, parts) is None
+    some = landing.landed_of(ids_of(spark, "a7", "c2").select("id"), name, parts)
+    assert [r.id for r in some.collect()] == ["a7"]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    # one run, and of it the bucket of the one id
+    assert "run-1" in plan and "run-2" not in plan and "SelectedBucketsCount: 1 out of 4" in plan
+
+
+def test_filters_miss_no_id_and_are_seldom_wrong(spark):
+    ids = spark.range(20_000).select(F.format_string("%016x", F.xxhash64("id")).alias("id"))
+    others = spark.range(20_000, 40_000).select(
+        F.format_string("%016x", F.xxhash64("id")).alias("id"))
+    filters = landing.filters_of(ids, 4).withColumn("part", F.lit("p"))
+    assert landing.may_have_landed(ids, filters, 4).count() == 20_000
+    assert landing.may_have_landed(others, filters, 4).count() < 60
+    assert landing.may_have_landed(ids.limit(0), filters, 4).count() == 0
+    # an id that a filter knows by mistake is still landed
+    assert sum(len(r.bits) for r in filters.collect()) <= 2.1 * 20_000
+
+
+def test_an_id_that_a_filter_knows_by_mistake_lands(spark, tmp_path, monkeypatch):
+    name = new_table(spark, tmp_path)
+    landing.land(ids_of(spark, "a", "b"), name, "run-1")
+    monkeypatch.setattr(landing, "NAMED_IDS", 0)
+
+    def everything(ids, filters, buckets):
+        return ids.select("id", F.lit("run-1").alias("part"))
+
+    monkeypatch.setattr(landing, "may_have_landed", everything)
+    landing.land(ids_of(spark, "b", "c"), name, "run-2")
+    assert sorted((r.id, r.run_id) for r in landing.landed(spark, name).collect()) == [
+        ("a", "run-1"), ("b", "run-1"), ("c", "run-2")]
+
+
+def test_many_runs_are_few_folders(spark, tmp_path):
+    name = new_table(spark, tmp_path, buckets=2)
+    for k in range(30):
+        # each run brings one new id and one of the run before
+        landing.land(ids_of(spark, f"i{k}", f"i{max(0, k - 1)}"), name, f"run-{k}")
+        landing.compact(spark, name, fan=3, open_runs=2)
+    parts = landing.parts_of(spark, name)
+    assert len(parts) <= 2 + 2 * 4  # open runs, and below `fan` at each level
+    assert [p.run_id for p in parts if not p.level][-1] == "run-29"
+    assert sorted(r.id for r in landing.landed(spark, name).collect()) == sorted(
+        f"i{k}" for k in range(30))
+    # a merged run that comes again adds nothing; an open one is replaced
+    landing.land(ids_of(spark, "i0", "i1"), name, "run-1")
+    landing.land(ids_of(spark, "new"), name, "run-29")
+    assert sorted(r.id for r in landing.landed(spark, name).collect()) == sorted(
+        [f"i{k}" for k in range(29)] + ["new"])
+
+
+def test_a_crash_while_landing_or_merging_changes_nothing(spark, tmp_path, monkeypatch):
+    name = new_table(spark, tmp_path, buckets=2)
+    for k in range(4):
+        landing.land(ids_of(spark, f"i{k}"), name, f"run-{k}")
+    whole = [f"i{k}" for k in range(4)]
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    for step in ("_point", "filters_of"):
+        with monkeypatch.context() as broken:
+            broken.setattr(landing, step, lost)
+            with pytest.raises(RuntimeError):
+                landing.land(ids_of(spark, "other"), name, "run-3")
+        assert sorted(r.id for r in landing.landed(spark, name).collect()) == whole
+    # merged rows are there, those they replace not yet dropped
+    with monkeypatch.context() as broken:
+        real, calls = landing._drop_merged, []
+
+        def second(*args):
+            calls.append(1)
+            return lost() if len(calls) == 2 else real(*args)
+
+        broken.setattr(landing, "_drop_merged", second)
+        with pytest.raises(RuntimeError):
+            landing.compact(spark, name, fan=4, open_runs=0)
+    assert spark.table(name).count() == 8
+    assert sorted(r.id for r in landing.landed(spark, name).collect()) == whole
+    assert landing.compact(spark, name, fan=4, open_runs=0) == 0
+    assert sorted(r.id for r in spark.table(name).collect()) == whole
+
+
 def test_changes_rewrite_touched_days_only(spark, tmp_path):
     path, audit = str(tmp_path / "state"), str(tmp_path / "audit")
     rows = [
