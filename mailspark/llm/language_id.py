@@ -18,14 +18,13 @@ columns are ignored.
 
 from __future__ import annotations
 
-import re
-import unicodedata
 import uuid
 from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailspark.llm.common import as_rows, map_batches, strings, with_id, worker_state
@@ -39,17 +38,8 @@ LEAST_SHARE = 0.01
 CACHE_BYTES = 48 * 1024 * 1024
 HELD_OUT = (4, 2)  # crc32 of the id, modulo and remainder
 
-
-
-def _class_of(categories: str) -> str:
-    """The ranges of all characters of some general categories, for a class of a pattern."""
-    inside = np.array([unicodedata.category(chr(i))[0] in categories for i in range(0x110000)])
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
-    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in edges.reshape(-1, 2).tolist())
-
-
 # A letter, and the letters and marks after it; no digits or other characters that are numbers
-WORD = re.compile(f"[{_class_of('L')}][{_class_of('LM')}]*")
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 # First code point of each block of letters, and its script.
 SCRIPTS = [
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"),
