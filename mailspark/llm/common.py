@@ -47,6 +47,15 @@ def worker_state(key: tuple, make: Callable):
     return kept[key]
 
 
+def latest_state(name: str, key: str, make: Callable):
+    """Like worker_state, but only the table of the last key of a name is kept."""
+    held = worker_state((name,), dict)
+    if key not in held:
+        held.clear()
+        held[key] = make()
+    return held[key]
+
+
 class BoundedCache(dict):
     """word -> value by `make`; emptied when it holds `limit` words, so memory is bounded."""
 

@@ -13,6 +13,11 @@ set takes one pass for each slice, chained in the same stage. Documents are neve
 A window is 13 consecutive words of an item, or a whole shorter item; items without words have
 none. Null texts have no words. Items without id are found but not listed; repeated items and
 rows change nothing. An empty test set hits nothing.
+
+Very long texts are a shard of their own. Empty tables of documents give no rows; without test
+items nothing is hit. Other columns are kept, whatever their names. A test set above SLICE_BYTES is
+searched for slice by slice: one slice at a time is on the driver and with the workers, and what
+was found so far is written in between.
 """
 
 from __future__ import annotations
@@ -25,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from mailspark.llm.common import as_rows, own_columns, with_id, worker_state
+from mailspark.llm.common import as_rows, latest_state, own_columns, with_id
+from mailspark.session import scratch_dir
 
 WINDOW = 13
 # contaminated: at least one word in SHARE is hit
@@ -264,16 +270,17 @@ def search_shard(
 
 def _slices(
     benchmark: DataFrame, text_col: str, item_col: str, slice_bytes: int
-) -> Iterator[list[tuple]]:
-    """The test set in parts of at most about slice_bytes, cut by a hash of the text."""
+) -> Iterator[tuple[list[tuple], bool]]:
+    """The test set in parts of at most about slice_bytes, cut by a hash of the text, and whether
+    a part is the last. One part is collected when it is asked for."""
     items = benchmark.select(
         F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")
     ).distinct()
     size = items.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    n = -(-size // slice_bytes)
+    n = max(1, -(-size // slice_bytes))
     for k in range(n):
         part = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k)
-        yield [tuple(r) for r in part.collect()]
+        yield [tuple(r) for r in part.collect()], k == n - 1
 
 
 def find_contamination(
@@ -287,19 +294,25 @@ def find_contamination(
     keep_text: bool = True,
 ) -> DataFrame:
     """All columns of the documents, and `__found`: n_words, spans (array of start and end, in
-    words, merged) and items (array of ids). Narrow."""
-    sc = docs.sparkSession.sparkContext
-    slices = list(_slices(benchmark, item_text_col, item_col, slice_bytes)) or [[]]
+    words, merged) and items (array of ids). Narrow; with a test set of several slices the rows
+    are written after each but the last."""
+    spark = docs.sparkSession
     out = as_rows(docs)
-    for number, items in enumerate(slices):
-        shared, key = sc.broadcast(items), uuid.uuid4().hex
-        dropped = "" if keep_text or number < len(slices) - 1 else text_col
+    slices = _slices(benchmark, item_text_col, item_col, slice_bytes)
+    for number, (items, is_last) in enumerate(slices):
+        shared, key = spark.sparkContext.broadcast(items), uuid.uuid4().hex
+        dropped = "" if keep_text or not is_last else text_col
         kept = [f for f in out.schema["__row"].dataType if f.name != dropped]
         row = StructField("__row", StructType(kept), False)
         schema = StructType([row, *StructType.fromDDL(f"__found {FOUND}")])
         out = out.mapInArrow(
             _searcher(shared, key, text_col, [f.name for f in kept], window, number > 0), schema
         )
+        if not is_last:
+            path = scratch_dir(spark, "searched")
+            out.write.parquet(path)
+            out = spark.read.parquet(path)
+            shared.destroy()
     return out.select("__row.*", "__found")
 
 
@@ -320,7 +333,7 @@ def _searcher(shared, key, text_col, kept, window, merge):
     def search(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not held:
             return
-        phrases = worker_state(("phrases", key), lambda: Phrases(shared.value, window))
+        phrases = latest_state("phrases", key, lambda: Phrases(shared.value, window))
         found = iter(
             search_shard([t for b in held for t in b.column(0).field(text_col).to_pylist()], phrases)
         )

@@ -9,6 +9,9 @@ smaller text.
 
 Equal texts have equal fingerprints; an empty or null text has the empty one. Two empty
 fingerprints have likeness 1, an empty and another one 0.
+
+Very long texts are chunked in one pass and hold one digest for each chunk. An empty table gives no
+rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

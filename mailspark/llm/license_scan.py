@@ -13,6 +13,9 @@ text, are dealt by row, so the windows see one text's detections at a time.
 
 Base places are the fixed phrases as consecutive words. Nulls and empty texts have no words and
 no labels. Repeated rows and ids stay as they are.
+
+Very long texts are matched whole, in the JVM. An empty table gives no rows; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations

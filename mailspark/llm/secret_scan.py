@@ -10,6 +10,9 @@ any number costs many tokens.
 
 Nulls and empty texts have no spans. Repeated rows and ids stay as they are. Spans are in
 code points, end exclusive, ordered by start and then by kind.
+
+Very long texts are one row of one task. An empty table gives no rows; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
