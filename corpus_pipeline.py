@@ -2,6 +2,11 @@
 
 Each stage takes what the one before kept, written as Parquet and read again; all but the last
 give the columns of documents.
+
+Null, empty and letterless texts go with the first stage. Very long texts pass whole. Repeated rows
+are copies of one class, of which one row stays; the mix may let documents of rare cells come up to
+mixing.REPEATS times, so that the shares hold without dropping common ones. An empty table gives no
+rows. Columns of the table stay, whatever their names, up to the last stage.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled to flattened shares of source, language and topic."""
     text_session(spark)
-    return mixing.mix(docs)
+    return mixing.mix(docs, repeats=mixing.REPEATS)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
