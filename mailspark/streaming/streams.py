@@ -89,8 +89,11 @@ def unique_on_arrival(messages: DataFrame, at: str = "received_at", late: str =
     return one_per_id(messages, order_cols=(at,))
 
 
-def land_and_score(table: str, model, plans_path: str, encoder=HashingEncoder()):
-    """A foreachBatch function over (id, payload): decode, land, score, plan the trash.
+def land_and_score(
+    table: str, model, plans_path: str, encoder=HashingEncoder(), compact_every: int = 2 * landing.FAN
+):
+    """A foreachBatch function over (id, payload): decode, land, score, plan the trash. Every
+    `compact_every` batches the landing table's small runs are merged.
 
     Outputs are written per stream and batch and replaced as a whole, so a batch that is
     run again leaves one copy. A stream is known by the query id that its checkpoint
@@ -104,6 +107,8 @@ def land_and_score(table: str, model, plans_path: str, encoder=HashingEncoder())
         decoded = mime.decode_payload(batch).persist()
         try:
             landing.land(decoded, table, f"{stream}-{batch_id}")
+            if batch_id % compact_every == compact_every - 1:
+                landing.compact(spark, table)
             own = f"stream={stream}/batch_id={batch_id}"
             scores = f"{plans_path}-scores/{own}"
             learn.score_messages(decoded, model, encoder).write.mode("overwrite").parquet(scores)
