@@ -262,15 +262,21 @@ def self_training(spark, sf):
     f"""SELECT count(*) AS total, true AS adds_up FROM messages
         WHERE id NOT IN (SELECT id FROM labelset) OR {_TRAIN_SIDE}"""))
 def round_sizes(spark, sf):
-    """In every round labelled and remaining make the whole, and what was added adds up."""
-    rounds = _self_trained(spark, sf).rounds
+    """In every round labelled and remaining make the whole, and what was added adds up; also
+    where no round found a row it was sure of."""
+    done = _self_trained(spark, sf)
+    whole = done.labelled.select("id").unionByName(done.remaining.select("id")).agg(
+        F.count(F.lit(1)).alias("total")
+    )
     total = C("labelled") + C("remaining")
     first = F.min(F.when(C("round") == 1, C("labelled") - C("added")))
-    return rounds.agg(
-        F.max(total).alias("total"),
-        ((F.max(total) == F.min(total)) & (first + F.sum("added") == F.max("labelled"))).alias(
-            "adds_up"
-        ),
+    rounds = done.rounds.agg(
+        F.max(total).alias("most"), F.min(total).alias("least"),
+        (first + F.sum("added") == F.max("labelled")).alias("sums"),
+    )
+    adds_up = (C("most") == C("total")) & (C("least") == C("total")) & C("sums")
+    return whole.crossJoin(rounds).select(
+        "total", (C("most").isNull() | adds_up).alias("adds_up")
     )
 
 
