@@ -33,9 +33,9 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from tokenizers import Tokenizer
 
 from mailspark.llm.common import with_id, worker_state
 from mailspark.llm.perfect_hash import CountTable, PerfectHash, Shards
@@ -87,16 +87,23 @@ class Aligner:
     are not those of the unit."""
 
     def __init__(self, byte_level: str, pieces: str, with_groups: bool):
-        self.a = Tokenizer.from_file(byte_level)
-        self.a.encode_special_tokens = True  # their strings in a text are plain text
         with open(byte_level, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
+            spec = json.load(f)
         of_char = {c: i for i, c in enumerate(byte_alphabet())}
-        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            # an added token that is no byte string never comes from plain text
-            self.bytes_a[i] = bytes(of_char[c] for c in token if c in of_char)
-        self.length_a = np.array([len(x) for x in self.bytes_a])
+        added = {t["id"] for t in spec["added_tokens"]}
+        ranks = {
+            bytes(of_char[c] for c in token): i
+            for token, i in spec["model"]["vocab"].items() if i not in added
+        }
+        # ids of a byte-level vocabulary are the ranks of its merges; without the added tokens
+        # their strings in a text are plain text
+        self.a = tiktoken.Encoding(
+            "byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+            special_tokens={},
+        )
+        self.length_a = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
+        for data, i in ranks.items():
+            self.length_a[i] = len(data)
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [
@@ -105,6 +112,7 @@ class Aligner:
         ]
         self.length_b = np.array([len(x) for x in self.bytes_b])
         self.blank = self.b.piece_to_id(BLANK)
+        self.text_of = [str(i) for i in range(max(len(self.length_a), len(names)))]
         self.cut = re.compile(r"(?<=\S)(?= )")
         self.with_groups = with_groups
         self.forget()
@@ -141,15 +149,12 @@ class Aligner:
     def ids_a(self, names: list[str], n_plain: int) -> np.ndarray:
         """The ids of all units in turn. Many of the first n_plain go to a call; the others end in
         white space, which would run into the next."""
-        out = []
+        out, ask = [], self.a.encode_ordinary
         for first in range(0, n_plain, UNITS_A_CALL):
-            joined = " " + " ".join(names[first : min(n_plain, first + UNITS_A_CALL)])
-            (coded,) = self.a.encode_batch_fast([joined], add_special_tokens=False)
-            out.append(np.array(coded.ids, dtype=np.int64))
-        rest = [" " + name for name in names[n_plain:]]
-        for coded in self.a.encode_batch_fast(rest, add_special_tokens=False):
-            out.append(np.array(coded.ids, dtype=np.int64))
-        return np.concatenate([*out, np.zeros(0, dtype=np.int64)])
+            out += ask(" " + " ".join(names[first : min(n_plain, first + UNITS_A_CALL)]))
+        for name in names[n_plain:]:
+            out += ask(" " + name)
+        return np.array(out, dtype=np.int64)
 
     def add(self, names: list[str]) -> None:
         """Aligns new units: all are laid end to end and cut at once."""
@@ -172,7 +177,8 @@ class Aligner:
         ]
         flat_b = list(chain.from_iterable(of_b))
         same = b"".join(map(self.bytes_b.__getitem__, flat_b)) == whole
-        if b"".join(map(self.bytes_a.__getitem__, a.tolist())) != whole:
+        # byte-level ids stand for their text whatever it is
+        if self.length_a[a].sum() != len(whole):
             raise AssertionError("the byte-level ids are not those of the text")
         if not same:
             good = [b"".join(map(self.bytes_b.__getitem__, b)) == d for b, d in zip(of_b, data)]
@@ -212,13 +218,13 @@ class Aligner:
 
     def _groups(self, a, b, last_a, last_b, last_group) -> list[str]:
         """The groups of each unit as text."""
-        text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        groups, i, j = [], 0, 0
-        for k, m in zip(last_a.tolist(), last_b.tolist()):
-            one = text_a[i] if k == i + 1 else ",".join(text_a[i:k])
-            other = text_b[j] if m == j + 1 else ",".join(text_b[j:m])
-            groups.append(f"{one}|{other}")
-            i, j = k, m
+        ends_a, ends_b, text = last_a.tolist(), last_b.tolist(), self.text_of.__getitem__
+        text_a, text_b = list(map(text, a.tolist())), list(map(text, b.tolist()))
+        groups = [
+            f"{text_a[i] if k == i + 1 else ','.join(text_a[i:k])}|"
+            f"{text_b[j] if m == j + 1 else ','.join(text_b[j:m])}"
+            for i, k, j, m in zip([0, *ends_a], ends_a, [0, *ends_b], ends_b)
+        ]
         out, i = [], 0
         for k in last_group.tolist():
             out.append(groups[i] if k == i + 1 else ";".join(groups[i:k]))
@@ -234,14 +240,15 @@ class Aligner:
             self.forget()
         gc.disable()  # many strings and no cycles: scanning them finds nothing
         try:
-            new = [n for n in names if n not in self.number]
-            if new:
-                self.add(new)
+            of = list(map(self.number.get, names))
+            places = [i for i, n in enumerate(of) if n is None]
+            if places:
+                self.add([names[i] for i in places])
+                for i in places:
+                    of[i] = self.number[names[i]]
         finally:
             gc.enable()
-        number = self.number
-        of = np.fromiter((number[n] for n in names), dtype=np.int64, count=len(names))
-        return of[np.asarray(coded.indices)], counts
+        return np.array(of, dtype=np.int64)[np.asarray(coded.indices)], counts
 
 
 class Batch:
