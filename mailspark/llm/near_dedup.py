@@ -18,6 +18,9 @@ A text of fewer than five words is one shingle; a text without words is alike it
 only; null is empty. Repeated rows are members like any other. The class id is the smallest
 doc_id in it, null if none has one. Texts are told apart by 64 bits of their shingles: among a
 thousand million different texts the chance of one wrong pair is three in a hundred.
+
+Very long texts are sketched like others, from all their shingles. An empty table gives no rows and
+no classes. Other columns are ignored by the report and kept by keep_first, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,12 +35,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mailspark.llm.common import map_batches, own_columns, shuffle_width, strings, with_id
 from mailspark.llm.dart_minhash import elements, shingle_hashes, similarity, sketch
 from mailspark.llm.decontamination import words_of
-from mailspark.session import cut_lineage, scratch_dir
+from mailspark.session import scratch_dir
 
 SIMILARITY = 0.8
 ROUNDING = 1e-9
 BLOCK_ROWS = 1500
 BLOCK_BYTES = 4 * 1024 * 1024
+LINKS_A_TASK = 100_000
 SALTS = 16
 # Four orders of the nodes, by flipping bits.
 ORDERS = (0, 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
@@ -49,6 +53,12 @@ def _written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _few(df: DataFrame, rows: int, rows_a_task: int) -> DataFrame:
+    """The rows in as few tasks as their number asks for, if that is less than a shuffle's."""
+    tasks = max(1, -(-rows // rows_a_task))
+    return df if tasks >= shuffle_width(df.sparkSession) else df.coalesce(tasks)
+
+
 def row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
     """128 bits of a row's id and text."""
     return F.xxhash64(id_col, text_col), F.xxhash64(F.lit(1), text_col, id_col)
@@ -100,11 +110,21 @@ def compare(pairs: DataFrame, texts: DataFrame, counted: bool) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of the nodes in links (a, b): the least node that can be reached. Labels
-    spread along links and jump to their label's label until none changes."""
+    spread along links and jump to their label's label until none changes.
+
+    Each turn's labels are written, so Spark knows their size: small ones are sent to the links
+    instead of both being shuffled.
+    """
+    size = 2 * links.count()
+
+    def written(df: DataFrame, label: str) -> DataFrame:
+        return _written(_few(df, size, LINKS_A_TASK), label)
+
     back = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    edges = cut_lineage(links.select("a", "b").unionByName(back).distinct())
-    label = cut_lineage(
-        edges.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("component"))
+    edges = written(links.select("a", "b").unionByName(back).distinct(), "edges")
+    label = written(
+        edges.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("component")),
+        "component",
     )
     while True:
         heard = (
@@ -112,18 +132,19 @@ def components(links: DataFrame) -> DataFrame:
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("component").alias("heard"))
         )
-        nearer = label.join(heard, "node").select(
+        nearer = heard.join(label, "node").select(
             "node", "component", F.least("component", "heard").alias("near")
         )
         onward = label.select(F.col("node").alias("near"), F.col("component").alias("far"))
         least = F.least("near", "far")
-        moved = cut_lineage(
+        moved = written(
             nearer.join(onward, "near").select(
                 "node", least.alias("component"), (least < F.col("component")).alias("changed")
-            )
+            ),
+            "component",
         )
         label = moved.select("node", "component")
-        if not moved.where("changed").limit(1).count():
+        if moved.where("changed").isEmpty():
             return label
 
 
@@ -212,11 +233,15 @@ def links_left(
             "own", "node", "component",
         )
     )
-    grouped = (
+    dealt = _written(dealt, "dealt")
+    by_block = (
         dealt.join(texts, "node")
         .select("leader", "low", "high", "own", "node", "component", "text")
-        .repartition(shuffle_width(texts.sparkSession), "leader", "low", "high")
-        .sortWithinPartitions("leader", "low", "high", "node")
+        # no number: many small partitions are read as few
+        .repartition("leader", "low", "high")
+    )
+    grouped = _few(by_block, dealt.count(), BLOCK_ROWS).sortWithinPartitions(
+        "leader", "low", "high", "node"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
