@@ -37,7 +37,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailspark.llm.common import with_id, worker_state
+from mailspark.llm.common import latest_state, with_id
 from mailspark.llm.perfect_hash import CountTable, PerfectHash, Shards
 from mailspark.llm.token_counts import byte_alphabet
 from mailspark.session import scratch_dir
@@ -46,7 +46,7 @@ BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BLANK = "▁"  # how the second vocabulary writes a blank
 # Units that a worker keeps, their characters, and units to a call of the library
-KEPT_UNITS = 700_000
+KEPT_UNITS = 600_000
 KEPT_CHARACTERS = 32_000_000
 UNITS_A_CALL = 4000
 # Cells of a table of texts and pairs
@@ -313,8 +313,9 @@ class Batch:
 
 
 def _aligner(byte_level: str, pieces: str, with_groups: bool) -> Aligner:
-    return worker_state(
-        ("aligner", byte_level, pieces, with_groups),
+    # the second pass's takes the place of the first pass's
+    return latest_state(
+        "aligner", (byte_level, pieces, with_groups),
         lambda: Aligner(byte_level, pieces, with_groups),
     )
 
