@@ -19,8 +19,8 @@ import zlib
 
 import numpy as np
 
-BLOCK = 2048
-TABLE_BITS = 12  # contexts are hashed to so many bits; what collides is predicted worse
+BLOCK = 1024
+TABLE_BITS = 10  # contexts are hashed to so many bits; what collides is predicted worse
 SAME2, SAME1, SEEN, NEW = range(4)
 
 U64, U32 = np.uint64, np.uint32
@@ -30,7 +30,7 @@ WORD, TOP, LOW_MASK = U64(32), U64(1 << 32), U64((1 << 32) - 1)
 LAST_COUNT, ID_BITS, COUNT_MASK = U64(48), U64(16), U64(0xFFFF)
 ID_BITS_32 = U32(16)
 ONES = U64(0x0001_0001_0001_0001)
-# Counts: one of each class, and 4 for each event. Three models of 2,048 events stay below 2 ** 16.
+# Counts: one of each class, and 4 for each event. Three models of 1,024 events stay below 2 ** 16.
 CLASS_STEP = np.array([4 << (16 * k) for k in range(4)], dtype=U64)
 SHIFTS = np.array([0, 16, 32, 48], dtype=U64)
 # Distances 1 to BLOCK - 1 by their power of two, each power in 2 ** POWER_BITS parts.
@@ -62,9 +62,12 @@ class Lanes:
         self.active = np.searchsorted(-sizes, -np.arange(self.steps), side="left")
         self.ids = np.zeros((self.steps, n), dtype=np.uint16)
         # by context: the id that followed it last * 4 + times met, 3 for more
-        self.after1 = np.zeros(n << TABLE_BITS, dtype=U32)
         self.after2 = np.zeros(n << TABLE_BITS, dtype=U32)
+        # by hash of an id, side by side as both are wanted in neighbouring steps: the same for
+        # the id as context of order 1, and the place of its last use + 1 and the id
+        self.of_id = np.zeros(n << (TABLE_BITS + 1), dtype=U32)
         self.at_table = self.lane << TABLE_BITS
+        self.at_id = (self.at_table + hash1(np.zeros(n, dtype=U32))) << 1
         self.by_order2 = np.full(n * 4, ONES, dtype=U64)
         self.by_order1 = np.full(n * 8, ONES, dtype=U64)
         self.by_last = np.full(n * 4, ONES, dtype=U64)
@@ -79,8 +82,6 @@ class Lanes:
                 self.code = (self.code << WORD) | words[:, k].astype(U64)
             self.place = self.lane * self.width + 2
         else:
-            # by hash of an id: the place of its last use + 1, and the id
-            self.used = np.zeros(n << TABLE_BITS, dtype=U32)
             self.width = 2 * self.steps + 8
             self.words = np.zeros(n * self.width, dtype=U32)
             self.place = self.lane * self.width
@@ -107,9 +108,9 @@ class Lanes:
         """Codes the t-th id of each block that has one."""
         n = int(self.active[t])
         low, rng = self.low[:n], self.range[:n]
-        at1 = self.at_table[:n] + hash1(before1[:n])
+        at1 = self.at_id[:n]
         at2 = self.at_table[:n] + hash2(before2[:n], before1[:n])
-        after1, after2 = self.after1[at1], self.after2[at2]
+        after1, after2 = self.of_id[at1], self.after2[at2]
         met1, met2 = after1 & U32(3), after2 & U32(3)
         guess1, guess2 = after1 >> U32(2), after2 >> U32(2)
         cell2 = self.lane4[:n] + met2
@@ -121,8 +122,8 @@ class Lanes:
         total = ends >> LAST_COUNT
         r = rng // total
         if values is not None:
-            at0 = self.at_table[:n] + hash1(values)
-            used = self.used[at0]
+            at0 = ((self.at_table[:n] + hash1(values)) << 1) + 1
+            used = self.of_id[at0]
             known = ((used & U32(0xFFFF)) == values) & (used > U32(0xFFFF))
             kind = np.where(known, SEEN, NEW)
             kind[(guess1 == values) & (met1 > 0)] = SAME1
@@ -171,10 +172,12 @@ class Lanes:
         self.settle(n)
         self.ids[t, :n] = got
         if values is not None:
-            self.used[at0] = values | U32((t + 1) << 16)
+            self.of_id[at0] = values | U32((t + 1) << 16)
         follows = got << U32(2)
-        self.after1[at1] = follows | np.minimum(met1 + U32(1), U32(3))
+        self.of_id[at1] = follows | np.minimum(met1 + U32(1), U32(3))
         self.after2[at2] = follows | np.minimum(met2 + U32(1), U32(3))
+        # where the next step finds this id as context
+        self.at_id = at0 - 1 if values is not None else (self.at_table[:n] + hash1(got)) << 1
         return got
 
     def run(self, ids: np.ndarray | None = None) -> None:

@@ -2,151 +2,36 @@
 
 Documents are dealt to shards by ranges of ascending doc_id; a shard is one file. A file holds
 segments, one a row (shard, segment, n_ids, blob). A blob is whole in itself: a header with the
-ids and lengths of its documents and where in the shard it starts, and blocks of up to 2,048
+ids and lengths of its documents and where in the shard it starts, and blocks of up to 1,024
 token ids, each coded with fresh models (see range_coder) and with the crc32 of its ids. Reading
 decodes all blocks of a segment side by side and raises ValueError where a checksum differs.
 A segment ends with a document, so it holds SEGMENT ids and at most one document more.
 
-Rows without id come first; rows of equal id follow each other by text. A null or empty text has
-the end id only. Ids must be below 2 ** 16.
+Rows without id come first; rows of equal id follow each other by a hash of their text. A null or
+empty text has the end id only. A very long text is one document of one segment, however many ids
+it has. An empty table gives no files' rows; other columns are ignored. Ids must be below 2 ** 16.
 """
 
 from __future__ import annotations
 
-import gc
-import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from mailspark.llm.common import shuffle_width, strings, with_id, worker_state
+from mailspark.llm.common import shuffle_width, with_id, worker_state
 from mailspark.llm.range_coder import BLOCK, checksum, decode, encode
+from mailspark.llm.word_ids import VOCABULARY, WordIds
 from mailspark.session import scratch_dir
 
-VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
-WORD_END = "</w>"  # how the vocabulary marks the last symbol of a word
 SEGMENT = 8_000_000
-CACHED_WORDS = 700_000
-WORDS_A_CALL = 4000
 MAGIC = b"MSID"
 HEADER = "<4sIIIQ"  # magic, version, documents, blocks, ids before in the shard
-# Letters that Python lowers as the library does, and marks, which are one piece after letters;
-# an apostrophe can be part of another piece
-PLAIN = re.compile("([a-zà-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
-# Python's split() takes these for white space, the tokenizer does not
-SEPARATORS = re.compile("[\x1c-\x1f]")
-
-
-class Kept(dict):
-    """word -> ids. A word that is not in it gets an empty bytearray, which is listed in `new` and
-    filled in later, so that a text is looked up once."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> bytearray:
-        self.new.append(word)
-        blank = self[word] = bytearray()
-        return blank
-
-    def fill(self, word: str, ids: bytes) -> None:
-        blank = self.get(word)
-        if type(blank) is bytearray:
-            blank[:] = ids
-        self[word] = ids
-
-
-class WordIds:
-    """Ids of texts as bytes, by the tokenizers library. Its pieces never hold white space, so
-    words between blanks are encoded once and kept."""
-
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        # for words that normalising and cutting leave as they are
-        self.of_plain = Tokenizer.from_file(path)
-        self.of_plain.normalizer = normalizers.Sequence([])
-        self.of_plain.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.WhitespaceSplit(),
-            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
-        ])
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.kept = Kept()
-
-    def look_up(self, new: list[str]) -> None:
-        """Fills in the words that had no ids yet."""
-        kept, plain, marked, rest = self.kept, {}, [], {}
-        for word in new:
-            if m := PLAIN.fullmatch(word.lower()):
-                low, marks = m.groups()
-                plain[low] = None
-                if marks:
-                    rest[marks] = None
-                marked.append((word, low, marks))
-            else:
-                rest[word] = None
-        known = {w: kept[w] for w in (*plain, *rest) if type(kept.get(w)) is bytes}
-        known |= self.ask_plain([w for w in plain if w not in known])
-        known |= self.ask([w for w in rest if w not in known])
-        for word, low, marks in marked:
-            kept.fill(word, known[low] + known[marks] if marks else known[low])
-        for word, ids in known.items():
-            kept.fill(word, ids)
-
-    def ask_plain(self, words: list[str]) -> dict[str, bytes]:
-        """Many words to a call of the library; the last id of each ends a word."""
-        out = {}
-        for first in range(0, len(words), WORDS_A_CALL):
-            some = words[first : first + WORDS_A_CALL]
-            (coded,) = self.of_plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)
-            ids = np.array(coded.ids, dtype="<u2")
-            cuts = (2 * np.flatnonzero(self.ends[ids]) + 2).tolist()
-            data = ids.tobytes()
-            for word, a, b in zip(some, [0, *cuts[:-1]], cuts, strict=True):
-                out[word] = data[a:b]
-        return out
-
-    def ask(self, words: list[str]) -> dict[str, bytes]:
-        """The same for words of several pieces, told apart by where their ids come from."""
-        out = {}
-        for first in range(0, len(words), WORDS_A_CALL):
-            some = words[first : first + WORDS_A_CALL]
-            coded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ends = np.cumsum([len(w) + 1 for w in some])
-            places = np.fromiter((a for a, _ in coded.offsets), dtype=np.int64)
-            data = np.array(coded.ids, dtype="<u2").tobytes()
-            start = 0
-            for word, cut in zip(some, np.searchsorted(places, ends).tolist()):
-                out[word] = data[2 * start : 2 * cut]
-                start = cut
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.kept) > CACHED_WORDS:
-            self.kept = Kept()
-        gc.disable()  # millions of short lists and no cycles: scanning them finds nothing
-        try:
-            return self._encode(texts)
-        finally:
-            gc.enable()
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        find = self.kept.__getitem__
-        split = [[t] if SEPARATORS.search(t) else t.split() for t in texts]
-        found = [list(map(find, words)) for words in split]
-        self.look_up(self.kept.new)
-        self.kept.new = []
-        return [b"".join(parts) for parts in found]
 
 
 def pack(docs: list[tuple[int | None, bytes]], before: int) -> bytes:
@@ -199,10 +84,9 @@ def write_token_files(
     segment: int = SEGMENT,
 ) -> None:
     """Writes the token ids of whole texts in ascending doc_id order. One shuffle of texts."""
-    end = np.array([end_id], dtype="<u2").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = worker_state(("word ids", vocabulary), lambda: WordIds(vocabulary))
+        coder = worker_state(("words", vocabulary), lambda: WordIds(vocabulary))
         shard, number, before = TaskContext.get().partitionId(), 0, 0
         held, size = [], 0
 
@@ -216,10 +100,13 @@ def write_token_files(
             )
 
         for batch in batches:
-            coded = coder.encode(strings(batch.column(1)))
-            for doc_id, data in zip(batch.column(0).to_pylist(), coded):
-                held.append((doc_id, data + end))
-                size += len(data) // 2 + 1
+            ids, sizes = coder.encode(batch.column(1))
+            data = np.insert(ids, np.cumsum(sizes), end_id).astype("<u2").tobytes()
+            ends = 2 * np.cumsum(sizes + 1)
+            starts = ends - 2 * (sizes + 1)
+            for doc_id, a, b in zip(batch.column(0).to_pylist(), starts.tolist(), ends.tolist()):
+                held.append((doc_id, data[a:b]))
+                size += (b - a) // 2
                 if size >= segment:
                     yield packed()
                     number, before, held, size = number + 1, before + size, [], 0
@@ -229,8 +116,11 @@ def write_token_files(
     width = shuffle_width(docs.sparkSession)
     (
         with_id(docs, text_col, id_col)
-        .repartitionByRange(width, "doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        # many rows of one id, or of none, are told apart by their texts
+        .withColumn("of_text", F.xxhash64("text"))
+        .repartitionByRange(width, "doc_id", "of_text")
+        .sortWithinPartitions("doc_id", "of_text", "text")
+        .select("doc_id", "text")
         .mapInArrow(run, "shard int, segment int, n_ids bigint, blob binary")
         .write.option("compression", "none")  # the blobs are coded already
         .parquet(path)
