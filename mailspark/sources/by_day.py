@@ -46,10 +46,11 @@ def in_days(messages: DataFrame, from_date: dt.date, days: int) -> DataFrame:
 
 def in_ranges(messages: DataFrame, ranges: DataFrame) -> DataFrame:
     """Messages with the range (after_date, before_date) of one day they fall into. Only the days
-    of `ranges`, a row for each day asked for, are read."""
+    of `ranges`, a row for each day asked for, are read, where Spark finds the ranges small enough
+    to broadcast; if not, the join is a shuffle and gives the same."""
     asked = ranges.select(
         "after_date", "before_date", F.to_date("after_date", DAY_FORMAT).alias(DAY)
     )
     # the comparison makes the ranges selective in the eyes of the planner
     asked = asked.where(F.col(DAY) > F.lit(dt.date(1000, 1, 1)))
-    return messages.join(F.broadcast(asked), DAY)
+    return messages.join(asked, DAY)
