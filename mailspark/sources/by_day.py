@@ -16,11 +16,13 @@ DAY = "day"
 
 
 def write_by_day(messages: DataFrame, path: str, at: str = "received_at") -> None:
-    """One folder a day; rows of a day are spread over tasks by their id, so a busy day is not
-    one task's."""
+    """One folder a day. Tasks get ranges of days and, within a day, of hashes of the ids: a day is
+    one file or two where days are many, and a busy day is not one task's."""
     (
         messages.withColumn(DAY, F.to_date(at))
-        .repartition(DAY, F.pmod(F.xxhash64("id"), F.lit(16)))
+        .withColumn("_of_id", F.xxhash64("id"))
+        .repartitionByRange(DAY, "_of_id")
+        .drop("_of_id")
         .write.partitionBy(DAY).parquet(path)
     )
 

@@ -35,6 +35,17 @@ def test_a_range_of_dates_prunes_folders(spark, tiny, days):
     assert sorted(r.id for r in found.collect()) == sorted(r.id for r in want.collect())
 
 
+def test_a_day_is_not_cut_into_many_files(spark, tmp_path):
+    path, n = tmp_path / "messages", 4000
+    at = F.timestamp_seconds(F.lit(staging.START_EPOCH) + F.col("id") % 40 * 86400)
+    messages = spark.range(n).select(F.col("id").cast("string"), at.alias("received_at"))
+    by_day.write_by_day(messages, str(path))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(list(path.glob("day=*"))) == 40
+    assert len(list(path.glob("day=*/*.parquet"))) <= 40 + width
+    assert by_day.read_by_day(spark, str(path)).drop("day").exceptAll(messages).count() == 0
+
+
 def test_a_table_of_ranges_prunes_folders_when_it_runs(spark, tiny, days, tmp_path):
     asked = str(tmp_path / "ranges")
     anchor = spark.range(1)
