@@ -1,8 +1,10 @@
 """A mailbox as a Spark data source: `spark.read.format("mailbox")`.
 
-The mailbox is a parquet folder with one day=yyyy-MM-dd folder per day. Every row group
-of a wanted day is an input partition, so the days are read side by side and a day with
-far more mail than the others is split as well.
+The mailbox is a parquet folder with one day=yyyy-MM-dd folder per day. The files of the wanted
+days are dealt to at most about PARTS input partitions, following days to one where there are more,
+so the days are read side by side. A file of LARGE bytes or more has one for each of its row
+groups, so a day with far more mail than the others is split as well; only such files are opened
+to plan a scan.
 """
 
 from __future__ import annotations
@@ -14,13 +16,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 FIELDS = ("id", "received_at", "subject", "body")
+PARTS = 512
+LARGE = 64 * 1024 * 1024
 
 
 @dataclass
 class DayPart(InputPartition):
+    """`day` is that of the first file; without a row group the files are read whole."""
+
     day: str
-    file: str
-    row_group: int
+    files: list[str]
+    row_group: int | None = None
 
 
 class MailboxSource(DataSource):
@@ -44,36 +50,53 @@ class MailboxReader(DataSourceReader):
         self.days = int(options.get("days", "7"))
 
     def partitions(self):
-        import pyarrow.dataset as ds
         import pyarrow.fs as fs
+        import pyarrow.parquet as pq
 
         system, root = _locate(self.path)
-        found = []
+        there = {
+            info.base_name: info.path
+            for info in system.get_file_info(fs.FileSelector(root, allow_not_found=True))
+        }
+        small, found = [], []
         for back in range(1, self.days + 1):
             day = (self.from_date - dt.timedelta(days=back)).isoformat()
-            folder = f"{root}/day={day}"
-            if system.get_file_info(folder).type == fs.FileType.NotFound:
+            folder = there.get(f"day={day}")
+            if folder is None:
                 continue
-            for file in ds.dataset(folder, filesystem=system, format="parquet").get_fragments():
-                found += [DayPart(day, file.path, group.id) for group in file.row_groups]
+            for info in system.get_file_info(fs.FileSelector(folder, recursive=True)):
+                names = info.path[len(folder) :].strip("/").split("/")
+                if not info.is_file or any(name[0] in "._" for name in names):
+                    continue
+                if info.size < LARGE:
+                    small.append((day, info.path))
+                    continue
+                with system.open_input_file(info.path) as opened:
+                    groups = pq.ParquetFile(opened).num_row_groups
+                found += [DayPart(day, [info.path], group) for group in range(groups)]
+        step = -(-len(small) // PARTS)
+        for first in range(0, len(small), max(1, step)):
+            some = small[first : first + step]
+            found.append(DayPart(some[0][0], [path for _, path in some]))
         return found
 
     def read(self, partition):
         import pyarrow as pa
-        import pyarrow.dataset as ds
+        import pyarrow.parquet as pq
 
         if partition is None:  # no day had any file
             return
         system, _ = _locate(self.path)
-        file = next(
-            ds.dataset(partition.file, filesystem=system, format="parquet").get_fragments()
-        )
+        groups = None if partition.row_group is None else [partition.row_group]
         at = FIELDS.index("received_at")
-        for batch in file.subset(row_group_ids=[partition.row_group]).to_batches(
-            columns=list(FIELDS)
-        ):
-            instants = batch.column(at).cast(pa.timestamp("us", "UTC"))
-            yield batch.set_column(at, "received_at", instants)
+        for path in partition.files:
+            with system.open_input_file(path) as opened:
+                for batch in pq.ParquetFile(opened).iter_batches(
+                    row_groups=groups, columns=list(FIELDS)
+                ):
+                    batch = batch.select(list(FIELDS))
+                    instants = batch.column(at).cast(pa.timestamp("us", "UTC"))
+                    yield batch.set_column(at, "received_at", instants)
 
 
 def _locate(path: str):

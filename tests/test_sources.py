@@ -221,6 +221,21 @@ def test_mailbox_source_reads_only_its_days(spark, tiny, tmp_path):
     assert none.count() == 0
 
 
+def test_many_days_share_a_partition_and_large_files_are_split(spark, tiny, tmp_path, monkeypatch):
+    path = str(tmp_path / "box")
+    messages = staging.messages(spark, tiny)
+    mailbox.write_mailbox(messages, path)
+    want = sorted(r.id for r in messages.where("received_at < '2024-01-05'").collect())
+    for parts, large in ((2, 1 << 30), (512, 1)):
+        monkeypatch.setattr(mailbox, "PARTS", parts)
+        monkeypatch.setattr(mailbox, "LARGE", large)
+        reader = mailbox.MailboxReader({"path": path, "from_date": "2024-01-05", "days": "4"})
+        found = reader.partitions()
+        assert len(found) <= 2 if parts == 2 else all(p.row_group is not None for p in found)
+        ids = [i for p in found for batch in reader.read(p) for i in batch.column(0).to_pylist()]
+        assert sorted(ids) == want
+
+
 def test_scratch_lies_below_the_shared_folder(spark):
     base = shared_dir(spark)
     assert scratch_dir(spark, "x").startswith(base)
