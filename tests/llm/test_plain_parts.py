@@ -395,3 +395,20 @@ def test_numbers_are_no_letters(text):
 
 def test_words_hold_their_marks():
     assert language_id.words_of("हिन्दी में x½y ªb") == ["हिन्दी", "में", "x", "y", "ªb"]
+
+
+def test_words_are_matched_by_a_class_of_what_they_hold(spark):
+    from pyspark.sql import functions as F
+
+    from mailspark.llm import mixing
+
+    word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    texts = ["", "Aé9 b_c\n||x", "\u0080\u007f\U0010ffff z", "ALL CAPS 12", "ÉÀ", "éà", "ß", "1 2", None]
+    found = spark.createDataFrame([(t,) for t in texts], "text string").select(
+        "text", mixing.tokens_of(F.col("text")).alias("n"), mixing.topic_of(F.col("text")).alias("t"))
+    for r in found.collect():
+        assert r.n == max(1, len(re.findall(word, r.text or "")))
+    topics = {r.text: r.t for r in found.collect()}
+    assert [topics[t] for t in ("ALL CAPS 12", "ÉÀ", "éà", "1 2")] == ["shout", "shout", "note", "note"]
+    # a negated class of this kind takes ten times as long
+    assert "[^" not in mixing.WORD
