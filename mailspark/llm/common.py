@@ -7,6 +7,7 @@ lost executor costs only the tasks it ran.
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -47,6 +48,20 @@ def worker_state(key: tuple, make: Callable):
     return kept[key]
 
 
+def only_state(key: tuple, make: Callable):
+    """Like worker_state, but the worker's other tables, left by steps that ran before in the same
+    session, are let go first."""
+    home = sys.modules.get("_mailspark_workers")
+    kept = home.__dict__.get("kept", {}) if home else {}
+    others = [other for other in kept if other != key]
+    for other in others:
+        del kept[other]
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+    return worker_state(key, make)
+
+
 def latest_state(name: str, key: str, make: Callable):
     """Like worker_state, but only the table of the last key of a name is kept."""
     held = worker_state((name,), dict)

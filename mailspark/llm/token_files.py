@@ -4,7 +4,7 @@ Documents are dealt to shards by ranges of ascending doc_id; a shard is one file
 segments, one a row (shard, segment, n_ids, blob). A blob is whole in itself: a header with the
 ids and lengths of its documents and where in the shard it starts, and blocks of up to 1,024
 token ids, each coded with fresh models (see range_coder) and with the crc32 of its ids. Reading
-decodes all blocks of a segment side by side and raises ValueError where a checksum differs.
+decodes many blocks of a segment side by side and raises ValueError where a checksum differs.
 A segment ends with a document, so it holds SEGMENT ids and at most one document more.
 
 Rows without id come first; rows of equal id follow each other by a hash of their text. A null or
@@ -23,13 +23,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailspark.llm.common import shuffle_width, with_id, worker_state
+from mailspark.llm.common import only_state, shuffle_width, with_id
 from mailspark.llm.range_coder import BLOCK, checksum, decode, encode
 from mailspark.llm.word_ids import VOCABULARY, WordIds
 from mailspark.session import scratch_dir
 
 END_ID = 2
 SEGMENT = 8_000_000
+# blocks that are coded side by side: some 20 KB each of tables and words
+SIDE_BY_SIDE = 2048
 MAGIC = b"MSID"
 HEADER = "<4sIIIQ"  # magic, version, documents, blocks, ids before in the shard
 
@@ -38,7 +40,10 @@ def pack(docs: list[tuple[int | None, bytes]], before: int) -> bytes:
     """A segment of (doc_id, ids as little-endian 16-bit numbers)."""
     ids = np.frombuffer(b"".join(data for _, data in docs), dtype="<u2")
     blocks = [ids[i : i + BLOCK] for i in range(0, len(ids), BLOCK)]
-    codes = encode(blocks)
+    codes = [
+        code for i in range(0, len(blocks), SIDE_BY_SIDE)
+        for code in encode(blocks[i : i + SIDE_BY_SIDE])
+    ]
     numbers = np.array([i or 0 for i, _ in docs], dtype="<i8")
     missing = np.array([i is None for i, _ in docs], dtype="u1")
     lengths = np.array([len(data) // 2 for _, data in docs], dtype="<u4")
@@ -65,7 +70,9 @@ def unpack(blob: bytes) -> tuple[list, np.ndarray, np.ndarray, int]:
     for _, length, _ in sizes:
         codes.append(blob[at : at + length])
         at += length
-    blocks = decode(codes, [n for n, _, _ in sizes])
+    counts, blocks = [n for n, _, _ in sizes], []
+    for i in range(0, len(codes), SIDE_BY_SIDE):
+        blocks += decode(codes[i : i + SIDE_BY_SIDE], counts[i : i + SIDE_BY_SIDE])
     for block, (_, _, crc) in zip(blocks, sizes):
         if checksum(block) != crc:
             raise ValueError("a block of token ids differs from its checksum")
@@ -86,7 +93,7 @@ def write_token_files(
     """Writes the token ids of whole texts in ascending doc_id order. One shuffle of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = worker_state(("words", vocabulary), lambda: WordIds(vocabulary))
+        coder = only_state(("words", vocabulary), lambda: WordIds(vocabulary))
         shard, number, before = TaskContext.get().partitionId(), 0, 0
         held, size = [], 0
 

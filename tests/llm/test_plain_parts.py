@@ -397,6 +397,39 @@ def test_words_hold_their_marks():
     assert language_id.words_of("हिन्दी में x½y ªb") == ["हिन्दी", "में", "x", "y", "ªb"]
 
 
+def test_a_step_lets_go_of_the_tables_of_others(monkeypatch):
+    import sys
+    import types
+
+    from mailspark.llm import common
+
+    home = types.ModuleType("_mailspark_workers")
+    monkeypatch.setitem(sys.modules, "_mailspark_workers", home)
+    common.worker_state(("language", 1), list)
+    words = common.only_state(("words", "a"), list)
+    assert list(home.kept) == [("words", "a")]
+    assert common.only_state(("words", "a"), dict) is words
+
+
+def test_a_segment_is_coded_some_blocks_at_a_time(monkeypatch):
+    from mailspark.llm import token_files
+
+    ids = np.random.default_rng(2).integers(0, 3000, 9_500).astype("<u2")
+    docs = [(7, ids[:4000].tobytes()), (None, ids[4000:].tobytes())]
+    whole, sizes, encode = token_files.pack(docs, 5), [], token_files.encode
+
+    def counted(blocks):
+        sizes.append(len(blocks))
+        return encode(blocks)
+
+    monkeypatch.setattr(token_files, "SIDE_BY_SIDE", 4)
+    monkeypatch.setattr(token_files, "encode", counted)
+    assert token_files.pack(docs, 5) == whole and sizes == [4, 4, 2]
+    doc_ids, lengths, found, before = token_files.unpack(whole)
+    assert (doc_ids, lengths.tolist(), before) == ([7, None], [4000, 5500], 5)
+    assert np.array_equal(found, ids)
+
+
 def test_words_are_matched_by_a_class_of_what_they_hold(spark):
     from pyspark.sql import functions as F
 
