@@ -4,6 +4,7 @@ import datetime as dt
 import random
 import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,6 +163,86 @@ def test_timers_give_the_requests_of_the_batch_rule(spark, tmp_path):
     assert 5 < got.count() < 60
 
 
+def test_timers_ask_the_state_by_bucket_not_by_id():
+    class Handle:
+        def __init__(self):
+            self.lists, self.timers, self.calls = [], set(), 0
+
+        def getListState(self, name, schema):
+            return self
+
+        def registerTimer(self, at):
+            self.calls += 1
+            self.timers.add(at)
+
+        def appendList(self, rows):
+            self.calls += 1
+            self.lists += rows
+
+        def put(self, rows):
+            self.calls += 1
+            self.lists = list(rows)
+
+        def clear(self):
+            self.put([])
+
+        def get(self):
+            self.calls += 1
+            return iter(self.lists)
+
+    class At:
+        def __init__(self, ms):
+            self.ms = ms
+
+        def getExpiryTimeInMs(self):
+            return self.ms
+
+        getCurrentWatermarkInMs = getExpiryTimeInMs
+
+    hold_us, draw, handle = 10_000, random.Random(8), Handle()
+    events = [(f"m{draw.randrange(300)}", 1000 * draw.randrange(50), draw.random() < 0.6)
+              for _ in range(1000)]
+    own = retention.RetentionTimer(dt.timedelta(microseconds=hold_us))
+    own.init(handle)
+    rows = pd.DataFrame(events, columns=["id", "at_us", "trashed"])
+    own.handleInputRows((0,), iter([rows[:400], rows[400:]]), None)
+    got, asked = [], 0
+    for watermark in (20, 35, 70):
+        own.settled.clear()  # a batch of its own
+        for now in sorted(t for t in handle.timers if t <= watermark):
+            for out in own.handleExpiredTimer((0,), At(watermark), At(now)):
+                got += zip(out["id"], out["trashed_at"].astype("int64") // 1000)
+            handle.timers.discard(now)
+    want = []
+    for name in {e[0] for e in events}:
+        mine = [(at, trashed) for i, at, trashed in events if i == name]
+        times = sorted({retention.timer(at, hold_us) for at, _ in mine})
+        for time in times:  # one timer after the other, as by a timer for each event
+            mine, due = retention.settle(mine, hold_us, [time])
+            want += [(name, at) for at in due]
+        assert not mine
+    assert sorted(got) == sorted(want) and len(got) > 100 and not handle.lists
+    assert handle.calls < 20  # not some for each of 300 ids
+
+
+def test_a_timer_at_the_watermark_itself_fires(spark, tmp_path):
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    schema, at = "id string, at timestamp, trashed boolean", dt.datetime(2024, 1, 1)
+    hold, ms = dt.timedelta(hours=2), dt.timedelta(milliseconds=1)
+    rows = [("on", at), ("long", at - hold), ("early", at - ms), ("late", at + ms),
+            ("last", at + hold + dt.timedelta(days=1))]
+    spark.createDataFrame([(*r, True) for r in rows], schema).write.parquet(str(tmp_path / "in"))
+    for buckets in (1, 4096):
+        out = str(tmp_path / f"out{buckets}")
+        stream = streams.stream_files(spark, str(tmp_path / "in"), schema)
+        streams.append_to(retention.purge_requests(stream, hold, buckets=buckets), out,
+                          str(tmp_path / f"mark{buckets}"))
+        got = spark.read.schema(retention.REQUEST).parquet(out).collect()
+        assert sorted(r.id for r in got) == ["early", "long", "on"]
+
+
 def test_stays():
     assert retention.stays([(5, False), (1, True), (3, True), (9, True)]) == [(1, 5), (9, None)]
     assert retention.stays([(1, True), (1, False), (2, False)]) == [(1, 1)]
