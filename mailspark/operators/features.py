@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
@@ -44,21 +45,43 @@ def masked_mean(
     return pooled.select(id_col, mean.alias(out_col))
 
 
+def _mean_of_codes(flat: np.ndarray, offsets: pa.Array, dim: int) -> pa.Array:
+    """The mean vector of each row's codes. Codes are in [0, 2 * dim): below dim counts +1, from
+    dim on -1."""
+    rows = len(offsets) - 1
+    lengths = np.diff(np.asarray(offsets))
+    cell = np.repeat(np.arange(rows), lengths) * dim + flat % dim
+    signs = np.where(flat < dim, 1.0, -1.0)
+    total = np.bincount(cell, weights=signs, minlength=rows * dim)
+    mean = total.reshape(rows, dim) / np.maximum(lengths, vectors.MASK_FLOOR)[:, None]
+    offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * dim)
+    return pa.ListArray.from_arrays(offsets, pa.array(mean.reshape(-1)))
+
+
 def _pooler(dim: int):
-    """Signed bucket codes of each row to their mean vector, a whole Arrow batch at a
-    time. Codes are in [0, 2 * dim): below dim counts +1, from dim on -1."""
+    """Signed bucket codes of each row to their mean vector, a whole Arrow batch at a time."""
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def pool(codes: pa.Array) -> pa.Array:
-        rows = len(codes)
-        lengths = np.diff(np.asarray(codes.offsets))
-        flat = np.asarray(codes.flatten())
-        cell = np.repeat(np.arange(rows), lengths) * dim + flat % dim
-        signs = np.where(flat < dim, 1.0, -1.0)
-        total = np.bincount(cell, weights=signs, minlength=rows * dim)
-        mean = total.reshape(rows, dim) / np.maximum(lengths, vectors.MASK_FLOOR)[:, None]
-        offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * dim)
-        return pa.ListArray.from_arrays(offsets, pa.array(mean.reshape(-1)))
+        return _mean_of_codes(np.asarray(codes.flatten()), codes.offsets, dim)
+
+    return pool
+
+
+def _word_pooler(dim: int):
+    """The same from the words themselves: each distinct word of a batch is hashed by md5 once."""
+
+    def code(word: bytes) -> int:
+        digest = md5(word, usedforsecurity=False).digest()
+        # the first 8 and the 16th of the hexadecimal digits
+        return int.from_bytes(digest[:4]) % dim + dim * (digest[7] & 1)
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def pool(tokens: pa.Array) -> pa.Array:
+        words = tokens.flatten().dictionary_encode()
+        known = words.dictionary.cast(pa.binary()).to_pylist()
+        codes = np.fromiter(map(code, known), dtype=np.int64, count=len(known))
+        return _mean_of_codes(codes[np.asarray(words.indices)], tokens.offsets, dim)
 
     return pool
 
@@ -75,24 +98,13 @@ class HashingEncoder:
     def name(self) -> str:
         return f"hashing-{self.hash_name}"
 
-    def codes(self, c: Column, limit: int) -> Column:
-        """Each token as bucket, or bucket + dim where its sign is negative."""
+    def __call__(self, c: Column, limit: int) -> Column:
         tokens = text.tokens(c, limit)
         if self.hash_name == "xxhash64":
-            return F.transform(
+            return _pooler(self.dim)(F.transform(
                 tokens, lambda t: F.pmod(F.xxhash64(t), F.lit(2 * self.dim)).cast("int")
-            )
-
-        def code(digest):
-            bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % self.dim
-            odd = F.substring(digest, 16, 1).isin(*"13579bdf")
-            return (bucket + F.when(odd, self.dim).otherwise(0)).cast("int")
-
-        # two passes, so that each token is hashed once
-        return F.transform(F.transform(tokens, F.md5), code)
-
-    def __call__(self, c: Column, limit: int) -> Column:
-        return _pooler(self.dim)(self.codes(c, limit))
+            ))
+        return _word_pooler(self.dim)(tokens)
 
 
 @dataclass(frozen=True)
