@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from mailspark.llm.common import as_rows, map_batches, strings, with_id, worker_state
+from mailspark.llm.common import as_rows, map_batches, only_state, strings, with_id
 
 UNDETERMINED = "und"
 TRAIN_DOCS = 2000
@@ -226,6 +226,7 @@ def learn(
     sample = rows.where(uniform < rate[F.col("lang")]).select("lang", "text")
 
     def count(batches):
+        only_state(("language",), dict)  # what steps before have left in the worker goes
         grams: Counter = Counter()
         for batch in batches:
             words: Counter = Counter()
@@ -273,7 +274,7 @@ def identify(
     shared, key = docs.sparkSession.sparkContext.broadcast(model.parts()), uuid.uuid4().hex
 
     def run(batch: pa.RecordBatch) -> dict:
-        own = worker_state(("language", key), lambda: Model(*shared.value))
+        own = only_state(("language", key), lambda: Model(*shared.value))
         found = own.label(strings(batch.column(1)))
         return {
             "doc_id": batch.column(0),
@@ -301,7 +302,7 @@ def keep_identified(
 
     def run(batches):
         for batch in batches:
-            own = worker_state(("language", key), lambda: Model(*shared.value))
+            own = only_state(("language", key), lambda: Model(*shared.value))
             found = own.label(strings(batch.column(0).field(text_col)))
             yield batch.filter(
                 pa.array([x != UNDETERMINED and s >= least_score for x, s, _ in found], pa.bool_())

@@ -411,6 +411,44 @@ def test_a_step_lets_go_of_the_tables_of_others(monkeypatch):
     assert common.only_state(("words", "a"), dict) is words
 
 
+def test_language_steps_let_go_of_what_token_files_left(monkeypatch):
+    """The steps of learning and of keeping run here as in a worker that wrote token files."""
+    import sys
+    import types
+
+    from mailspark.llm import common
+
+    home = types.ModuleType("_mailspark_workers")
+    monkeypatch.setitem(sys.modules, "_mailspark_workers", home)
+    seen = []
+
+    class Rows:
+        schema = None
+
+        class sparkSession:
+            class sparkContext:
+                @staticmethod
+                def broadcast(value):
+                    return types.SimpleNamespace(value=value)
+
+        def mapInArrow(self, run, schema):
+            common.worker_state(("words", "a"), list)
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array([{"text": "some words"}])], names=["__row"])
+            seen.extend(run(iter([batch])))
+            return self
+
+        def select(self, *columns):
+            return self
+
+    monkeypatch.setattr(language_id, "as_rows", lambda docs: docs)
+    model = language_id.Model(["en"], ["som"], np.zeros((1, 1)), {})
+    language_id.keep_identified(Rows(), model)
+    assert len(seen) == 1 and [key[0] for key in home.kept] == ["language"]
+    language_id.keep_identified(Rows(), model)
+    assert len(home.kept) == 1  # nor does a model of before stay
+
+
 def test_a_segment_is_coded_some_blocks_at_a_time(monkeypatch):
     from mailspark.llm import token_files
 
