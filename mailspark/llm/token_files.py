@@ -30,8 +30,10 @@ from mailspark.session import scratch_dir
 
 END_ID = 2
 SEGMENT = 8_000_000
-# blocks that are coded side by side: some 20 KB each of tables and words
-SIDE_BY_SIDE = 2048
+# blocks that are coded side by side: some 15 KB each of tables and words
+SIDE_BY_SIDE = 4096
+# texts whose words are numbered at once
+GROUP_BYTES = 8 * 1024 * 1024
 MAGIC = b"MSID"
 HEADER = "<4sIIIQ"  # magic, version, documents, blocks, ids before in the shard
 
@@ -81,6 +83,24 @@ def unpack(blob: bytes) -> tuple[list, np.ndarray, np.ndarray, int]:
     return doc_ids, lengths, ids, before
 
 
+def in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, pa.Array]]:
+    """The doc ids and texts of some batches at a time, so that their words are numbered once."""
+    held, size = [], 0
+
+    def joined() -> tuple[list, pa.Array]:
+        texts = pa.concat_arrays([b.column(1).cast(pa.large_string()) for b in held])
+        return [i for b in held for i in b.column(0).to_pylist()], texts
+
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= GROUP_BYTES:
+            yield joined()
+            held, size = [], 0
+    if held:
+        yield joined()
+
+
 def write_token_files(
     docs: DataFrame,
     path: str,
@@ -106,12 +126,12 @@ def write_token_files(
                 names=["shard", "segment", "n_ids", "blob"],
             )
 
-        for batch in batches:
-            ids, sizes = coder.encode(batch.column(1))
+        for doc_ids, texts in in_groups(batches):
+            ids, sizes = coder.encode(texts)
             data = np.insert(ids, np.cumsum(sizes), end_id).astype("<u2").tobytes()
             ends = 2 * np.cumsum(sizes + 1)
             starts = ends - 2 * (sizes + 1)
-            for doc_id, a, b in zip(batch.column(0).to_pylist(), starts.tolist(), ends.tolist()):
+            for doc_id, a, b in zip(doc_ids, starts.tolist(), ends.tolist()):
                 held.append((doc_id, data[a:b]))
                 size += (b - a) // 2
                 if size >= segment:

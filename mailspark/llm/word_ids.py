@@ -1,9 +1,10 @@
 """Token ids of whole texts by the tokenizers library, each distinct word asked for once.
 
 The vocabulary's pieces never hold white space, so a text's ids are those of its words in turn.
-The words of a batch are split and numbered in Arrow; only words a worker has not met go to the
-library, and ids of texts are put together by one NumPy gather. Kept words are bounded in number
-and length: longer ones are asked for in each batch.
+The words of a batch are numbered in Arrow together with those a worker has met, which come first
+and so keep their numbers. Only new ones go to the library, and the ids of all words in turn are
+one Arrow take. Kept words are bounded in number and length: longer ones are asked for in each
+batch, and when there are too many only those of the last batch stay.
 """
 
 from __future__ import annotations
@@ -12,21 +13,36 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
-from tokenizers import Tokenizer, normalizers, pre_tokenizers
+from tokenizers import Tokenizer, pre_tokenizers
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 WORD_END = "</w>"  # how the vocabulary marks the last symbol of a word
-KEPT_WORDS = 900_000
-KEPT_LENGTH = 48
+KEPT_WORDS = 500_000
+KEPT_BYTES = 48
 WORDS_A_CALL = 4000
 # Letters that Arrow lowers as the library does, and marks, which are one piece after letters;
 # an apostrophe can be part of another piece
 PLAIN = (
-    "^(?P<base>[A-Za-zÀ-ÖØ-Þà-öø-ÿ]+)"
+    "^(?P<base>[A-Za-zÀ-ÖØ-öø-ÿ]+)"
     r"(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
 )
 # Arrow takes these for white space, the tokenizer does not
 SEPARATORS = "[\x1c-\x1f]"
+NO_IDS = np.zeros(0, dtype="<u2")
+
+
+def as_binary(ids: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Ids cut into the bytes of one word after the other."""
+    offsets = 2 * np.concatenate([[0], cuts]).astype(np.int64)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(ids.tobytes())]
+    return pa.Array.from_buffers(pa.large_binary(), len(cuts), buffers)
+
+
+def in_halves(mask: pa.Array, yes: pa.Array, no: pa.Array) -> pa.Array:
+    """The values of `yes` where the mask is true and those of `no` elsewhere, each in turn."""
+    mask = np.asarray(mask)
+    places = np.where(mask, np.cumsum(mask) - 1, len(yes) + np.cumsum(~mask) - 1)
+    return pa.concat_arrays([yes, no]).take(pa.array(places))
 
 
 class WordIds:
@@ -34,91 +50,80 @@ class WordIds:
 
     def __init__(self, path: str = VOCABULARY):
         self.tokenizer = Tokenizer.from_file(path)
-        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        # for words that normalising and cutting leave as they are; ASCII letters stand for
-        # their own bytes
-        self.of_ascii = self.plain(path, [pre_tokenizers.WhitespaceSplit()])
-        self.of_plain = self.plain(path, [pre_tokenizers.WhitespaceSplit(), byte_level])
+        # for words that normalising and cutting leave as they are, in the signs of byte level
+        self.model = self.tokenizer.model
+        signs = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.signs = {
+            c: "".join(piece for piece, _ in signs.pre_tokenize_str(chr(c))) for c in range(128, 256)
+        }
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.kept: dict[str, bytes] = {}
-
-    @staticmethod
-    def plain(path: str, cutters: list) -> Tokenizer:
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.normalizer = normalizers.Sequence([])
-        tokenizer.pre_tokenizer = pre_tokenizers.Sequence(cutters)
-        return tokenizer
-
-    def ask_plain(self, tokenizer: Tokenizer, words: list[str]) -> dict[str, bytes]:
-        """Many words to a call of the library; the last id of each ends a word."""
-        out = {}
-        for first in range(0, len(words), WORDS_A_CALL):
-            some = words[first : first + WORDS_A_CALL]
-            (coded,) = tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
-            ids = np.array(coded.ids, dtype="<u2")
-            cuts = (2 * np.flatnonzero(self.ends[ids]) + 2).tolist()
-            data = ids.tobytes()
-            for word, a, b in zip(some, [0, *cuts[:-1]], cuts, strict=True):
-                out[word] = data[a:b]
-        return out
-
-    def ask(self, words: list[str]) -> dict[str, bytes]:
+        # words met before, and the ids of each as little-endian 16-bit numbers
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def ask_plain(self, words: list[str]) -> pa.Array:
+        """By the library's model alone; the last id of each ends a word."""
+        signs, tokenize = self.signs, self.model.tokenize
+        words = [w if w.isascii() else w.translate(signs) for w in words]
+        ids = np.array([token.id for w in words for token in tokenize(w)], dtype="<u2")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(words):
+            raise ValueError("the library did not give one end to each word")
+        return as_binary(ids, cuts)
+
+    def ask(self, words: list[str]) -> pa.Array:
         """The same for words of several pieces, told apart by where their ids come from."""
-        out = {}
+        parts, cuts, before = [NO_IDS], [np.zeros(0, dtype=np.int64)], 0
         for first in range(0, len(words), WORDS_A_CALL):
             some = words[first : first + WORDS_A_CALL]
             coded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
             ends = np.cumsum([len(w) + 1 for w in some])
             places = np.fromiter((a for a, _ in coded.offsets), dtype=np.int64)
-            data = np.array(coded.ids, dtype="<u2").tobytes()
-            start = 0
-            for word, cut in zip(some, np.searchsorted(places, ends).tolist()):
-                out[word] = data[2 * start : 2 * cut]
-                start = cut
-        return out
-
-    def ids_of(self, words: list[str], is_plain: bool) -> list[bytes]:
-        """The ids of each of some different words."""
-        out = list(map(self.kept.get, words))
-        places = [i for i, ids in enumerate(out) if ids is None]
-        if not places:
-            return out
-        new = [words[i] for i in places]
-        if is_plain:
-            found = self.ask_plain(self.of_ascii, [w for w in new if w.isascii()])
-            found |= self.ask_plain(self.of_plain, [w for w in new if not w.isascii()])
-        else:
-            found = self.ask(new)
-        for i in places:
-            out[i] = found[words[i]]
-        if len(self.kept) + len(found) > KEPT_WORDS:
-            self.kept = {}
-        self.kept.update((w, ids) for w, ids in found.items() if len(w) <= KEPT_LENGTH)
-        return out
-
-    def of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Some different words as they stand in texts: for each the numbers of its two atoms
-        (letters and marks, or the whole word and nothing), and the ids and sizes of the atoms."""
+            cuts.append(before + np.searchsorted(places, ends))
+            parts.append(np.array(coded.ids, dtype="<u2"))
+            before += len(places)
+        return as_binary(np.concatenate(parts), np.concatenate(cuts))
+
+    def of_words(self, words: pa.Array) -> pa.Array:
+        """The ids of some different words as they stand in texts. Plain words are asked for by
+        their letters and their marks."""
         parts = pc.extract_regex(words, PLAIN)
-        plain = np.asarray(parts.is_valid())
-        some = parts.filter(pa.array(plain))
+        plain = parts.is_valid()
+        some = parts.filter(plain)
         bases = pc.utf8_lower(some.field("base")).dictionary_encode()
         marks = some.field("marks").dictionary_encode()
-        atoms = [
-            b"",
-            *self.ids_of(bases.dictionary.to_pylist(), True),
-            *self.ids_of(marks.dictionary.to_pylist(), False),
-            *self.ids_of(words.filter(pa.array(~plain)).to_pylist(), False),
-        ]
-        first, second = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
-        n_bases, n_marks = len(bases.dictionary), len(marks.dictionary)
-        first[plain] = np.asarray(bases.indices) + 1
-        second[plain] = np.asarray(marks.indices) + 1 + n_bases
-        first[~plain] = np.arange(len(words) - int(plain.sum())) + 1 + n_bases + n_marks
-        sizes = np.fromiter(map(len, atoms), dtype=np.int64, count=len(atoms)) // 2
-        return first, second, np.frombuffer(b"".join(atoms), dtype="<u2"), sizes
+        return in_halves(
+            plain,
+            pc.binary_join_element_wise(
+                self.ask_plain(bases.dictionary.to_pylist()).take(bases.indices),
+                self.ask(marks.dictionary.to_pylist()).take(marks.indices),
+                pa.scalar(b"", pa.large_binary()),
+            ),
+            self.ask(words.filter(pc.invert(plain)).to_pylist()),
+        )
+
+    def numbered(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """A number for each word, and the ids by number."""
+        kept = len(self.words)
+        coded = pa.concat_arrays([self.words, words]).dictionary_encode()
+        different = coded.dictionary.cast(pa.large_string())
+        numbers, ids = coded.indices.slice(kept), self.ids
+        if len(different) > kept:
+            ids = pa.concat_arrays([ids, self.of_words(different.slice(kept))])
+            keep = np.asarray(pc.binary_length(different)) <= KEPT_BYTES
+            if int(keep.sum()) > KEPT_WORDS:
+                last = np.zeros(len(different), dtype=bool)
+                last[np.asarray(numbers)] = True
+                keep &= last
+                if int(keep.sum()) > KEPT_WORDS // 2:
+                    keep[:] = False
+            if keep.all():
+                self.words, self.ids = different, ids
+            else:
+                keep = pa.array(keep)
+                self.words, self.ids = different.filter(keep), ids.filter(keep)
+        return numbers, ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in turn (uint16), and how many each text has; null is empty."""
@@ -127,18 +132,14 @@ class WordIds:
         if odd.any():
             return self.encode_odd(texts, odd)
         split = pc.utf8_split_whitespace(texts)
-        words = split.flatten().dictionary_encode()
-        first, second, ids, sizes = self.of_words(words.dictionary.cast(pa.large_string()))
-        codes = np.asarray(words.indices)
-        atoms = np.empty(2 * len(codes), dtype=np.int64)
-        atoms[0::2], atoms[1::2] = first[codes], second[codes]
-        counts = sizes[atoms]
-        ends = np.cumsum(counts)
-        shift = (np.cumsum(sizes) - sizes)[atoms] - (ends - counts)
-        got = ids[np.repeat(shift, counts) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        numbers, ids = self.numbered(split.flatten())
+        ids = ids.take(numbers)
+        ends = np.frombuffer(ids.buffers()[1], dtype=np.int64)[ids.offset :][: len(ids) + 1]
         offsets = np.asarray(split.offsets)
-        before = np.concatenate([[0], ends])[2 * (offsets - offsets[0])]
-        return got, np.diff(before)
+        cuts = (ends if len(ends) else np.zeros(1, dtype=np.int64))[offsets - offsets[0]] // 2
+        data = ids.buffers()[2]
+        got = np.frombuffer(data, "<u2", int(cuts[-1] - cuts[0]), int(2 * cuts[0])) if data else NO_IDS
+        return got, np.diff(cuts)
 
     def encode_odd(self, texts: pa.Array, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The same where some texts hold separators: the library gets these whole."""

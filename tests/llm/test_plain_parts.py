@@ -483,3 +483,86 @@ def test_words_are_matched_by_a_class_of_what_they_hold(spark):
     assert [topics[t] for t in ("ALL CAPS 12", "ÉÀ", "éà", "1 2")] == ["shout", "shout", "note", "note"]
     # a negated class of this kind takes ten times as long
     assert "[^" not in mixing.WORD
+
+
+def test_encoder_finds_beforehand_what_tables_by_context_would_hold():
+    rng = np.random.default_rng(11)
+    rows = np.stack([
+        rng.integers(0, 4, 300), rng.integers(0, 400, 300), np.zeros(300, dtype=int),
+        rng.integers(0, 65536, 300), np.arange(300) % 7, np.tile([0, 9000, 5], 100),
+    ]).astype(np.uint16)
+    hash1 = lambda a: int(range_coder.hash1(np.array([a], dtype=np.uint32))[0])
+    hash2 = lambda *a: int(range_coder.hash2(*(np.array([x], dtype=np.uint32) for x in a))[0])
+    found = [x.tolist() for x in range_coder.events(rows)]
+    for k, row in enumerate(rows.tolist()):
+        after1, after2, used, a, b = {}, {}, {}, 0, 0
+        for t, value in enumerate(row):
+            at1, at2, at0 = hash1(b), hash2(a, b), hash1(value)
+            (guess1, met1), (guess2, met2) = after1.get(at1, (0, 0)), after2.get(at2, (0, 0))
+            start, size = 0, 1
+            if met2 and guess2 == value:
+                kind = range_coder.SAME2
+            elif met1 and guess1 == value:
+                kind = range_coder.SAME1
+            elif at0 in used and row[used[at0]] == value:
+                kind, distance = range_coder.SEEN, t - used[at0]
+                power = distance.bit_length() - 1
+                size = 1 << (range_coder.POWER_BITS - power)
+                start = (power << range_coder.POWER_BITS) + (distance - (1 << power)) * size
+            else:
+                kind, start = range_coder.NEW, value
+            want = [kind, met2, 2 * met1 + (guess1 == guess2), start, size]
+            assert [x[k][t] for x in found] == want, (k, t)
+            used[at0] = t
+            after1[at1], after2[at2] = (value, min(3, met1 + 1)), (value, min(3, met2 + 1))
+            a, b = b, value
+
+
+def test_words_of_many_batches_are_numbered_at_once_and_asked_for_once(monkeypatch):
+    from mailspark.llm import word_ids
+
+    class Asked:
+        def __init__(self, model):
+            self.model, self.words = model, []
+
+        def tokenize(self, word):
+            self.words.append(word)
+            return self.model.tokenize(word)
+
+    texts = [["Alpha beta,", None], ["", "beta beta straße"], ["alpha Straße \u0416uk x\x1cy", "q" * 60]]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array([k, None]), pa.array(some, pa.string())], names=["i", "t"])
+        for k, some in enumerate(texts)
+    ]
+    groups = list(token_files.in_groups(iter(batches)))
+    assert [g[0] for g in groups] == [[0, None, 1, None, 2, None]]
+    assert groups[0][1].to_pylist() == [t for some in texts for t in some]
+    monkeypatch.setattr(token_files, "GROUP_BYTES", 1)
+    assert [g[0] for g in token_files.in_groups(iter(batches))] == [[k, None] for k in range(3)]
+    assert list(token_files.in_groups(iter([]))) == []
+
+    coder = word_ids.WordIds()
+    coder.model = Asked(coder.model)
+
+    def check():
+        for some in texts:
+            ids, sizes = coder.encode(pa.array(some, pa.string()))
+            want = [coder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in some]
+            assert sizes.tolist() == [len(w) for w in want]
+            assert ids.tolist() == [i for w in want for i in w]
+
+    check()
+    first = len(coder.model.words)
+    check()
+    # of all words only the one that is too long to be kept
+    assert coder.model.words[first:] == ["q" * 60] and "q" * 60 not in coder.words.to_pylist()
+    assert coder.model.words.count("beta") == 2  # as it stands and before a mark
+    monkeypatch.setattr(word_ids, "KEPT_WORDS", 5)
+    coder.encode(pa.array(["one two three four"]))
+    assert coder.words.to_pylist() == [] and coder.ids.to_pylist() == []  # four are too many of five
+    coder.encode(pa.array(["one two"]))
+    coder.encode(pa.array(["three four five"]))
+    assert len(coder.words) == len(coder.ids) == 5
+    coder.encode(pa.array(["one six"]))
+    assert coder.words.to_pylist() == ["one", "six"]
+    check()
