@@ -111,15 +111,17 @@ class Lanes:
         self.by_order2 = np.full(n * 4, ONES, dtype=U64)
         self.by_order1 = np.full(n * 8, ONES, dtype=U64)
         self.by_last = np.full(n * 4, ONES, dtype=U64)
-        self.last = np.full(n, NEW)
+        self.last = self.lane4 + NEW
         self.low = np.zeros(n, dtype=U64)
         self.range = np.full(n, np.iinfo(np.uint64).max, dtype=U64)
 
     def open(self, met2: np.ndarray, order1: np.ndarray) -> None:
         """Adds up the counts of the cells of the first lanes."""
         n = len(met2)
-        self.cells = (self.lane4[:n] + met2, self.lane8[:n] + order1, self.lane4[:n] + self.last[:n])
-        cell2, cell1, cell0 = self.cells
+        cell2, cell1, cell0 = met2.astype(np.intp), order1.astype(np.intp), self.last[:n]
+        cell2 += self.lane4[:n]
+        cell1 += self.lane8[:n]
+        self.cells = cell2, cell1, cell0
         self.had = self.by_order2[cell2], self.by_order1[cell1], self.by_last[cell0]
         self.counts = self.had[0] + self.had[1] + self.had[2]
         self.ends = self.counts * ONES
@@ -137,7 +139,7 @@ class Lanes:
             (self.by_order2, self.by_order1, self.by_last), self.cells, self.had
         ):
             table[cell] = had + step
-        self.last[:n] = kind
+        np.add(self.lane4[:n], kind, out=self.last[:n])
         return moved
 
     def settle(self, n: int) -> None:
@@ -223,7 +225,7 @@ class Decoder(Lanes):
             after1, after2 = self.after1[at1], self.after2[at2]
             met1, met2 = after1 & U32(3), after2 & U32(3)
             guess1, guess2 = after1 >> U32(2), after2 >> U32(2)
-            self.open(met2, met1 * U32(2) + (guess1 == guess2))
+            self.open(met2, (met1 << U32(1)) | (guess1 == guess2))
             ends, above, rng = self.ends, self.above[:n], self.range[:n]
             r = rng // (ends >> LAST_COUNT)
             kind = (above >= r * (ends & COUNT_MASK)).astype(np.intp)
