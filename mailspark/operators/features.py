@@ -18,6 +18,8 @@ from mailspark.functions import text, vectors
 # Tokens read of each text.
 SUBJECT_TOKENS = 20
 BODY_TOKENS = 512
+# rows of a batch whose words are counted at a time
+ROWS = 256
 
 
 def masked_mean(
@@ -48,12 +50,17 @@ def masked_mean(
 def _mean_of_codes(flat: np.ndarray, offsets: pa.Array, dim: int) -> pa.Array:
     """The mean vector of each row's codes. Codes are in [0, 2 * dim): below dim counts +1, from
     dim on -1."""
-    rows = len(offsets) - 1
-    lengths = np.diff(np.asarray(offsets))
-    cell = np.repeat(np.arange(rows), lengths) * dim + flat % dim
-    signs = np.where(flat < dim, 1.0, -1.0)
-    total = np.bincount(cell, weights=signs, minlength=rows * dim)
-    mean = total.reshape(rows, dim) / np.maximum(lengths, vectors.MASK_FLOOR)[:, None]
+    rows, ends = len(offsets) - 1, np.asarray(offsets)
+    lengths = np.diff(ends)
+    mean = np.empty((rows, dim))
+    for top in range(0, rows, ROWS):  # what a batch needs beside its vectors is bounded
+        some = lengths[top : top + ROWS]
+        n = len(some)
+        codes = flat[ends[top] - ends[0] : ends[top + n] - ends[0]]
+        cell = np.repeat(np.arange(n), some) * dim + codes % dim
+        signs = np.where(codes < dim, 1.0, -1.0)
+        total = np.bincount(cell, weights=signs, minlength=n * dim).reshape(n, dim)
+        np.divide(total, np.maximum(some, vectors.MASK_FLOOR)[:, None], out=mean[top : top + n])
     offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * dim)
     return pa.ListArray.from_arrays(offsets, pa.array(mean.reshape(-1)))
 
@@ -80,7 +87,7 @@ def _word_pooler(dim: int):
     def pool(tokens: pa.Array) -> pa.Array:
         words = tokens.flatten().dictionary_encode()
         known = words.dictionary.cast(pa.binary()).to_pylist()
-        codes = np.fromiter(map(code, known), dtype=np.int64, count=len(known))
+        codes = np.fromiter(map(code, known), dtype=np.int32, count=len(known))
         return _mean_of_codes(codes[np.asarray(words.indices)], tokens.offsets, dim)
 
     return pool

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +30,19 @@ def build_session(app: str = "mailspark", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@contextmanager
+def rows_per_batch(spark: SparkSession, most: int):
+    """What runs inside sends Python workers at most so many rows at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    # 0 and below mean no bound
+    spark.conf.set(key, str(min(int(before), most) if int(before) > 0 else most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Dates and day boundaries are UTC, whatever zone the host is in."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mailspark.operators import learn, mime, triage
 from mailspark.operators.chunks import one_per_id
 from mailspark.operators.features import HashingEncoder
+from mailspark.session import rows_per_batch
 from mailspark.sources import landing
 
+# rows a Python worker of a batch gets at a time: a stream's executors hold the model beside them
+BATCH_ROWS = 1_000
+
 
 def stream_files(
     spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", max_files: int | None = None
@@ -99,22 +104,27 @@ def land_and_score(
     run again leaves one copy. A stream is known by the query id that its checkpoint
     keeps: another stream, or the same one with a new checkpoint, starts at batch 0 again
     and must not replace what the first has landed.
+
+    The decoded messages are kept on disk, as they may be more than an executor's memory has room
+    for beside the Python workers, and workers get BATCH_ROWS of them at a time.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "by-hand"
-        decoded = mime.decode_payload(batch).persist()
-        try:
-            landing.land(decoded, table, f"{stream}-{batch_id}")
-            if batch_id % compact_every == compact_every - 1:
-                landing.compact(spark, table)
-            own = f"stream={stream}/batch_id={batch_id}"
-            scores = f"{plans_path}-scores/{own}"
-            learn.score_messages(decoded, model, encoder).write.mode("overwrite").parquet(scores)
-            plan = triage.trash_plan(spark.read.parquet(scores))
-            plan.write.mode("overwrite").parquet(f"{plans_path}/{own}")
-        finally:
-            decoded.unpersist()
+        with rows_per_batch(spark, BATCH_ROWS):
+            decoded = mime.decode_payload(batch).persist(StorageLevel.DISK_ONLY)
+            try:
+                landing.land(decoded, table, f"{stream}-{batch_id}")
+                if batch_id % compact_every == compact_every - 1:
+                    landing.compact(spark, table)
+                own = f"stream={stream}/batch_id={batch_id}"
+                scores = f"{plans_path}-scores/{own}"
+                scored = learn.score_messages(decoded, model, encoder)
+                scored.write.mode("overwrite").parquet(scores)
+                plan = triage.trash_plan(spark.read.parquet(scores))
+                plan.write.mode("overwrite").parquet(f"{plans_path}/{own}")
+            finally:
+                decoded.unpersist()
 
     return process

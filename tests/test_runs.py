@@ -1,6 +1,8 @@
 import datetime as dt
 import uuid
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from mailspark import staging
@@ -126,6 +128,41 @@ def test_two_streams_share_a_landing_table(spark, tiny, tmp_path):
     assert len(list((tmp_path / "plans").glob("stream=*"))) == 2
 
 
+def test_workers_of_a_batch_get_few_rows_and_decoded_ones_lie_on_disk(
+    spark, tiny, tmp_path, monkeypatch
+):
+    sent = staging.payloads(spark, tiny).select("id", "payload")
+    sent.coalesce(1).write.parquet(str(tmp_path / "in"))
+    name = "t_" + uuid.uuid4().hex[:10]
+    landing.create_landing(spark, name, str(tmp_path / name), buckets=4)
+    sizes, levels, plain = [], [], learn.score_messages
+
+    def watched(decoded, *rest):
+        count = decoded.select("id").mapInArrow(
+            lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches),
+            "n bigint")
+        sizes.extend(r["n"] for r in count.collect())
+        levels.append(decoded.storageLevel)
+        return plain(decoded, *rest)
+
+    monkeypatch.setattr(streams.learn, "score_messages", watched)
+    monkeypatch.setattr(streams, "BATCH_ROWS", 30)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    process = streams.land_and_score(name, model(spark, tiny), str(tmp_path / "plans"))
+    stream = streams.stream_files(spark, str(tmp_path / "in"), sent.schema)
+    streams.catch_up(stream, process, str(tmp_path / "c"))
+    assert sum(sizes) == sent.count() == landing.landed(spark, name).count() and max(sizes) <= 30
+    assert [(level.useDisk, level.useMemory) for level in levels] == [(True, False)]
+    # by hand in the caller's own session, which keeps its setting
+    process(spark.read.parquet(str(tmp_path / "in")), 7)
+    assert max(sizes) <= 30 and spark.conf.get(key) == before
+    monkeypatch.setattr(streams.landing, "land", lambda *args: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        process(spark.read.parquet(str(tmp_path / "in")), 8)
+    assert spark.conf.get(key) == before
+
+
 def test_training_from_snapshots_saves_the_model(spark, tiny, tmp_path):
     sent = staging.payloads(spark, tiny).select("id", "payload")
     known = sent.join(staging.labels(spark, tiny), "id")
